@@ -8,7 +8,7 @@ Columns other than the text (Kafka offset, partition, ...) pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,23 @@ from millrun.functions.timefn import epoch_ms_to_date, text_to_ts
 from millrun.sources.shapes import CHANGE_RECORD, EQUIPMENT_LOG, MANUFACTURE_LOG
 
 
+def select_once(df: DataFrame, *cols: Column) -> DataFrame:
+    """``df.select(*cols)`` evaluated exactly once per row, as a one-row
+    generator. A later filter on these columns cannot be pushed below a
+    Generate; below a plain projection Catalyst would inline an expensive
+    expression (a JSON parse) into the filter and evaluate it twice per
+    record — and ahead of any repartition placed before it."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def _parse(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
     passthrough = [c for c in df.columns if c != text]
-    parsed = df.select(*passthrough, F.col(text).alias("raw"), parse_json(text, schema).alias("_r"))
+    parsed = select_once(
+        df,
+        *[F.col(c) for c in passthrough],
+        F.col(text).alias("raw"),
+        parse_json(text, schema).alias("_r"),
+    )
     fields = [f.name for f in schema.fields if f.name not in passthrough]
     return parsed.select(
         *passthrough,
@@ -91,4 +105,5 @@ __all__ = [
     "good",
     "dead",
     "json_map",
+    "select_once",
 ]

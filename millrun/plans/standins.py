@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrun.functions.jsonfn import json_map
+from millrun.operators.parse import select_once
 from millrun.sources.shapes import RULE
-from millrun.sources.tables import read_table
+from millrun.sources.tables import read_table, spread
 
 # The rule table of the stand-in (source table, operation,
 # sink type, sink table, sink columns, pk column, sink extend, order).
@@ -38,11 +39,18 @@ RULE_ROWS = [
 
 
 def rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULE_ROWS, RULE)
+    """The rule table as JVM-side literals (a local relation, no Python
+    round trip per job)."""
+    rows = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, RULE.fields)])
+        for row in RULE_ROWS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _events(spark: SparkSession, sf: str, cols: list[str]) -> DataFrame:
-    return read_table(spark, sf, "events", cols)
+    """Events as the record stream of a multi-partition topic."""
+    return spread(read_table(spark, sf, "events", cols))
 
 
 def operation(event_id: str = "event_id"):
@@ -86,7 +94,8 @@ def change_records(spark: SparkSession, sf: str, event_types: list[str] | None =
     data = F.map_concat(
         F.create_map(F.lit("id"), F.col("user_id").cast("string")), json_map("props")
     )
-    return e.select(
+    return select_once(
+        e,
         F.col("event_type").alias("table"),
         operation().alias("type"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),

@@ -49,3 +49,15 @@ def write_topics(messages: DataFrame, path: str) -> None:
     """Fact messages (topic, value) as JSON files, one folder per topic —
     the file form of a message sink whose topic is chosen per record."""
     messages.write.mode("overwrite").partitionBy("topic").json(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the session's cores when its scan has fewer
+    splits than cores (one small file, one row group). CPU-heavy record
+    work (JSON text) then runs on every core. A cluster-scale input has far
+    more splits than cores and is returned untouched."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
