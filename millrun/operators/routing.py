@@ -12,7 +12,7 @@ Spark form of side outputs): callers ``filter`` per output, or fan out in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrun.functions.jsonfn import map_text_length
@@ -34,17 +34,22 @@ def start_type(df: DataFrame, start: str = "start") -> DataFrame:
     )
 
 
-def with_route(df: DataFrame, start: str = "start", log_type: str = "log_type") -> DataFrame:
-    """Add ``route``: machine_start / weld_start from the start type, else
-    the declared log stream named by ``log_type``, else NULL (main only).
-    Every row stays in the frame: the main output keeps everything."""
-    staged = start_type(df, start)
+def route_of(start_type: Column, log_type: Column) -> Column:
+    """machine_start / weld_start from the start type, else the declared
+    log stream named by ``log_type``, else NULL (main output only)."""
     route = F.lit(None).cast("string")
     for name, target in reversed(list(LOG_TYPE_ROUTES.items())):
-        route = F.when(F.col(log_type) == name, F.lit(target)).otherwise(route)
+        route = F.when(log_type == name, F.lit(target)).otherwise(route)
     for name, target in reversed(list(START_ROUTES.items())):
-        route = F.when(F.col("start_type") == name, F.lit(target)).otherwise(route)
-    return staged.withColumn("route", route)
+        route = F.when(start_type == name, F.lit(target)).otherwise(route)
+    return route
+
+
+def with_route(df: DataFrame, start: str = "start", log_type: str = "log_type") -> DataFrame:
+    """Add ``start_type`` and ``route``. Every row stays in the frame: the
+    main output keeps everything, side outputs are ``route`` filters."""
+    staged = start_type(df, start)
+    return staged.withColumn("route", route_of(F.col("start_type"), F.col(log_type)))
 
 
 def route_counts(routed: DataFrame) -> DataFrame:
