@@ -53,14 +53,14 @@ def with_route(df: DataFrame, start: str = "start", log_type: str = "log_type")
 
 
 def route_counts(routed: DataFrame) -> DataFrame:
-    """Rows per side output plus the main output (all rows)."""
-    sides = routed.filter(F.col("route").isNotNull()).groupBy("route").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n")
+    """Rows per side output plus the main output (all rows), in one pass:
+    a rollup gives each route's count and the grand total together."""
+    r = routed.rollup("route").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.grouping_id().alias("_g")
     )
-    main = routed.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
-        F.lit("main").alias("route"), "n"
+    return r.filter((F.col("_g") == 1) | F.col("route").isNotNull()).select(
+        F.when(F.col("_g") == 1, F.lit("main")).otherwise(F.col("route")).alias("route"), "n"
     )
-    return sides.unionByName(main)
 
 
 # ---------------------------------------------------------------- change log

@@ -81,7 +81,7 @@ def uptime_sessions(
     beats: DataFrame, key: str, ts: str, gap: str = "6 minutes"
 ) -> DataFrame:
     """Power-on sessions from heartbeats: a new session starts when a beat
-    comes ``gap`` or more after the previous one. Per session: first and
+    comes more than ``gap`` after the previous one. Per session: first and
     last beat, number of beats and up-time in microseconds (last - first)."""
     s = beats.groupBy(key, F.session_window(F.col(ts), gap).alias("_s")).agg(
         F.min(ts).alias("first_beat"),

@@ -201,7 +201,7 @@ FROM flagged GROUP BY part_id, log_date""",
 WITH b AS (
   SELECT user_id AS equipment_id, ts,
          CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 MINUTE
+                OR ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 MINUTE
               THEN 1 ELSE 0 END AS new_session
   FROM events),
 s AS (

@@ -30,4 +30,7 @@ def tmp_dir():
 def rows(df, *cols):
     """Sorted list of tuples (for order-insensitive asserts)."""
     cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=repr)
+    def key(t):
+        return [(v is None, v if v is not None else 0) for v in t]
+
+    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=key)
