@@ -27,15 +27,21 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = False
+    df: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    materialize: bool = False,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else
     ``df`` unchanged (shuffle join). ``materialize`` first checkpoints a
     side that is derived from big data, so the count and the join do not
-    compute it twice (and its lineage is cut)."""
+    compute it twice (and its lineage is cut). ``bound_by`` is a cheaper
+    frame with at least as many rows as ``df`` (e.g. before a
+    de-duplication) whose count bounds it."""
     if materialize:
         df = df.checkpoint(eager=True)
-    n = df.limit(max_rows + 1).count()
+    probe = df if bound_by is None else bound_by
+    n = probe.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
