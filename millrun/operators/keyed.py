@@ -103,7 +103,11 @@ def prev_value(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     local = staged.withColumn("_local", F.last(value, ignorenulls=True).over(w_local))
-    # Last non-NULL value of each (key, bucket): a partial aggregate.
+    # Last non-NULL value of each (key, bucket): a partial aggregate of the
+    # pruned input (key, bucket, order, value), so a hot key shuffles one
+    # row per bucket and map task. (Taking it from the window output
+    # instead would shuffle every narrow row: the two branches prune to
+    # different columns, so Spark cannot reuse one exchange for both.)
     order_struct = F.struct(*[F.col(c) for c in order])
     per_bucket = staged.groupBy(*keys, b).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), order_struct)).alias("_blast")
