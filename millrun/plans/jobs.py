@@ -40,13 +40,23 @@ def e1_equipment_logs(text: DataFrame, text_col: str = "value") -> dict[str, Dat
 
 
 def e2_change_records(cdc: DataFrame, rules: DataFrame) -> dict[str, DataFrame]:
+    """Parsed change records (with ``dead_reason`` when they come from
+    text) -> facts, dim changes, dead letters (no rule / bad rule) and
+    records that could not be parsed."""
+    malformed = None
+    if "dead_reason" in cdc.columns:
+        malformed = parse.dead(cdc)
+        cdc = parse.good(cdc)
     routed = routing.route_changes(cdc, rules)
-    return {
+    out = {
         "facts": routing.fact_messages(routed),
         "dim_changes": routed.filter(F.col("route") == "dim"),
         "dead_letter": routed.filter(F.col("route") == "dead"),
         "unroutable": routing.unroutable_counts(routed),
     }
+    if malformed is not None:
+        out["malformed"] = malformed.select("raw", "dead_reason")
+    return out
 
 
 def e2_apply_dims(

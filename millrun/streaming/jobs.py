@@ -87,6 +87,8 @@ def e2_batch_writer(
             out = e2_change_records(batch, rules)
             out["facts"].write.mode("overwrite").partitionBy("topic").json(f"{out_root}/facts/batch={batch_id}")
             out["dead_letter"].write.mode("overwrite").json(f"{out_root}/dead_letter/batch={batch_id}")
+            if "malformed" in out:
+                out["malformed"].write.mode("overwrite").json(f"{out_root}/malformed/batch={batch_id}")
             e2_apply_dims(spark, out["dim_changes"], rules, dim_root, batch_id)
         finally:
             batch.unpersist()

@@ -204,3 +204,45 @@ def test_e3_stream_with_state_cleanup(spark, tmp_dir):
     q.stop()
     got = sorted(r.seq for r in spark.table("e3_cleanup").filter("dead_reason IS NULL").collect())
     assert got == [0, 2, 3, 4, 5, 6, 7]
+
+
+def test_e2_stream_routes_and_upserts(spark, tmp_dir):
+    """Change records through foreachBatch: facts per topic, dim snapshot
+    per batch id, dead letters; rules re-read per batch."""
+    from millrun.operators import dims
+    from millrun.sources.shapes import RULE
+
+    def cdc(seq, table, op, data):
+        return json.dumps({"table": table, "type": op, "ts": seq, "seq": seq, "data": data})
+
+    batches = [
+        [cdc(1, "users", "insert", {"id": "u1", "name": "a", "extra": "x"}),
+         cdc(2, "orders", "insert", {"id": "o1", "amount": 5}),
+         cdc(3, "users", "insert", {"id": "u2", "name": "b"}),
+         cdc(4, "users", "insert", {}),
+         "{broken"],
+        [cdc(5, "users", "update", {"id": "u1", "name": "a2"}),
+         cdc(6, "users", "delete", {"id": "u2"}),
+         cdc(7, "shops", "insert", {"id": "s1"})],
+    ]
+    src = f"{tmp_dir}/src"
+    _write_batches(src, batches)
+    rules_rows = [
+        ("users", "insert", "hbase", "dim_users", "id,name", "", None, 1),
+        ("users", "update", "HBASE", "dim_users", "id,name", None, None, 1),
+        ("users", "delete", "hbase", "dim_users", "id,name", None, None, 1),
+        ("orders", "insert", "kafka", "dwd_orders", "id,amount", None, None, 1),
+    ]
+    rules_loader = lambda: spark.createDataFrame(rules_rows, RULE)
+    q = sjobs.start_e2(file_text_source(spark, src, 1), rules_loader, f"{tmp_dir}/out", f"{tmp_dir}/dim",
+                       trigger={"processingTime": "200 milliseconds"}, checkpoint=f"{tmp_dir}/ckpt")
+    q.processAllAvailable()
+    q.stop()
+    snap = dims.read_snapshot(spark, f"{tmp_dir}/dim", "dim_users")
+    assert rows(snap, "id", "name") == [("u1", "a2")]
+    facts = spark.read.json(f"{tmp_dir}/out/facts/*")
+    assert [(r.topic, json.loads(r.value)) for r in facts.collect()] == [("dwd_orders", {"id": "o1", "amount": "5"})]
+    dead = spark.read.json(f"{tmp_dir}/out/dead_letter/*")
+    assert sorted(r.seq for r in dead.collect()) == [7]
+    bad = spark.read.json(f"{tmp_dir}/out/malformed/*").collect()
+    assert [(r.raw, r.dead_reason) for r in bad] == [("{broken", "malformed_json")]
