@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrun.functions.timefn import ts_text
@@ -78,25 +78,72 @@ def size_stats(
 
 
 def uptime_sessions(
-    beats: DataFrame, key: str, ts: str, gap: str = "6 minutes"
+    beats: DataFrame, key: str, ts: str, gap: str = "6 minutes", bucket_s: int = 3600
 ) -> DataFrame:
     """Power-on sessions from heartbeats: a new session starts when a beat
     comes more than ``gap`` after the previous one. Per session: first and
-    last beat, number of beats and up-time in microseconds (last - first)."""
-    s = beats.groupBy(key, F.session_window(F.col(ts), gap).alias("_s")).agg(
-        F.min(ts).alias("first_beat"),
-        F.max(ts).alias("last_beat"),
-        F.count(F.lit(1)).cast("bigint").alias("n_beats"),
+    last beat, number of beats and up-time in microseconds (last - first).
+
+    Skew-safe gaps-and-islands in one pass over the beats: a window per
+    (key, time bucket) cuts each bucket into session pieces, the pieces are
+    summed where they lie (the data is already clustered by key and
+    bucket), and a window over the pieces alone — as many as sessions plus
+    buckets — stitches pieces that continue across a bucket border. A busy
+    key is spread over its buckets instead of one sorted task. Beats
+    without a key are not sessions. Streams use ``uptime_sessions_stream``.
+    """
+    gap_us, bucket_us = _interval_seconds(gap) * 1_000_000, bucket_s * 1_000_000
+
+    def micros(c):
+        return F.unix_micros(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp"))
+
+    staged = beats.filter(F.col(key).isNotNull()).select(
+        key, ts, F.floor(micros(ts) / F.lit(bucket_us)).alias("_b")
+    )
+    w = Window.partitionBy(key, "_b").orderBy(ts)
+    prev = F.lag(ts).over(w)
+    gap_here = F.when(prev.isNotNull() & (micros(ts) - micros(prev) > F.lit(gap_us)), 1).otherwise(0)
+    local = staged.withColumn("_g", gap_here).withColumn(
+        "_piece", F.sum("_g").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    pieces = local.groupBy(key, "_b", "_piece").agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    wp = Window.partitionBy(key).orderBy("_b", "_piece")
+    prev_last = F.lag("_last").over(wp)
+    starts = F.when(prev_last.isNull() | (micros("_first") - micros(prev_last) > F.lit(gap_us)), 1).otherwise(0)
+    numbered = pieces.withColumn("_new", starts).withColumn(
+        "_sid", F.sum("_new").over(wp.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    agg = numbered.groupBy(key, "_sid").agg(
+        F.min("_first").alias("first_beat"),
+        F.max("_last").alias("last_beat"),
+        F.sum("_n").cast("bigint").alias("n_beats"),
     )
-    return s.select(
+    return agg.select(
         key,
         "first_beat",
         "last_beat",
         "n_beats",
-        (F.unix_micros(F.col("last_beat").cast("timestamp")) - F.unix_micros(F.col("first_beat").cast("timestamp")))
-        .cast("bigint")
-        .alias("uptime_us"),
+        (micros("last_beat") - micros("first_beat")).cast("bigint").alias("uptime_us"),
+    )
+
+
+def uptime_sessions_stream(beats: DataFrame, key: str, ts: str, gap: str = "6 minutes") -> DataFrame:
+    """Streaming form: Spark's event-time session window (watermark the
+    input first); a session closes once the watermark passes its end."""
+    s = beats.groupBy(key, F.session_window(F.col(ts), gap).alias("_s")).agg(
+        F.min(ts).alias("first_beat"),
+        F.max(ts).alias("last_beat"),
+        F.count(F.lit(1)).cast("bigint").alias("n_beats"),
     )
+    return s.select(key, "first_beat", "last_beat", "n_beats")
+
+
+def _interval_seconds(text: str) -> int:
+    n, unit = text.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * mult
 
 
 def size_stats_enriched(

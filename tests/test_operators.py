@@ -281,3 +281,31 @@ def test_uptime_sessions(spark):
     got = rows(stats.uptime_sessions(beats, "eq", "ts", "6 minutes"), "first_beat", "n_beats", "uptime_us")
     # a beat exactly one gap after the previous one still belongs to it
     assert got == [(t(0), 3, 540_000_000), (t(20), 2, 180_000_000)]
+
+
+def test_sessions_exact_across_buckets(spark):
+    """Bucketed sessions equal a brute-force scan, for buckets smaller and
+    larger than sessions."""
+    import random
+
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    recs, t = [], {}
+    for i in range(300):
+        k = f"e{rnd.randint(0, 2)}"
+        t[k] = t.get(k, 0) + rnd.choice([60, 180, 360, 361, 900, 4000])
+        recs.append((k, base + dt.timedelta(seconds=t[k])))
+    df = spark.createDataFrame(recs, "eq string, ts timestamp_ntz")
+    want = []
+    for k in sorted({r[0] for r in recs}):
+        ts = sorted(r[1] for r in recs if r[0] == k)
+        cur = [ts[0]]
+        for x in ts[1:]:
+            if (x - cur[-1]).total_seconds() > 360:
+                want.append((k, cur[0], cur[-1], len(cur)))
+                cur = []
+            cur.append(x)
+        want.append((k, cur[0], cur[-1], len(cur)))
+    for bucket in (300, 3600, 86400 * 30):
+        got = rows(stats.uptime_sessions(df, "eq", "ts", "6 minutes", bucket), "eq", "first_beat", "last_beat", "n_beats")
+        assert got == sorted(want)
