@@ -71,3 +71,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         )
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="millrun-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.5) -> dict[str, str]:
+    """Settings for a cluster run sized from the input, to pass to
+    ``spark-submit --conf`` or ``build_session(extra=...)``.
+
+    * Scan splits of 512 MiB: ~200k tasks for 100 TB instead of ~800k.
+    * Shuffle partitions so one reducer reads ~256 MiB of the expected
+      shuffle (``shuffle_ratio`` x input after projection/partial
+      aggregation), never fewer than 3 waves of the cluster's cores; AQE
+      then coalesces small partitions and splits skewed ones.
+    * RocksDB state store with changelog checkpoints for the streaming
+      jobs' per-key state (millions of parts stay off the JVM heap).
+    """
+    mib = 1 << 20
+    shuffle_parts = max(3 * total_cores, int(input_bytes * shuffle_ratio / (256 * mib)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 * mib),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mib),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mib),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
