@@ -85,13 +85,18 @@ def merge_snapshot(
     return untouched.unionByName(fresh)
 
 
-def read_snapshot(spark: SparkSession, root: str, sink_table: str) -> DataFrame | None:
-    """Newest version of a dim table, or None if it does not exist."""
+def read_snapshot(
+    spark: SparkSession, root: str, sink_table: str, before: int | None = None
+) -> DataFrame | None:
+    """Newest version of a dim table (optionally the newest below
+    ``before``), or None if there is none."""
     path = f"{root}/{sink_table}"
     try:
-        versions = spark.read.parquet(path).select("v").distinct()
+        versions = spark.read.parquet(path).select("v")
     except Exception:  # no such table yet
         return None
+    if before is not None:
+        versions = versions.filter(F.col("v") < before)
     top = versions.agg(F.max("v")).first()[0]
     if top is None:
         return None
@@ -114,12 +119,11 @@ def upsert_dim(
     op: str = "type",
     deletes: str = "remove",
 ) -> DataFrame:
-    """Merge ``changes`` into the newest snapshot and write version
-    ``version``. The merged frame is checkpointed before the write: the
-    write must not read the folder it replaces."""
-    current = read_snapshot(spark, root, sink_table)
-    if current is not None:
-        current = current.checkpoint(eager=True)
+    """Merge ``changes`` into the newest snapshot *below* ``version`` and
+    write version ``version``. A replay of the same batch therefore starts
+    from the same base and rewrites the same folder with the same rows —
+    idempotent, and it never reads the folder it writes."""
+    current = read_snapshot(spark, root, sink_table, before=int(version))
     merged = merge_snapshot(current, changes, pk, columns, seq, op, deletes)
     write_snapshot(merged, root, sink_table, version)
     return merged

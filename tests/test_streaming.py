@@ -271,3 +271,42 @@ def test_e2_rule_change_between_batches(spark, tmp_dir):
     facts = spark.read.json(f"{tmp_dir}/out/facts")
     got = sorted((r.topic, json.loads(r.value)["id"]) for r in facts.collect())
     assert got == [("dwd_a", "1"), ("dwd_b", "2")]
+
+
+def test_other_stream_forms(spark, tmp_dir):
+    """Re-check feed (stateful), distinct unique-part (built-in dedupe
+    within the watermark) and up-time sessions (session window) on streams
+    agree with their batch forms."""
+    from millrun.operators import inspect, stats
+    from millrun.streaming.stateful import recheck_stream, unique_part_distinct_stream
+
+    base = 1_704_067_200_000
+    det = [{"mid": m, "size_id": s, "seq": i, "ts": base + i * 1000}
+           for i, (m, s) in enumerate([("m1", "a"), ("m1", "a"), ("m1", "b"), ("m1", "a"), ("m2", "a")])]
+    _write_batches(f"{tmp_dir}/det", [[json.dumps(r) for r in det[:2]], [json.dumps(r) for r in det[2:]]])
+    schema = "mid string, size_id string, seq long, ts long"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_dir}/det")
+    _run_to_memory(recheck_stream(s, ["mid", "size_id"], "seq"), "re_s", f"{tmp_dir}/ck1")
+    batch = inspect.recheck_rows(spark.read.schema(schema).json(f"{tmp_dir}/det"), order=["seq"])
+    assert rows(spark.table("re_s"), "seq") == rows(batch, "seq") == [(1,), (3,)]
+
+    day = 86_400_000
+    logs = [{"part_id": p, "ts": base + t} for p, t in
+            [("a", 0), ("a", 1000), ("a", day), ("b", 0), ("a", day + 5)]]
+    _write_batches(f"{tmp_dir}/m", [[json.dumps(r) for r in logs]])
+    m = spark.readStream.schema("part_id string, ts long").json(f"{tmp_dir}/m").withColumn(
+        "mts", F.timestamp_millis("ts"))
+    _run_to_memory(unique_part_distinct_stream(m, "part_id", "mts", "2 days"), "uniq_s", f"{tmp_dir}/ck2")
+    assert sorted((r.part_id, r.ts - base) for r in spark.table("uniq_s").collect()) == [
+        ("a", 0), ("a", day), ("b", 0)]
+
+    minute = 60_000
+    beats = [{"eq": "e", "ts": base + k * minute} for k in (0, 3, 9, 20, 23)] + [{"eq": "e", "ts": base + 600 * minute}]
+    _write_batches(f"{tmp_dir}/b", [[json.dumps(r) for r in beats]])
+    b = spark.readStream.schema("eq string, ts long").json(f"{tmp_dir}/b").withColumn(
+        "t", F.timestamp_millis("ts")).withWatermark("t", "1 minute")
+    _run_to_memory(stats.uptime_sessions_stream(b, "eq", "t", "6 minutes"), "up_s", f"{tmp_dir}/ck3")
+    got = rows(spark.table("up_s"), "first_beat", "n_beats")
+    bstatic = spark.read.schema("eq string, ts long").json(f"{tmp_dir}/b").withColumn("t", F.timestamp_millis("ts"))
+    want = rows(stats.uptime_sessions(bstatic, "eq", "t"), "first_beat", "n_beats")
+    assert got == want[:2]  # the last session is still open behind the watermark
