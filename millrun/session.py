@@ -58,7 +58,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     must configure a shared folder — a machine-local path would not survive
     the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server owns the setting
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir is not set on the remote session")
+        return conf.rstrip("/")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if sc.getCheckpointDir() is None:

@@ -56,8 +56,9 @@ def spread(df: DataFrame) -> DataFrame:
     splits than cores (one small file, one row group). CPU-heavy record
     work (JSON text) then runs on every core. A cluster-scale input has far
     more splits than cores and is returned untouched."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session): leave the plan as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)

@@ -3,6 +3,9 @@
 * Message-queue text source: ``value`` as string plus ``seq`` (the
   partition offset — records of one key share a partition, so the offset
   is their arrival order) — needs the Kafka connector on the class path.
+  Micro-batches are capped (``maxOffsetsPerTrigger``, 5M records by
+  default): the per-key stateful steps hold at most one micro-batch of a
+  key in memory.
 * File text/JSON sources for tests and replays.
 * Sinks: message queue (topic fixed or per record), files, console, and
   ``fan_out`` — one ``foreachBatch`` writer for several outputs of one
@@ -28,7 +31,7 @@ def kafka_text_source(
     topic: str,
     bootstrap: str,
     starting: str = "earliest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = 5_000_000,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     r = (
