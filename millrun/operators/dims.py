@@ -195,6 +195,15 @@ def enrich_asof(
     )
 
 
+def point_lookup(dim: DataFrame, pk: str, value: str, order: str | None = None) -> DataFrame:
+    """The dim row of one key: at most one row (the highest ``order`` when
+    the snapshot holds several), none when the key is unknown."""
+    hit = dim.filter(F.col(pk) == F.lit(value))
+    if order is not None:
+        hit = hit.orderBy(F.col(order).desc())
+    return hit.limit(1)
+
+
 def first_seen(df: DataFrame, key: str, ts: str, out: str = "start_date") -> DataFrame:
     """Per key, the date of its first record (a partial aggregate)."""
     return df.groupBy(key).agg(F.to_date(F.min(ts)).alias(out))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from millrun.functions.jsonfn import CORRUPT, json_map, parse_json
 from millrun.functions.timefn import epoch_ms_to_date, text_to_ts
-from millrun.sources.shapes import CHANGE_RECORD, EQUIPMENT_LOG, MANUFACTURE_LOG
+from millrun.sources.shapes import CHANGE_RECORD, EQUIPMENT_LOG, INSPECT_INFO, MANUFACTURE_LOG
 
 
 def select_once(df: DataFrame, *cols: Column) -> DataFrame:
@@ -90,6 +90,23 @@ def parse_change_records(df: DataFrame, text: str = "value") -> DataFrame:
     return p.withColumn("dead_reason", reason).drop(CORRUPT)
 
 
+def parse_records(df: DataFrame, schema: T.StructType, key: str, text: str = "value") -> DataFrame:
+    """Text -> a fixed record shape (inspection info/detail, ...): the
+    schema's fields plus ``dead_reason`` (malformed, or no ``key``)."""
+    p = _parse(df, text, schema)
+    reason = (
+        F.when(F.col("raw").isNull(), F.lit("null_record"))
+        .when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json"))
+        .when(F.col(key).isNull(), F.lit(f"no_{key}"))
+    )
+    return p.withColumn("dead_reason", reason).drop(CORRUPT)
+
+
+def parse_inspections(df: DataFrame, text: str = "value") -> DataFrame:
+    """Inspection info/detail text -> ``orderId``, ``ts`` (epoch ms)."""
+    return parse_records(df, INSPECT_INFO, "orderId", text)
+
+
 def good(df: DataFrame) -> DataFrame:
     return df.filter(F.col("dead_reason").isNull()).drop("dead_reason")
 
@@ -102,6 +119,8 @@ __all__ = [
     "parse_equipment_logs",
     "parse_manufacture_logs",
     "parse_change_records",
+    "parse_records",
+    "parse_inspections",
     "good",
     "dead",
     "json_map",

@@ -133,3 +133,15 @@ def fan_out(outputs: Mapping[str, tuple[Column | None, str, str]]) -> Callable[[
             batch.unpersist()
 
     return write
+
+
+def late_rows_dropped(query) -> int:
+    """Rows the stateful operators of ``query`` dropped as late (behind the
+    watermark) in its retained progress reports. Spark drops late rows only
+    in stateful steps, and may keep a row up to one batch past its
+    watermark, so this counts, it does not predict."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0))
+    return total

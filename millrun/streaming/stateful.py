@@ -173,6 +173,18 @@ def unique_part_distinct_stream(
     )
 
 
+def daily_part_count_stream(
+    df: DataFrame, part: str = "part_id", day_ts: str = "mts", delay: str = "1 day"
+) -> DataFrame:
+    """Different parts per day on a stream (append mode): the built-in
+    dedupe within the watermark, then a one-day window count; a day is
+    emitted once the watermark passes its end."""
+    first = unique_part_distinct_stream(df, part, day_ts, delay)
+    return first.groupBy(F.window(day_ts, "1 day").alias("_w")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_parts")
+    ).select(F.to_date(F.col("_w.start")).alias("mdate"), "n_parts")
+
+
 # ------------------------------------------------------------ re-check feed
 
 

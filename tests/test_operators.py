@@ -308,3 +308,25 @@ def test_sessions_exact_across_buckets(spark):
     for bucket in (300, 3600, 86400 * 30):
         got = rows(stats.uptime_sessions(df, "eq", "ts", "6 minutes", bucket), "eq", "first_beat", "last_beat", "n_beats")
         assert got == sorted(want)
+
+
+def test_names_and_point_lookup(spark):
+    from millrun.functions.names import rename_columns, to_camel, to_snake
+
+    assert to_camel("sink_table") == "sinkTable" and to_camel("id") == "id"
+    assert to_snake("sinkTable") == "sink_table"
+    df = spark.createDataFrame([("a", "b")], "source_table string, sink_type string")
+    assert rename_columns(df).columns == ["sourceTable", "sinkType"]
+    dim = spark.createDataFrame([("1", "x", 1), ("1", "y", 2), ("2", "z", 1)], "id string, v string, s long")
+    assert [r.v for r in dims.point_lookup(dim, "id", "1", "s").collect()] == ["y"]
+    assert dims.point_lookup(dim, "id", "9").count() == 0
+
+
+def test_parse_inspections(spark):
+    from millrun.operators import parse
+
+    text = spark.createDataFrame([('{"orderId": "o1", "ts": 5}',), ('{"ts": 5}',), ("nope",)], "value string")
+    out = {r.raw: (r.orderId, r.ts, r.dead_reason) for r in parse.parse_inspections(text).collect()}
+    assert out['{"orderId": "o1", "ts": 5}'] == ("o1", 5, None)
+    assert out['{"ts": 5}'][2] == "no_orderId"
+    assert out["nope"][2] == "malformed_json"

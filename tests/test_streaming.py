@@ -310,3 +310,18 @@ def test_other_stream_forms(spark, tmp_dir):
     bstatic = spark.read.schema("eq string, ts long").json(f"{tmp_dir}/b").withColumn("t", F.timestamp_millis("ts"))
     want = rows(stats.uptime_sessions(bstatic, "eq", "t"), "first_beat", "n_beats")
     assert got == want[:2]  # the last session is still open behind the watermark
+
+
+def test_daily_part_count_stream(spark, tmp_dir):
+    from millrun.streaming.io import late_rows_dropped
+    from millrun.streaming.stateful import daily_part_count_stream
+
+    base, day = 1_704_067_200_000, 86_400_000
+    recs = [("a", 0), ("a", 5), ("b", 9), ("a", day), ("c", day + 1), ("z", 5 * day)]
+    _write_batches(f"{tmp_dir}/m", [[json.dumps({"part_id": p, "ts": base + t}) for p, t in recs]])
+    m = spark.readStream.schema("part_id string, ts long").json(f"{tmp_dir}/m").withColumn(
+        "mts", F.timestamp_millis("ts"))
+    q = _run_to_memory(daily_part_count_stream(m, "part_id", "mts", "1 day"), "daily_s", f"{tmp_dir}/ck")
+    got = sorted((str(r.mdate), r.n_parts) for r in spark.table("daily_s").collect())
+    assert got == [("2024-01-01", 2), ("2024-01-02", 2)]
+    assert late_rows_dropped(q) == 0
