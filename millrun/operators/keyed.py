@@ -45,10 +45,6 @@ def bounded_broadcast(
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
-
-
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str] | None = None
 ) -> DataFrame:

@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrun.operators import parse, parts
 from millrun.plans import jobs as bjobs
 from millrun.streaming import jobs as sjobs
 from millrun.streaming.io import file_text_source
