@@ -40,11 +40,31 @@ def bounded_broadcast(
     de-duplication) whose count bounds it."""
     if materialize:
         df = df.checkpoint(eager=True)
-    probe = df if bound_by is None else bound_by
-    n = probe.limit(max_rows + 1).count()
+        n = df.limit(max_rows + 1).count()
+    else:
+        n = _bounded_count(df if bound_by is None else bound_by, max_rows)
     return F.broadcast(df) if n <= max_rows else df
 
 
+# Row bounds of file-backed sides already checked in this process, keyed by
+# (plan, files): parquet files are immutable, so the same plan over the
+# same files has the same count (like a table's cached statistics).
+_BOUNDS: dict[tuple, int] = {}
+
+
+def _bounded_count(df: DataFrame, max_rows: int) -> int:
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash are counted every time
+        key = None
+    if key is not None and key in _BOUNDS:
+        return _BOUNDS[key]
+    n = df.limit(max_rows + 1).count()
+    if key is not None and key[1]:
+        _BOUNDS[key] = n
+    return n
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str] | None = None
 ) -> DataFrame:
