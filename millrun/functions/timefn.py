@@ -1,6 +1,6 @@
 """Time column functions (all JVM-side, codegen friendly).
 
-The reference formats dates in the process default zone; we pin the Spark
+The source design formats dates in the process default zone; we pin the Spark
 session zone (``spark.sql.session.timeZone``, UTC by default) and take it
 from there, so a run is reproducible on any machine.
 """

@@ -1,6 +1,6 @@
 """ODS text -> typed records, with a dead-letter split.
 
-A record the reference would crash on (malformed JSON, no ``common``
+A record the source design would crash on (malformed JSON, no ``common``
 object, no key, an unreadable time) gets a ``dead_reason`` instead; the
 caller sends those rows to a dead-letter output and keeps going.
 Columns other than the text (Kafka offset, partition, ...) pass through.

@@ -1,6 +1,6 @@
 """Record shapes of the warehouse layers as Spark schemas.
 
-The reference treats most records as schemaless JSON; here the envelope
+The source design treats most records as schemaless JSON; here the envelope
 fields the jobs read are fixed and everything open stays a
 ``map<string,string>`` (or the raw text, kept beside the parsed row).
 Numbers in text fields are declared ``string`` so that ``1`` and ``"1"``
