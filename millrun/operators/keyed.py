@@ -39,6 +39,9 @@ def bounded_broadcast(
     frame with at least as many rows as ``df`` (e.g. before a
     de-duplication) whose count bounds it."""
     if materialize:
+        from millrun.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)  # shared folder (set only for local masters)
         df = df.checkpoint(eager=True)
         n = df.limit(max_rows + 1).count()
     else:

@@ -1,0 +1,80 @@
+"""One key holds a third of all rows: the skew-safe operators must spread
+its rows over several tasks and still give the exact answer."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrun.operators import inspect, keyed, parts, stats
+
+
+@pytest.fixture()
+def no_coalesce(spark):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def _skewed(spark, n_cold=40, per_cold=50):
+    hot = n_cold * per_cold // 2  # one third of all rows
+    recs = [("HOT", i, dt.date(2024, 1, 1 + (i // 97) % 5)) for i in range(hot)]
+    recs += [(f"c{k}", hot + k * per_cold + j, dt.date(2024, 1, 1 + j % 3)) for k in range(n_cold) for j in range(per_cold)]
+    return spark.createDataFrame(recs, "part_id string, seq long, mdate date")
+
+
+def test_hot_part_spread_in_previous_record_window(spark, no_coalesce):
+    df = _skewed(spark)
+    out = keyed.prev_value(df, ["part_id"], ["seq"], "mdate", "prev", F.floor(F.col("seq") / 100))
+    pids = out.filter("part_id = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert pids > 1
+    want = rows(df.withColumn("prev", F.lag("mdate").over(Window.partitionBy("part_id").orderBy("seq"))),
+                "part_id", "seq", "prev")
+    assert rows(out, "part_id", "seq", "prev") == want
+
+
+def test_hot_part_unique_per_day_exact(spark):
+    df = _skewed(spark)
+    got = parts.unique_part_per_day(df, "part_id", "mdate", "seq", mode="change", seq_bucket=64)
+    w = Window.partitionBy("part_id").orderBy("seq")
+    lagged = df.withColumn("p", F.lag("mdate").over(w))
+    want = lagged.filter(F.col("p").isNull() | (F.col("p") != F.col("mdate")))
+    assert rows(got, "seq") == rows(want, "seq")
+
+
+def test_hot_key_partial_aggregates(spark):
+    df = _skewed(spark).withColumn("is_new", F.lit("1"))
+    plan = parts.first_new_day(df, "part_id", "is_new", "mdate", "seq")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan  # collapses the hot key map-side
+
+
+def test_hot_order_interval_join_spread(spark, no_coalesce):
+    base = dt.datetime(2024, 1, 1)
+    info = spark.createDataFrame([("HOT", i, base + dt.timedelta(seconds=20 * i)) for i in range(400)],
+                                 "k string, iid long, its timestamp_ntz")
+    det = spark.createDataFrame([("HOT", i, base + dt.timedelta(seconds=20 * i + 3)) for i in range(400)],
+                                "dk string, did long, dts timestamp_ntz")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = inspect.interval_join(info, det, "k", "its", "dts", -5000, 5000, right_key="dk")
+        pids = j.select(F.spark_partition_id().alias("p")).distinct().count()
+        assert j.count() == 400 and pids > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_equipment_sessions_spread(spark, no_coalesce):
+    base = dt.datetime(2024, 1, 1)
+    beats = spark.createDataFrame([("HOT", base + dt.timedelta(minutes=3 * i)) for i in range(2000)]
+                                  + [("c", base + dt.timedelta(minutes=30 * i)) for i in range(10)],
+                                  "eq string, ts timestamp_ntz")
+    out = stats.uptime_sessions(beats, "eq", "ts", "6 minutes", bucket_s=3600)
+    got = {r.eq: (r.n_beats, r.uptime_us) for r in out.collect()}
+    assert got["HOT"] == (2000, 1999 * 180 * 1_000_000)
+    staged = beats.withColumn("_b", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)).repartition("eq", "_b")
+    assert staged.filter("eq = 'HOT'").select(F.spark_partition_id()).distinct().count() > 1
