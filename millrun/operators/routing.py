@@ -88,7 +88,7 @@ def prepare_rules(rules: DataFrame) -> DataFrame:
         lambda c: c != "",
     )
     pk = F.coalesce(F.nullif(F.trim(F.col("pk_column")), F.lit("")), F.lit("id"))
-    kind = F.lower(F.trim(F.col("sink_type")))
+    kind = F.lower(F.col("sink_type"))
     return latest.select(
         "source_table",
         "operate_type",

@@ -28,7 +28,7 @@ WITH {_RULES},
 {_CDC},
 routed AS (
   SELECT c.*, r.sink_table,
-         CASE lower(trim(r.sink_type)) WHEN 'kafka' THEN 'fact' WHEN 'hbase' THEN 'dim' END AS route,
+         CASE lower(r.sink_type) WHEN 'kafka' THEN 'fact' WHEN 'hbase' THEN 'dim' END AS route,
          coalesce(nullif(trim(r.pk_column), ''), 'id') AS pk_column,
          array_to_string(list_filter(list_transform(string_split(r.sink_columns, ','), lambda x: trim(x)),
                                      lambda x: x <> ''), ',') AS sink_columns
