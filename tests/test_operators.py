@@ -330,3 +330,27 @@ def test_parse_inspections(spark):
     assert out['{"orderId": "o1", "ts": 5}'] == ("o1", 5, None)
     assert out['{"ts": 5}'][2] == "no_orderId"
     assert out["nope"][2] == "malformed_json"
+
+
+def test_equipment_log_dead_letter_reasons(spark):
+    from millrun.operators import parse
+
+    lines = [
+        '{"common": {"part_id": "p", "is_new": 1, "ts": "2024-01-01 10:00:00"}, "start": {"type": "x"}}',
+        '{"common": {"part_id": "p", "is_new": "1", "ts": "junk"}}',
+        '{"common": {"is_new": "1", "ts": "2024-01-01"}}',
+        '{"common": 5}',
+        '{"start": {}}',
+        '{"common": {"part_id": "p", "ts": "1704103200000"}, "log_type": "heartbeat"}',
+        "not json",
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "seq long, value string")
+    got = {r.seq: (r.dead_reason, r.is_new, str(r.log_date)) for r in parse.parse_equipment_logs(df).collect()}
+    assert got[0] == (None, "1", "2024-01-01")  # number read as text
+    assert got[1][0] == "bad_ts"
+    assert got[2][0] == "no_part_id"
+    assert got[3][0] in ("malformed_json", "no_common")
+    assert got[4][0] == "no_common"
+    assert got[5] == (None, None, "2024-01-01")  # epoch-ms text
+    assert got[6][0] == "malformed_json"
+    assert parse.good(parse.parse_equipment_logs(df)).count() == 2
