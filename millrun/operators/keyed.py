@@ -26,18 +26,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(
+def sized(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
     materialize: bool = False,
     bound_by: DataFrame | None = None,
-) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else
-    ``df`` unchanged (shuffle join). ``materialize`` first checkpoints a
-    side that is derived from big data, so the count and the join do not
-    compute it twice (and its lineage is cut). ``bound_by`` is a cheaper
-    frame with at least as many rows as ``df`` (e.g. before a
-    de-duplication) whose count bounds it."""
+) -> tuple[DataFrame, bool]:
+    """(side, fits): whether ``df`` has at most ``max_rows`` rows.
+    ``materialize`` first checkpoints a side that is derived from big data,
+    so the count and the join do not compute it twice (and its lineage is
+    cut). ``bound_by`` is a cheaper frame with at least as many rows as
+    ``df`` (e.g. before a de-duplication) whose count bounds it."""
     if materialize:
         from millrun.session import checkpoint_dir
 
@@ -46,7 +45,19 @@ def bounded_broadcast(
         n = df.limit(max_rows + 1).count()
     else:
         n = _bounded_count(df if bound_by is None else bound_by, max_rows)
-    return F.broadcast(df) if n <= max_rows else df
+    return df, n <= max_rows
+
+
+def bounded_broadcast(
+    df: DataFrame,
+    max_rows: int = BROADCAST_MAX_ROWS,
+    materialize: bool = False,
+    bound_by: DataFrame | None = None,
+) -> DataFrame:
+    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else
+    ``df`` unchanged (shuffle join); see ``sized``."""
+    df, fits = sized(df, max_rows, materialize, bound_by)
+    return F.broadcast(df) if fits else df
 
 
 # Row bounds of file-backed sides already checked in this process, keyed by

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrun.operators.keyed import bounded_broadcast, first_per_key, prev_value
+from millrun.operators.keyed import first_per_key, prev_value, sized
 
 # Rows of one part per bucket of ``seq``: bounds the work of one task in the
 # per-part "previous record" window, however hot the part is.
@@ -43,12 +43,22 @@ def new_part_flag(
     day: str = "log_date",
     seq: str = "seq",
 ) -> DataFrame:
-    """Return ``df`` with ``is_new`` corrected (string "0"/"1" kept)."""
-    first = bounded_broadcast(first_new_day(df, part, is_new, day, seq), materialize=True)
-    fixed = F.when(
-        (F.col(is_new) == "1") & (F.col(day) != F.col("_first_new_day")), F.lit("0")
-    ).otherwise(F.col(is_new))
-    return df.join(first, on=part, how="left").withColumn(is_new, fixed).drop("_first_new_day")
+    """Return ``df`` with ``is_new`` corrected (string "0"/"1" kept).
+
+    The first-new-day table (one row per part) is broadcast when it is
+    under the bound: a map-only pass. Above it, only the rows that claim
+    "1" — the only ones that can change — are shuffled to meet it; the
+    rest pass through untouched."""
+    first, fits = sized(first_new_day(df, part, is_new, day, seq), materialize=True)
+    claims = F.coalesce(F.col(is_new) == "1", F.lit(False))
+
+    def correct(rows: DataFrame, side: DataFrame) -> DataFrame:
+        fixed = F.when(claims & (F.col(day) != F.col("_first_new_day")), F.lit("0")).otherwise(F.col(is_new))
+        return rows.join(side, on=part, how="left").withColumn(is_new, fixed).drop("_first_new_day")
+
+    if fits:
+        return correct(df, F.broadcast(first))
+    return df.filter(~claims).unionByName(correct(df.filter(claims), first))
 
 
 def unique_part_per_day(

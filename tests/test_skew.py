@@ -78,3 +78,17 @@ def test_hot_equipment_sessions_spread(spark, no_coalesce):
     assert got["HOT"] == (2000, 1999 * 180 * 1_000_000)
     staged = beats.withColumn("_b", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600)).repartition("eq", "_b")
     assert staged.filter("eq = 'HOT'").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_new_part_flag_shuffle_path_equals_broadcast_path(spark, monkeypatch):
+    """Above the broadcast bound only "1" rows are joined; same answer."""
+    recs = [(i, f"p{i % 7}", "1" if i % 3 else "0", dt.date(2024, 1, 1 + (i * 5) % 4)) for i in range(120)]
+    recs.append((999, "p1", None, dt.date(2024, 1, 9)))
+    df = spark.createDataFrame(recs, "seq long, part_id string, is_new string, log_date date")
+    small = rows(parts.new_part_flag(df), "seq", "is_new")
+    import millrun.operators.parts as parts_mod
+
+    orig = parts_mod.sized
+    monkeypatch.setattr(parts_mod, "sized", lambda d, materialize=False: orig(d, 2, materialize))
+    big = parts.new_part_flag(df)
+    assert rows(big, "seq", "is_new") == small
