@@ -143,10 +143,14 @@ def enrich(
 ) -> DataFrame:
     """Look up ``columns`` (dim column -> output name) by key. Rows without
     a dim row keep NULLs. The dim side is projected to the key and the
-    wanted columns, de-duplicated on the key, then broadcast if small."""
+    wanted columns, reduced to one row per key, then broadcast if small."""
+    outs = list(columns.values())
     raw = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(o) for c, o in columns.items()])
-    # the raw row count bounds the de-duplicated side: one scan, no shuffle
-    side = bounded_broadcast(raw.dropDuplicates(["_dim_key"]), max_rows, bound_by=raw)
+    # One row per key, chosen deterministically (the greatest), so a task
+    # recomputed after an executor loss picks the same row. The raw row
+    # count bounds the de-duplicated side: one scan, no shuffle.
+    one = last_per_key(raw, ["_dim_key"], outs, []) if outs else raw.distinct()
+    side = bounded_broadcast(one, max_rows, bound_by=raw)
     key = F.col(left_key) if isinstance(left_key, str) else left_key
     return df.join(side, key == F.col("_dim_key"), how).drop("_dim_key")
 
