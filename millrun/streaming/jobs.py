@@ -74,18 +74,29 @@ def start_e1(text: DataFrame, out_root: str, name: str = "e1_equipment_logs", tr
 
 
 def e2_batch_writer(
-    spark: SparkSession, rules_loader: Callable[[], DataFrame], out_root: str, dim_root: str
+    spark: SparkSession,
+    rules_loader: Callable[[], DataFrame],
+    out_root: str,
+    dim_root: str,
+    bootstrap: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: rules are re-read for every micro-batch (a
-    removed rule stops applying), facts go to one folder per topic, dim
-    rows are merged into snapshot ``v=<batch id>``, the rest is dead-lettered."""
+    removed rule stops applying), facts go to the topic named by their rule
+    (message queue when ``bootstrap`` is given, else one folder per topic),
+    dim rows are merged into snapshot ``v=<batch id>``, the rest is
+    dead-lettered."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rules = rules_loader()
         batch.persist()
         try:
             out = e2_change_records(batch, rules)
-            out["facts"].write.mode("overwrite").partitionBy("topic").json(f"{out_root}/facts/batch={batch_id}")
+            if bootstrap:
+                (out["facts"].select("topic", "value").write.format("kafka")
+                 .option("kafka.bootstrap.servers", bootstrap).save())
+            else:
+                out["facts"].write.mode("overwrite").partitionBy("topic").json(
+                    f"{out_root}/facts/batch={batch_id}")
             out["dead_letter"].write.mode("overwrite").json(f"{out_root}/dead_letter/batch={batch_id}")
             if "malformed" in out:
                 out["malformed"].write.mode("overwrite").json(f"{out_root}/malformed/batch={batch_id}")
@@ -97,10 +108,10 @@ def e2_batch_writer(
 
 
 def start_e2(text: DataFrame, rules_loader, out_root: str, dim_root: str, name: str = "e2_change_records",
-             trigger=None, checkpoint=None):
+             trigger=None, checkpoint=None, bootstrap: str | None = None):
     spark = text.sparkSession
     cdc = parse.parse_change_records(text)
-    q = cdc.writeStream.foreachBatch(e2_batch_writer(spark, rules_loader, out_root, dim_root))
+    q = cdc.writeStream.foreachBatch(e2_batch_writer(spark, rules_loader, out_root, dim_root, bootstrap))
     return _start(q, spark, name, trigger or {"processingTime": TRIGGERS["e2"]}, checkpoint)
 
 
@@ -146,6 +157,12 @@ def e4_stream(
     return wide
 
 
+def start_e4(wide: DataFrame, out_path: str, name: str = "e4_inspect_wide", trigger=None, checkpoint=None):
+    """Append the joined rows to a file sink (exactly once)."""
+    w = wide.writeStream.format("json").outputMode("append").option("path", out_path)
+    return _start(w, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
+
+
 # -------------------------------------------------------------------- E5
 
 

@@ -324,3 +324,19 @@ def test_daily_part_count_stream(spark, tmp_dir):
     got = sorted((str(r.mdate), r.n_parts) for r in spark.table("daily_s").collect())
     assert got == [("2024-01-01", 2), ("2024-01-02", 2)]
     assert late_rows_dropped(q) == 0
+
+
+def test_e4_file_sink_exactly_once(spark, tmp_dir):
+    base = 1_704_067_200_000
+    schema = "orderId string, ts long"
+    _write_batches(f"{tmp_dir}/i", [[json.dumps({"orderId": "o1", "ts": base})]])
+    _write_batches(f"{tmp_dir}/d", [[json.dumps({"orderId": "o1", "ts": base + 1000})]])
+    wide = sjobs.e4_stream(spark.readStream.schema(schema).json(f"{tmp_dir}/i"),
+                           spark.readStream.schema(schema).json(f"{tmp_dir}/d"))
+    for _ in range(2):  # a restart on the same checkpoint adds nothing
+        q = sjobs.start_e4(wide, f"{tmp_dir}/out", trigger={"processingTime": "200 milliseconds"},
+                           checkpoint=f"{tmp_dir}/ck")
+        q.processAllAvailable()
+        q.stop()
+    got = spark.read.json(f"{tmp_dir}/out").collect()
+    assert [(r.info_orderId, r.detail_ts) for r in got] == [("o1", base + 1000)]
