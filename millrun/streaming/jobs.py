@@ -39,9 +39,11 @@ def e1_stream(text: DataFrame) -> DataFrame:
     """Parse, correct the new-part flag per part (stateful), add ``route``.
     Dead-letter rows ride along with their ``dead_reason``."""
     p = parse.parse_equipment_logs(text)
+    # Only dead-letter rows keep their raw text: good rows' output text is
+    # rebuilt from columns, so the Python step moves far fewer bytes.
     flat = p.select(
         "seq",
-        "raw",
+        F.when(F.col("dead_reason").isNotNull(), F.col("raw")).alias("raw"),
         "part_id",
         "is_new",
         date_text(F.col("log_date")).alias("log_day"),
@@ -120,8 +122,17 @@ def start_e2(text: DataFrame, rules_loader, out_root: str, dim_root: str, name:
 
 def e3_stream(text: DataFrame, ttl_ms: int = 24 * 3600 * 1000, cleanup: bool = True) -> DataFrame:
     p = parse.parse_manufacture_logs(text)
-    flat = p.select("seq", "raw", "part_id", "ts", date_text(F.col("mdate")).alias("mday"), "dead_reason")
-    return unique_part_stream(flat, "part_id", "mday", "seq", ttl_ms, "dead_reason", cleanup)
+    flat = p.select(
+        "seq",
+        F.when(F.col("dead_reason").isNotNull(), F.col("raw")).alias("raw"),
+        "part_id",
+        "ts",
+        date_text(F.col("mdate")).alias("mday"),
+        "dead_reason",
+    )
+    unique = unique_part_stream(flat, "part_id", "mday", "seq", ttl_ms, "dead_reason", cleanup)
+    value = record_text(F.struct(F.col("part_id").alias("partId")).alias("common"), "ts")
+    return unique.withColumn("value", F.when(F.col("dead_reason").isNull(), value))
 
 
 def start_e3(text: DataFrame, out_root: str, name: str = "e3_unique_part", trigger=None, checkpoint=None,
