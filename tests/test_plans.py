@@ -43,3 +43,13 @@ def test_stats_preaggregate_before_dim_joins(spark):
 def test_unique_part_window_is_bucketed(spark):
     plan = _explain(catalog.q_unique_part(spark, SF01))
     assert "_bucket" in plan and "Window" in plan
+
+
+def test_declared_schemas_match_files(spark):
+    from millrun.sources.tables import TABLE_SCHEMAS, read_table
+
+    for sf in ("/root/testdata/sf0.001", SF01, "/root/testdata/sf0.1"):
+        for name in TABLE_SCHEMAS:
+            inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+            declared = read_table(spark, sf, name).schema
+            assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
