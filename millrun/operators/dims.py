@@ -37,12 +37,18 @@ def ensure_dim_table(spark: SparkSession, root: str, sink_table: str, columns: S
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{sink_table}/v=0")
 
 
-def project_data(routed: DataFrame, columns: Sequence[str]) -> DataFrame:
+def project_data(routed: DataFrame, columns: Sequence[str], presence: bool = False) -> DataFrame:
     """``data`` map -> one string column per sink column; keys outside the
-    list are dropped, missing columns are NULL."""
+    list are dropped, missing columns are NULL. With ``presence`` each
+    column also gets ``_has_<column>``: whether the record carried it (a
+    record may carry a column set to NULL)."""
+    data = F.col("data")
+    flags = [F.coalesce(F.map_contains_key(data, F.lit(c)), F.lit(False)).alias(f"_has_{c}")
+             for c in columns] if presence else []
     return routed.select(
         *[c for c in routed.columns if c != "data"],
-        *[F.col("data").getItem(c).alias(c) for c in columns],
+        *[data.getItem(c).alias(c) for c in columns],
+        *flags,
     )
 
 
@@ -67,22 +73,45 @@ def merge_snapshot(
     op: str = "type",
     deletes: str = "remove",
 ) -> DataFrame:
-    """New snapshot = current rows not touched by ``changes`` plus the
-    latest change per pk. ``deletes="remove"`` drops keys whose latest
-    change is a delete; ``deletes="upsert"`` writes them like any row."""
-    cols = list(columns)
-    latest = latest_changes(changes.select(pk, seq, op, *[c for c in cols if c != pk]), [pk], seq)
-    if deletes == "remove":
-        kept_changes = latest.filter(F.col(op) != "delete")
-    elif deletes == "upsert":
-        kept_changes = latest
-    else:
+    """New snapshot after applying ``changes`` in ``seq`` order.
+
+    An upsert writes the columns the record carries (``_has_<column>``
+    flags from ``project_data(presence=True)``; without them every column
+    counts as carried): other columns keep their stored value. With
+    ``deletes="remove"`` a delete drops the key, and only later changes
+    rebuild it; ``deletes="upsert"`` treats deletes like any write.
+
+    One partial aggregate per key — for each column, the latest change
+    that wrote it or deleted the row — so a key changed millions of times
+    costs one row per map task; then one join with the stored snapshot.
+    """
+    if deletes not in ("remove", "upsert"):
         raise ValueError("deletes must be 'remove' or 'upsert'")
-    fresh = kept_changes.select(*cols)
+    cols = [c for c in columns if c != pk]
+    is_del = (F.col(op) == "delete") if deletes == "remove" else F.lit(False)
+    staged = changes.filter(F.col(pk).isNotNull()).withColumn("_del", F.coalesce(is_del, F.lit(False)))
+    has = {c: (F.col(f"_has_{c}") if f"_has_{c}" in changes.columns else F.lit(True)) for c in cols}
+    agg = staged.groupBy(pk).agg(
+        F.max_by(F.col("_del"), F.col(seq)).alias("_gone"),
+        *[
+            F.max_by(
+                F.struct(F.col("_del").alias("d"), F.col(c).alias("v")),
+                F.when(has[c] | F.col("_del"), F.col(seq)),
+            ).alias(f"_w_{c}")
+            for c in cols
+        ],
+    )
     if current is None:
-        return fresh
-    untouched = current.select(*cols).join(latest.select(pk), on=pk, how="left_anti")
-    return untouched.unionByName(fresh)
+        current = changes.sparkSession.createDataFrame([], dim_schema(columns, pk))
+    cur = current.select(pk, *[F.col(c).alias(f"_cur_{c}") for c in cols]).withColumn("_cur", F.lit(True))
+    merged = cur.join(agg, on=pk, how="full_outer")
+
+    def value(c: str):
+        w = F.col(f"_w_{c}")
+        return F.when(w.isNull(), F.col(f"_cur_{c}")).when(w["d"], F.lit(None)).otherwise(w["v"]).alias(c)
+
+    kept = merged.filter(F.col("_gone").isNull() | ~F.col("_gone"))
+    return kept.select(*[F.col(pk) if c == pk else value(c) for c in columns])
 
 
 def read_snapshot(

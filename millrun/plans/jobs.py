@@ -68,17 +68,19 @@ def e2_apply_dims(
     prepared = routing.prepare_rules(rules).filter(
         (F.col("sink_kind") == routing.DIM_SINK) & F.col("rule_error").isNull()
     )
-    done = []
-    for r in prepared.select("sink_table", "pk_column", "sink_columns").distinct().collect():
-        cols = list(r["sink_columns"])
-        dims.ensure_dim_table(spark, root, r["sink_table"], cols, r["pk_column"])
-        changes = dims.project_data(
-            dim_changes.filter(F.col("sink_table") == r["sink_table"]), cols
-        )
-        dims.upsert_dim(spark, changes, root, r["sink_table"], r["pk_column"], cols, version,
-                        deletes=deletes)
-        done.append(r["sink_table"])
-    return done
+    # One upsert per dim table: the rules that feed it (insert, update, ...)
+    # may list different columns; the table gets their union, in order.
+    tables: dict[str, tuple[str, list[str]]] = {}
+    for r in prepared.select("sink_table", "pk_column", "sink_columns").collect():
+        pk, cols = tables.get(r["sink_table"], (r["pk_column"], []))
+        if pk != r["pk_column"]:
+            raise ValueError(f"rules for {r['sink_table']} name two pk columns: {pk}, {r['pk_column']}")
+        tables[r["sink_table"]] = (pk, cols + [c for c in r["sink_columns"] if c not in cols])
+    for sink_table, (pk, cols) in sorted(tables.items()):
+        dims.ensure_dim_table(spark, root, sink_table, cols, pk)
+        changes = dims.project_data(dim_changes.filter(F.col("sink_table") == sink_table), cols, presence=True)
+        dims.upsert_dim(spark, changes, root, sink_table, pk, cols, version, deletes=deletes)
+    return sorted(tables)
 
 
 def e3_unique_parts(text: DataFrame, mode: str = "change", text_col: str = "value") -> dict[str, DataFrame]:

@@ -24,3 +24,23 @@ def test_batch_jobs_write_layers(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/dwm_unique_part").count() == n_pairs
     assert spark.read.parquet(f"{tmp_dir}/part_stats").agg(F.sum("n_records")).first()[0] == events.count()
     assert e1["dead_letter"].count() == 0
+
+
+def test_dim_rules_with_different_columns_share_one_upsert(spark, tmp_dir):
+    from millrun.operators import dims
+    from millrun.sources.shapes import CHANGE_RECORD, RULE
+
+    rules = spark.createDataFrame(
+        [("users", "insert", "hbase", "dim_users", "id,name", None, None, 1),
+         ("users", "update", "hbase", "dim_users", "id,city", None, None, 1)], RULE)
+    cdc = spark.createDataFrame(
+        [("users", "insert", 0, 1, {"id": "u1", "name": "a", "city": "x"}),
+         ("users", "update", 0, 2, {"id": "u1", "city": "y"}),
+         ("users", "insert", 0, 3, {"id": "u2", "name": "b"})], CHANGE_RECORD)
+    out = jobs.e2_change_records(cdc, rules)
+    assert jobs.e2_apply_dims(spark, out["dim_changes"], rules, tmp_dir, 1) == ["dim_users"]
+    snap = dims.read_snapshot(spark, tmp_dir, "dim_users")
+    assert snap.columns == ["id", "name", "city"]
+    got = sorted(tuple(r) for r in snap.select("id", "name", "city").collect())
+    # the update carried only "city": "name" keeps its stored value
+    assert got == [("u1", "a", "y"), ("u2", "b", None)]

@@ -354,3 +354,20 @@ def test_equipment_log_dead_letter_reasons(spark):
     assert got[5] == (None, None, "2024-01-01")  # epoch-ms text
     assert got[6][0] == "malformed_json"
     assert parse.good(parse.parse_equipment_logs(df)).count() == 2
+
+
+def test_merge_snapshot_column_level(spark):
+    cols = ["id", "name", "city"]
+    cur = spark.createDataFrame([("1", "a", "x"), ("2", "b", "y"), ("3", "c", "z")], "id string, name string, city string")
+    ch = spark.createDataFrame(
+        [("1", None, "x2", "update", 5, False, True),    # only city carried
+         ("1", "a3", None, "update", 7, True, False),    # only name carried
+         ("2", None, None, "delete", 6, False, False),   # removed
+         ("3", None, None, "delete", 4, False, False),   # removed, then rebuilt
+         ("3", "c2", None, "insert", 8, True, False),
+         ("4", "n", "q", "insert", 9, True, True),
+         ("5", None, "w", "update", 3, True, True)],     # name explicitly NULL
+        "id string, name string, city string, type string, seq long, _has_name boolean, _has_city boolean",
+    )
+    got = rows(dims.merge_snapshot(cur, ch, "id", cols), "id", "name", "city")
+    assert got == [("1", "a3", "x2"), ("3", "c2", None), ("4", "n", "q"), ("5", None, "w")]
