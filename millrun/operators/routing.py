@@ -105,11 +105,16 @@ def prepare_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def route_changes(cdc: DataFrame, rules: DataFrame) -> DataFrame:
+def route_changes(cdc: DataFrame, rules: DataFrame, rule_rows: int | None = None) -> DataFrame:
     """Valid change records joined to their rule (exact (table, type)
     match). Adds ``sink_table``, ``pk_column``, ``sink_columns`` and
-    ``route`` in {fact, dim, dead} with a ``reason`` for dead rows."""
-    prepared = bounded_broadcast(prepare_rules(rules), RULE_MAX_ROWS)
+    ``route`` in {fact, dim, dead} with a ``reason`` for dead rows.
+    ``rule_rows`` is the rule count when the caller knows it (a literal
+    table); otherwise the rules are counted before being broadcast."""
+    if rule_rows is not None and rule_rows <= RULE_MAX_ROWS:
+        prepared = F.broadcast(prepare_rules(rules))
+    else:
+        prepared = bounded_broadcast(prepare_rules(rules), RULE_MAX_ROWS)
     joined = valid_changes(cdc).join(
         prepared,
         (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),

@@ -74,7 +74,7 @@ def q_daily_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _routed(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.route_changes(si.change_records(spark, sf), si.rules(spark))
+    return routing.route_changes(si.change_records(spark, sf), si.rules(spark), len(si.RULE_ROWS))
 
 
 def q_parse_filter(spark: SparkSession, sf: str) -> DataFrame:
