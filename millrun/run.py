@@ -16,7 +16,6 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrun.operators import parse
 from millrun.session import build_session
@@ -72,9 +71,13 @@ def start(args, spark: SparkSession):
         return jobs.start_e4(wide, f"{out}/dwm_inspect_wide", trigger=_trigger(args, job))
     if job == "e5":
         feeds = [_feed(_text(spark, args, t)) for t in topics[:3]]
-        production = spark.read.schema(PRODUCTION_DIM).parquet(args.production)
-        stats = jobs.e5_stream(*feeds, production, window=args.window)
-        return jobs.start_e5(stats, f"{out}/dws_size_stats", trigger=_trigger(args, job))
+        grain = jobs.e5_grain_stream(*feeds, window=args.window)
+        path = args.production
+        # the production dim is re-read for every micro-batch (fresh lookups)
+        return jobs.start_e5_fresh_dims(
+            grain, lambda: spark.read.schema(PRODUCTION_DIM).parquet(path), f"{out}/dws_size_stats",
+            args.window, trigger=_trigger(args, job),
+        )
     raise ValueError(job)
 
 

@@ -197,6 +197,52 @@ def e5_stream(
     return stats.size_stats_enriched(feeds, lookup, "ts", window, grain=("mid", "isnew"), preaggregate=False)
 
 
+def e5_grain_stream(
+    detail: DataFrame,
+    per_size: DataFrame,
+    recheck: DataFrame,
+    window: str = "10 seconds",
+    delay: str = "3 seconds",
+) -> DataFrame:
+    """Three feeds -> union -> watermark -> window sums per (production id,
+    new flag), append mode. Every row of a window leaves in the same
+    micro-batch (the one whose watermark passes the window's end), so a
+    per-batch roll-up to the dim keys is complete (``start_e5_fresh_dims``)."""
+    keep = [F.col("mid"), F.col("isNew").alias("isnew"), epoch_ms_to_ts("ts").alias("ts")]
+    feeds = stats.union_feeds(
+        stats.normalise(detail, "detail", keep),
+        stats.normalise(per_size, "per_size", keep),
+        stats.normalise(recheck, "recheck", keep),
+    ).withWatermark("ts", delay)
+    sums = feeds.groupBy(F.window("ts", window).alias("_w"), "mid", "isnew").agg(
+        *[F.sum(m).cast("bigint").alias(m) for m in stats.MEASURES]
+    )
+    return sums.select(F.col("_w.start").alias("ts"), "mid", "isnew", *stats.MEASURES)
+
+
+def start_e5_fresh_dims(
+    grain: DataFrame,
+    production_loader: Callable[[], DataFrame],
+    out_path: str,
+    window: str = "10 seconds",
+    name: str = "e5_size_stats_fresh",
+    trigger=None,
+    checkpoint=None,
+):
+    """E5 with the production dim re-read for every micro-batch (no stale
+    lookup): enrich the closed windows' partial sums, roll up to
+    (window, factory, line, process type, equipment, flag), write
+    ``batch=<id>`` (overwrite: replays replace themselves)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        lookup = [(production_loader(), "mid", "id", {"Fid": "fid", "lid": "lid", "mType": "mtype", "eId": "eid"})]
+        out = stats.size_stats_enriched(batch, lookup, "ts", window, grain=("mid", "isnew"), preaggregate=False)
+        out.write.mode("overwrite").json(f"{out_path}/batch={batch_id}")
+
+    q = grain.writeStream.outputMode("append").foreachBatch(run)
+    return _start(q, grain.sparkSession, name, trigger or {"processingTime": TRIGGERS["e5"]}, checkpoint)
+
+
 def start_e5(stream: DataFrame, out_path: str, name: str = "e5_size_stats", trigger=None, checkpoint=None):
     w = stream.writeStream.format("json").outputMode("append").option("path", out_path)
     return _start(w, stream.sparkSession, name, trigger or {"processingTime": TRIGGERS["e5"]}, checkpoint)

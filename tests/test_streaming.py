@@ -340,3 +340,31 @@ def test_e4_file_sink_exactly_once(spark, tmp_dir):
         q.stop()
     got = spark.read.json(f"{tmp_dir}/out").collect()
     assert [(r.info_orderId, r.detail_ts) for r in got] == [("o1", base + 1000)]
+
+
+def test_e5_fresh_dims_per_batch(spark, tmp_dir):
+    """Closed windows are rolled up with the dim snapshot current at that
+    batch: a dim change between batches shows in later windows."""
+    base = 1_704_067_200_000
+    schema = "mid string, isNew string, isPass string, ts long"
+    src = f"{tmp_dir}/d"
+    _write_batches(src, [[json.dumps({"mid": "m1", "isNew": "1", "isPass": "0", "ts": base}),
+                          json.dumps({"mid": "m1", "isNew": "1", "isPass": "1", "ts": base + 20_000})]])
+    for n in ("s", "r"):
+        _write_batches(f"{tmp_dir}/{n}", [[json.dumps({"mid": "m1", "isNew": "1", "isPass": "0", "ts": base + 1000})]])
+    dim_rows = [("m1", "e1", "f1", "t1", "l1")]
+    loader = lambda: spark.createDataFrame(dim_rows, "id string, eId string, Fid string, mType string, lid string")
+    streams = [spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_dir}/{n}") for n in "dsr"]
+    grain = sjobs.e5_grain_stream(*streams, window="10 seconds", delay="3 seconds")
+    q = sjobs.start_e5_fresh_dims(grain, loader, f"{tmp_dir}/out", "10 seconds",
+                                  trigger={"processingTime": "200 milliseconds"}, checkpoint=f"{tmp_dir}/ck")
+    q.processAllAvailable()
+    dim_rows[0] = ("m1", "e2", "f2", "t2", "l2")  # the dim changes
+    with open(f"{src}/part-0001.json", "w") as f:
+        f.write(json.dumps({"mid": "m1", "isNew": "1", "isPass": "1", "ts": base + 60_000}) + "\n")
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.wbt, r.fid): (r.defect_sum, r.check_sum, r.defect_type_count, r.double_sum, r.double_fail_sum)
+           for r in spark.read.json(f"{tmp_dir}/out").collect()}
+    assert got[("2024-01-01 00:00:00", "f1")] == (1, 1, 1, 1, 1)
+    assert got[("2024-01-01 00:00:20", "f2")] == (0, 1, 0, 0, 0)
