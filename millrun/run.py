@@ -16,12 +16,17 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from millrun.operators import parse
 from millrun.session import build_session
 from millrun.sources.shapes import INSPECTION_EVENT, PRODUCTION_DIM, RULE
 from millrun.streaming import io, jobs
 
+# Inspection header/detail records: order id, event time (epoch ms) and
+# the equipment that did the work (used by the equipment lookup).
+INSPECT_RECORD = "orderId string, ts long, equipmentId string"
+
 # Topic names of the source design.
 TOPICS = {
     "e1": ["ods_log_topic"],
@@ -65,9 +70,14 @@ def start(args, spark: SparkSession):
         return jobs.start_e3(_text(spark, args, topics[0]), out, trigger=_trigger(args, job),
                              cleanup=not args.once)
     if job == "e4":
-        info, detail = (parse.good(parse.parse_inspections(_text(spark, args, t))) for t in topics[:2])
-        equipment = spark.read.parquet(args.equipment) if args.equipment else None
-        wide = jobs.e4_stream(info.drop("raw"), detail.drop("raw"), equipment)
+        schema = T.StructType.fromDDL(INSPECT_RECORD)
+        info, detail = (parse.good(parse.parse_records(_text(spark, args, t), schema, "orderId"))
+                        for t in topics[:2])
+        wide = jobs.e4_stream(info.drop("raw"), detail.drop("raw"))
+        if args.equipment:  # equipment dim re-read for every micro-batch
+            path = args.equipment
+            return jobs.start_e4_fresh_dims(wide, lambda: spark.read.parquet(path),
+                                            f"{out}/dwm_inspect_wide", trigger=_trigger(args, job))
         return jobs.start_e4(wide, f"{out}/dwm_inspect_wide", trigger=_trigger(args, job))
     if job == "e5":
         feeds = [_feed(_text(spark, args, t)) for t in topics[:3]]

@@ -174,6 +174,30 @@ def start_e4(wide: DataFrame, out_path: str, name: str = "e4_inspect_wide", trig
     return _start(w, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
 
 
+def start_e4_fresh_dims(
+    wide: DataFrame,
+    equipment_loader: Callable[[], DataFrame],
+    out_path: str,
+    name: str = "e4_inspect_wide_fresh",
+    trigger=None,
+    checkpoint=None,
+):
+    """E4 with the equipment dim (id, start_date) re-read for every
+    micro-batch: joined rows get the equipment's start date and working
+    days at event time, written to ``batch=<id>`` (replays replace
+    themselves)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        out = dims.enrich(batch, equipment_loader(), "detail_equipmentId", "id", {"start_date": "equipment_start"})
+        out = out.withColumn(
+            "working_days", F.datediff(F.to_date("detail_time"), F.col("equipment_start")).cast("bigint")
+        )
+        out.write.mode("overwrite").json(f"{out_path}/batch={batch_id}")
+
+    q = wide.writeStream.outputMode("append").foreachBatch(run)
+    return _start(q, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
+
+
 # -------------------------------------------------------------------- E5
 
 

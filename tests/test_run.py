@@ -37,3 +37,17 @@ def test_run_e3_and_e5_once(spark, tmp_dir):
     w = spark.read.json(f"{tmp_dir}/out/dws_size_stats").collect()
     first = [r for r in w if r.wbt == "2024-01-01 00:00:00"]
     assert [(r.defect_sum, r.check_sum, r.defect_type_count, r.double_sum, r.double_fail_sum) for r in first] == [(1, 1, 1, 1, 1)]
+
+
+def test_run_e4_with_equipment_dim(spark, tmp_dir):
+    import datetime as dt
+
+    base = 1_704_067_200_000
+    _topic(tmp_dir + "/in", "dwd_inspect_info", [{"orderId": "o1", "ts": base, "equipmentId": "q1"}])
+    _topic(tmp_dir + "/in", "dwd_inspect_detail",
+           [{"orderId": "o1", "ts": base + 4000, "equipmentId": "q1"}, {"orderId": "o1", "ts": base + 9000, "equipmentId": "q1"}])
+    spark.createDataFrame([("q1", dt.date(2023, 12, 22))], "id string, start_date date").write.parquet(f"{tmp_dir}/eq")
+    assert run.main(["e4", "--source", "files", "--input", f"{tmp_dir}/in", "--out", f"{tmp_dir}/out",
+                     "--equipment", f"{tmp_dir}/eq", "--once"], spark) == 0
+    got = spark.read.json(f"{tmp_dir}/out/dwm_inspect_wide").collect()
+    assert [(r.detail_ts - base, r.working_days) for r in got] == [(4000, 10)]
