@@ -185,6 +185,27 @@ def daily_part_count_stream(
     ).select(F.to_date(F.col("_w.start")).alias("mdate"), "n_parts")
 
 
+def first_defect_stream(
+    details: DataFrame,
+    mid: str = "mid",
+    size_id: str = "size_id",
+    is_pass: str = "isPass",
+    event_ts: str = "ets",
+    delay: str = "1 day",
+) -> DataFrame:
+    """Streaming "independent size" feed: the first defective detail per
+    (production id, size, day), kept by the built-in dedupe within the
+    watermark (a defect arriving more than ``delay`` late may be dropped
+    as late, never duplicated)."""
+    defects = details.filter(~F.coalesce(F.col(is_pass) == "1", F.lit(False)))
+    return (
+        defects.withWatermark(event_ts, delay)
+        .withColumn("_day", F.to_date(event_ts))
+        .dropDuplicatesWithinWatermark([mid, size_id, "_day"])
+        .drop("_day")
+    )
+
+
 # ------------------------------------------------------------ re-check feed
 
 

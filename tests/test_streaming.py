@@ -368,3 +368,22 @@ def test_e5_fresh_dims_per_batch(spark, tmp_dir):
            for r in spark.read.json(f"{tmp_dir}/out").collect()}
     assert got[("2024-01-01 00:00:00", "f1")] == (1, 1, 1, 1, 1)
     assert got[("2024-01-01 00:00:20", "f2")] == (0, 1, 0, 0, 0)
+
+
+def test_first_defect_stream_matches_batch(spark, tmp_dir):
+    from millrun.operators import inspect
+    from millrun.streaming.stateful import first_defect_stream
+
+    base, day = 1_704_067_200_000, 86_400_000
+    recs = [("m1", "a", "0", 0), ("m1", "a", "0", 1000), ("m1", "a", "1", 2000), ("m1", "b", None, 3000),
+            ("m1", "a", "0", day + 5), ("m2", "a", "1", 10)]
+    _write_batches(f"{tmp_dir}/d", [[json.dumps({"mid": m, "size_id": s, "isPass": p, "ts": base + t})
+                                     for m, s, p, t in recs]])
+    schema = "mid string, size_id string, isPass string, ts long"
+    s = spark.readStream.schema(schema).json(f"{tmp_dir}/d").withColumn("ets", F.timestamp_millis("ts"))
+    _run_to_memory(first_defect_stream(s), "fd_s", f"{tmp_dir}/ck")
+    got = rows(spark.table("fd_s"), "mid", "size_id", "ts")
+    b = spark.read.schema(schema).json(f"{tmp_dir}/d").withColumn("ets", F.timestamp_millis("ts")) \
+        .withColumn("day", F.to_date("ets"))
+    want = rows(inspect.first_defect_per_size(b, order=["ts"]), "mid", "size_id", "ts")
+    assert got == want == [("m1", "a", base), ("m1", "a", base + day + 5), ("m1", "b", base + 3000)]
