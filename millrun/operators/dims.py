@@ -34,7 +34,8 @@ def dim_schema(columns: Sequence[str], pk: str = "id") -> T.StructType:
 def ensure_dim_table(spark: SparkSession, root: str, sink_table: str, columns: Sequence[str], pk: str = "id") -> None:
     """Create an empty version 0 of the dim table if none exists."""
     schema = dim_schema(columns, pk)
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{sink_table}/v=0")
+    empty = spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in schema.fields])
+    empty.write.mode("ignore").parquet(f"{root}/{sink_table}/v=0")
 
 
 def project_data(routed: DataFrame, columns: Sequence[str], presence: bool = False) -> DataFrame:
@@ -101,10 +102,11 @@ def merge_snapshot(
             for c in cols
         ],
     )
-    if current is None:
-        current = changes.sparkSession.createDataFrame([], dim_schema(columns, pk))
-    cur = current.select(pk, *[F.col(c).alias(f"_cur_{c}") for c in cols]).withColumn("_cur", F.lit(True))
-    merged = cur.join(agg, on=pk, how="full_outer")
+    if current is None:  # nothing stored yet: no join
+        merged = agg.select("*", *[F.lit(None).cast("string").alias(f"_cur_{c}") for c in cols])
+    else:
+        cur = current.select(pk, *[F.col(c).alias(f"_cur_{c}") for c in cols])
+        merged = cur.join(agg, on=pk, how="full_outer")
 
     def value(c: str):
         w = F.col(f"_w_{c}")

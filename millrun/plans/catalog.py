@@ -120,6 +120,21 @@ def q_dim_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_dim_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The dim table after applying every dim-routed change to an empty
+    snapshot (per-column latest write; deletes would remove keys)."""
+    routed = _routed(spark, sf).filter(F.col("route") == "dim")
+    changes = dims.project_data(routed, ["id", "k"], presence=True)
+    snap = dims.merge_snapshot(None, changes, "id", ["id", "k"])
+    return snap.select("id", "k")
+
+
+def q_fact_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Fact messages per destination topic (the per-record topic sink)."""
+    facts = routing.fact_messages(_routed(spark, sf))
+    return facts.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 def q_enrich_asof(spark: SparkSession, sf: str) -> DataFrame:
     versions = _dim_changes(spark, sf).select(
         F.col("id").cast("bigint").alias("user_id"),
@@ -256,6 +271,8 @@ QUERIES: dict[str, Query] = {
     "q_route": q_route,
     "q_unroutable": q_unroutable,
     "q_dim_upsert": q_dim_upsert,
+    "q_dim_snapshot": q_dim_snapshot,
+    "q_fact_topics": q_fact_topics,
     "q_unique_part": q_unique_part,
     "q_unique_part_first": q_unique_part_first,
     "q_daily_parts": q_daily_parts,

@@ -134,6 +134,14 @@ ranked AS (
          row_number() OVER (PARTITION BY sink_table, user_id ORDER BY event_id DESC) AS rn
   FROM routed WHERE route = 'dim')
 SELECT sink_table, id, k, op, event_id FROM ranked WHERE rn = 1""",
+    "q_dim_snapshot": _ROUTED + """,
+ranked AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, k,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+  FROM routed WHERE route = 'dim')
+SELECT id, k FROM ranked WHERE rn = 1""",
+    "q_fact_topics": _ROUTED + """
+SELECT sink_table AS topic, CAST(count(*) AS BIGINT) AS n FROM routed WHERE route = 'fact' GROUP BY sink_table""",
     "q_unique_part": _MLOG + """,
 l AS (SELECT *, lag(mdate) OVER (PARTITION BY part_id ORDER BY event_id) AS prev FROM m)
 SELECT event_id, part_id, mdate FROM l WHERE prev IS NULL OR prev <> mdate""",
