@@ -53,3 +53,14 @@ def test_declared_schemas_match_files(spark):
             inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
             declared = read_table(spark, sf, name).schema
             assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
+
+
+def test_cluster_conf_sizes_from_input():
+    from millrun.session import cluster_conf
+
+    tb = 1 << 40
+    conf = cluster_conf(100 * tb, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * tb // 2 // (256 << 20)
+    assert int(cluster_conf(1 << 30, 8000)["spark.sql.shuffle.partitions"]) == 24000  # at least 3 waves
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
