@@ -238,10 +238,11 @@ def q_metric_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_tumbling_10s(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events", ["ts", "event_type"])
-    w = e.groupBy(F.window("ts", "10 seconds").alias("_w"), "event_type").agg(
+    w = e.groupBy(stats.window_start("ts", "10 seconds").alias("_ws"), "event_type").agg(
         F.count(F.lit(1)).cast("bigint").alias("n")
     )
-    return w.select(ts_text(F.col("_w.start")).alias("wbt"), ts_text(F.col("_w.end")).alias("wet"), "event_type", "n")
+    end = F.col("_ws") + F.expr("INTERVAL 10 seconds")
+    return w.select(ts_text(F.col("_ws")).alias("wbt"), ts_text(end).alias("wet"), "event_type", "n")
 
 
 def q_size_first(spark: SparkSession, sf: str) -> DataFrame:
