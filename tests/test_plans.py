@@ -64,3 +64,14 @@ def test_cluster_conf_sizes_from_input():
     assert int(cluster_conf(1 << 30, 8000)["spark.sql.shuffle.partitions"]) == 24000  # at least 3 waves
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+
+
+def test_no_cross_joins_or_row_caps_in_any_query(spark):
+    """Every registered query: no cartesian or nested-loop join, no limit."""
+    import __spark_entry__ as se
+    from conftest import SF001
+
+    for name, fn in se.queries().items():
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "GlobalLimit", "CollectLimit", "LocalLimit"):
+            assert bad not in plan, (name, bad)
