@@ -67,11 +67,13 @@ def test_cluster_conf_sizes_from_input():
 
 
 def test_no_cross_joins_or_row_caps_in_any_query(spark):
-    """Every registered query: no cartesian or nested-loop join, no limit."""
+    """Every registered query: no cartesian or nested-loop join, no limit,
+    and no Python in the plan (every operator runs JVM-side)."""
     import __spark_entry__ as se
     from conftest import SF001
 
     for name, fn in se.queries().items():
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
-        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "GlobalLimit", "CollectLimit", "LocalLimit"):
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "GlobalLimit", "CollectLimit", "LocalLimit",
+                    "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert bad not in plan, (name, bad)
