@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe
-from .common import table
+from . import byte_bpe, packing, token_file
+from .common import scratch, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -21,7 +21,18 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_file.round_trip(docs, scratch(spark, "token-file"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+
+
+def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"), size=2048, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op9_token_file": op9_token_file,
+    "op10_best_fit": op10_best_fit,
 }
 ORACLE_SQL: dict[str, str] = {}
