@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing, token_file
+from . import byte_bpe, packing, simhash, token_file
 from .common import scratch, table
 
 
@@ -21,6 +21,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3, seed=42)
+
+
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_file.round_trip(docs, scratch(spark, "token-file"), tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -32,6 +36,7 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op7_simhash": op7_simhash,
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
 }
