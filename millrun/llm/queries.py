@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, simhash, token_file
+from . import byte_bpe, packing, simhash, substrings, token_file
 from .common import scratch, table
 
 
@@ -21,6 +22,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.deduplicate(table(spark, sf_dir, "documents", "doc_id", "text"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3, seed=42)
 
@@ -36,6 +42,7 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_substrings": op3_substrings,
     "op7_simhash": op7_simhash,
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
