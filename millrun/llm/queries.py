@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, simhash, substrings, surrogates, token_file
+from . import byte_bpe, packing, simhash, substrings, surrogates, token_file, toxicity
 from .common import scratch, table
 
 
@@ -35,6 +35,10 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymize(table(spark, sf_dir, "documents"), SURROGATE_KEY, count_col="n_entities")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3, seed=42)
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_substrings": op3_substrings,
     "op4_surrogates": op4_surrogates,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
