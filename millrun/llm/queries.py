@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, simhash, substrings, surrogates, token_file, toxicity
+from . import byte_bpe, language_id, packing, simhash, substrings, surrogates, token_file, toxicity
 from .common import scratch, table
 
 
@@ -43,6 +43,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, distance=3, seed=42)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.of_documents(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over raw pages, with markup, address and hosts."""
+    return language_id.of_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), ["page_id", "url"])
+
+
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_file.round_trip(docs, scratch(spark, "token-file"), tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -58,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_surrogates": op4_surrogates,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
+    "language_id_pages": language_id_pages,
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
 }
