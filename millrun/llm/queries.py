@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, packing, simhash, substrings, surrogates, token_file, toxicity
+from . import byte_bpe, hamming, inverted_index, language_id, packing, simhash, substrings, surrogates, token_file, toxicity
 from .common import scratch, table
 
 
@@ -18,6 +18,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding").select("vec_id", hamming.sign_code("embedding").alias("code"))
+    return hamming.top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
@@ -35,6 +40,11 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymize(table(spark, sf_dir, "documents"), SURROGATE_KEY, count_col="n_entities")
 
 
+def op5_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return inverted_index.search(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
@@ -62,9 +72,11 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hamming": op1_hamming,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_substrings": op3_substrings,
     "op4_surrogates": op4_surrogates,
+    "op5_inverted_index": op5_inverted_index,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
@@ -72,4 +84,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_hamming": """
+        WITH pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   len(list_filter(range(1, 65), lambda i: (q.embedding[i] > 0) <> (c.embedding[i] > 0))) AS distance
+            FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance FROM ranked WHERE rank <= 10
+    """,
+}
