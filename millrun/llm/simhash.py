@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import emit, rows_of, stored, text_of
@@ -43,7 +43,6 @@ _LEVELS = 5
 _CHUNK = 1 << 19  # node pairs held at once
 _BUFFER = 1 << 18  # fingerprints held at once, at least one whole group
 
-_FINGERPRINT = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _COLUMN = (256 * np.arange(8)).astype(np.int16)
 
@@ -75,19 +74,21 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     return majority(np.fromiter((digest(joined[a:b], seed) for a, b in spans), np.uint64, n))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, the long columns of ``carry``): the fingerprint's 64 bits as a signed long."""
+    names = ["doc_id", "fp", *carry]
+    schema = pa.schema([(n, pa.int64()) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], []]
-            for doc, text in rows_of(batch, "doc_id", "text"):
+            out: list[list] = [[] for _ in names]
+            for doc, text, *rest in rows_of(batch, "doc_id", "text", *carry):
                 fp = fingerprint(text, shingle, seed)
-                out[0].append(doc)
-                out[1].append(fp - (1 << 64) if fp >> 63 else fp)
-            yield emit(_FINGERPRINT, out)
+                for column, v in zip(out, (doc, fp - (1 << 64) if fp >> 63 else fp, *rest), strict=True):
+                    column.append(v)
+            yield emit(schema, out)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *carry).mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 class _Components:
@@ -258,12 +259,32 @@ def components(edges: DataFrame) -> DataFrame:
         seen, k = now, k + 1
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """``classes`` (one row a fingerprint) with the ``root`` of each one's component."""
+    rooted = components(links(classes, distance))
+    return classes.join(rooted, classes["fp"] == rooted["node"], "left").select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every document."""
     marked = stored(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
-    rooted = components(links(classes, distance))
-    named = classes.join(rooted, classes["fp"] == rooted["node"], "left").select("fp", "least_doc", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(classes, distance)
     least = named.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     of_fp = named.join(least, "root").select("fp", "component_id")
     return marked.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, seed: int = 42) -> DataFrame:
+    """One document of each component, with all its columns: the smallest id's
+    (null ids last; of one id's texts the one with the smallest hash, and one
+    row of those that are the same)."""
+    doc, tie = F.col(id_col).cast("long"), F.xxhash64(text_of(text_col))
+    given = docs.select(F.col(id_col), F.col(text_col), tie.alias("__tie"))
+    marked = stored(fingerprints(given, id_col, text_col, shingle, seed, carry=("__tie",)), "fingerprints")
+    classes = marked.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "__tie")).alias("least"))
+    kept = stored(_rooted(classes, distance).groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("__doc"), F.col("least.__tie").alias("__kept")), "kept")
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), doc.alias("__id"), tie.alias("__tie"))
+    found = rows.join(kept, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__tie") == F.col("__kept")))
+    first = F.row_number().over(Window.partitionBy("__id", "__tie").orderBy("__tie"))
+    return found.withColumn("__n", first).where("__n = 1").select("__row.*")

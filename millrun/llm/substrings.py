@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_of, stored, text_of
@@ -249,14 +249,13 @@ def _search(window: int):
     return run
 
 
-def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents with the place columns ``doc`` and ``tie``."""
-    return docs.withColumns({"doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "tie": F.hash(text_of(text_col))})
+def _place_of(id_col: str, text_col: str, doc: str = "doc", tie: str = "tie") -> list[Column]:
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias(doc), F.hash(text_of(text_col)).alias(tie)]
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, key_segments: int = KEY_SEGMENTS) -> DataFrame:
     """(doc, tie, start, many): runs of ``many`` windows from word ``start`` on whose words also start earlier."""
-    texts = _places(docs.select(id_col, text_col), id_col, text_col).select("doc", "tie", text_of(text_col).alias("text"))
+    texts = docs.select(*_place_of(id_col, text_col), text_of(text_col).alias("text"))
     segments = stored(texts.mapInArrow(_emit_segments(window), _SEGMENT_SQL), "segments")
     places = segments.groupBy("key").agg(F.sum(F.col("at").bitwiseAND(F.lit(255))).alias("n"))
     # rows of one id and text stand twice: they are one document
@@ -313,7 +312,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     runs = covered(docs, id_col, text_col, window, key_segments).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "many")).alias("__runs"))
     names = [id_col, *(c for c in carry if c != id_col)]
-    placed = _places(docs, id_col, text_col).select(*names, F.col("doc").alias("__doc"), F.col("tie").alias("__tie"), text_of(text_col).alias("__text"))
+    placed = docs.select(*names, *_place_of(id_col, text_col, "__doc", "__tie"), text_of(text_col).alias("__text"))
     runs = runs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"})
     joined = placed.join(runs, ["__doc", "__tie"], "left").select(*names, "__text", "__runs")
     out = StructType([joined.schema[n] for n in names]).add("n_words", LongType()).add("n_removed", LongType()).add("kept", StringType())
