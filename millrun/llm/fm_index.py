@@ -92,7 +92,7 @@ class FmIndex:
 
         patterns: (symbols, starts, lengths). All go right to left together,
         one symbol a step. Each keeps the interval of its longest match of at
-        most ``depth`` symbols; one that fails starts anew.
+        most ``depth`` symbols; one that can't go on is shortened at its right end.
         """
         symbols, starts, lengths = patterns
         order = np.argsort(-lengths, kind="stable")
@@ -104,14 +104,11 @@ class FmIndex:
             a = self.below[c] + self.bwt.rank(c, lo[:live])
             b = self.below[c] + self.bwt.rank(c, hi[:live])
             lost = a >= b
-            if lost.any():
-                # the longest match that can go on: the symbol alone, at worst
-                a = np.where(lost, self.below[c], a)
-                b = np.where(lost, self.below[c] + self.bwt.rank(c, np.full(live, self.size)), b)
-                got[:live][lost] = 0
             got[:live] += 1
+            if lost.any():
+                a[lost], b[lost], got[:live][lost] = self._longest(symbols, (ends[:live] - 1 - step)[lost], got[:live][lost] - 1)
             over = got[:live] > self.depth
-            g = self.group[np.minimum(a, self.size - 1)]
+            g = self.group[np.minimum(a, self.size - 1)]  # of matches of less than depth symbols it has no use
             a, b = np.where(over, self.lo[g], a), np.where(over, self.hi[g], b)
             got[:live][over] = self.depth
             lo[:live], hi[:live] = a, b
@@ -119,6 +116,26 @@ class FmIndex:
             if len(full):
                 yield order[full], step + 1, self.first_place[g[full]]
 
+    def _interval(self, symbols: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix-array intervals of symbols[begin : begin + length], by backward search."""
+        lo, hi = np.zeros(len(begins), np.int64), np.full(len(begins), self.size, np.int64)
+        for step in range(int(lengths.max(initial=0))):
+            live = np.flatnonzero((step < lengths) & (lo < hi))
+            c = symbols[(begins + lengths - 1 - step)[live]]
+            lo[live], hi[live] = (self.below[c] + self.bwt.rank(c, x[live]) for x in (lo, hi))
+        return lo, hi
+
+    def _longest(self, symbols: np.ndarray, begins: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Interval and length of the longest match from each place, of at most
+        ``most`` symbols: halving, as every beginning of a match is one."""
+        known, bound = np.zeros_like(most), most.copy()
+        while (known < bound).any():
+            middle = (known + bound + 1) // 2
+            lo, hi = self._interval(symbols, begins, middle)
+            found = lo < hi
+            known, bound = np.where(found, middle, known), np.where(found, bound, middle - 1)
+        return *self._interval(symbols, begins, known), known
+
 
 def _pair(rank: np.ndarray, shift: int) -> np.ndarray:
     """Ranks of (rank at i, rank at i + shift); beyond the end counts as least."""

@@ -114,8 +114,8 @@ def _sums(df: DataFrame, key: str, prefix: str, count: int, source: str = "__q",
     return df.groupBy(key).agg(*[F.sum(f"{source}{k}").alias(f"{prefix}{k}") for k in range(count)], F.sum(n if n is not None else F.lit(1)).alias(f"{prefix}n"))
 
 
-def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: Column, host: Column, declared: Column, carry: list[str]) -> DataFrame:
-    """The carried columns of every row with its ``language``, ``posterior`` and whether it is ``accepted``."""
+def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: Column, host: Column, declared: Column, carry: list[str], names: tuple[str, str, str] = ("language", "posterior", "accepted")) -> DataFrame:
+    """The carried columns of every row with its language, posterior and whether it is accepted, under ``names``."""
     classes = model[0]
     count = len(classes)
     given = rows.withColumns({"__text": F.coalesce(text.cast("string"), F.lit("")), "__host": F.lower(host.cast("string")), "__declared": F.lower(declared.cast("string"))})
@@ -142,10 +142,11 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: Column,
         return F.when(F.col(f"{prefix}n").isNull(), parent).otherwise((rest + STRENGTH * parent) / (many + STRENGTH))
 
     def weight(k: int) -> Column:
-        everything = (F.lit(float(total[f"t{k}"] or 0.0)) + 1) / (F.lit(int(total["tn"] or 0)) + count)
-        prior = level("h", k, level("d", k, level("s", k, everything)))
         own = F.when(real, F.col(f"__q{k}")).otherwise(0.0)
-        saying = (F.greatest(F.col(f"e{k}") - own, F.lit(0.0)) + STRENGTH / kinds) / (F.greatest(F.lit(float(total[f"t{k}"] or 0.0)) - own, F.lit(0.0)) + STRENGTH)
+        others = F.greatest(F.lit(float(total[f"t{k}"] or 0.0)) - own, F.lit(0.0))
+        everything = (others + 1) / (F.lit(int(total["tn"] or 0)) - real.cast("int") + count)
+        prior = level("h", k, level("d", k, level("s", k, everything)))
+        saying = (F.greatest(F.col(f"e{k}") - own, F.lit(0.0)) + STRENGTH / kinds) / (others + STRENGTH)
         return F.col(f"__q{k}") * prior * F.when(F.col("en").isNull(), 1.0).otherwise(saying)
 
     weighed = joined.withColumns({f"__w{k}": weight(k) for k in range(count)})
@@ -154,13 +155,12 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: Column,
     named = weighed.withColumns({"__best": best, "__whole": whole})
     language = F.when(real, F.col("__best.c")).otherwise(UND)
     posterior = F.when(real, F.round(F.try_divide(F.col("__best.w"), F.col("__whole")), 6)).otherwise(1.0)
-    out = named.select(*carry, language.alias("language"), posterior.alias("posterior"))
-    return out.withColumn("accepted", (F.col("language") != UND) & (F.col("posterior") >= ACCEPT))
+    return named.select(*carry, language.alias(names[0]), posterior.alias(names[1]), ((language != UND) & (posterior >= ACCEPT)).alias(names[2]))
 
 
-def of_documents(docs: DataFrame, carry: list[str]) -> DataFrame:
+def of_documents(docs: DataFrame, carry: list[str], names: tuple[str, str, str] = ("language", "posterior", "accepted")) -> DataFrame:
     """Documents: their source stands for the host, their ``lang`` is the declaration."""
-    return identify(docs, train(docs), F.col("text"), F.col("source"), F.col("lang"), carry)
+    return identify(docs, train(docs), F.col("text"), F.col("source"), F.col("lang"), carry, names)
 
 
 def of_pages(pages: DataFrame, training: DataFrame, carry: list[str]) -> DataFrame:
@@ -174,4 +174,4 @@ def of_pages(pages: DataFrame, training: DataFrame, carry: list[str]) -> DataFra
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents whose language is accepted, all columns as they were."""
-    return of_documents(docs, docs.columns).where("accepted").select(*docs.columns)
+    return of_documents(docs, docs.columns, ("__language", "__posterior", "__accepted")).where("__accepted").select(*docs.columns)
