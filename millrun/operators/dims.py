@@ -199,7 +199,8 @@ def enrich_asof(
 ) -> DataFrame:
     """Dim value valid at event time: the dim version with the latest
     (dim_ts, dim_seq) not after the event's ``ts`` (versions at the same
-    instant as the event count). Exact; the per-key work is split in
+    instant as the event count); NULL keys match nothing. Exact; the per-key
+    work is split in
     ``bucket_ms`` time buckets, and the version carried into a bucket
     comes from a per-(key, bucket) table."""
     ev = df.select(
@@ -211,7 +212,7 @@ def enrich_asof(
         F.lit(None).alias("_v"),
     )
     ver_struct = F.struct(F.col(dim_seq).alias("_dim_seq"), *[F.col(c) for c in columns])
-    ver = dim.select(
+    ver = dim.filter(F.col(dim_key).isNotNull()).select(
         F.col(dim_key).alias("_k"),
         F.col(dim_ts).alias("_t"),
         F.lit(0).alias("_kind"),

@@ -85,10 +85,12 @@ def recheck_rows(
     id so that exactly one row per key is the first."""
     order = list(order)
     first = first_per_key(details.select(mid, size_id, *order), [mid, size_id], order)
-    first = first.select(mid, size_id, F.struct(*order).alias("_first"))
+    first = first.select(F.col(mid).alias("_mid"), F.col(size_id).alias("_size"), F.struct(*order).alias("_first"))
     first = bounded_broadcast(first, materialize=True)
-    joined = details.join(first, on=[mid, size_id], how="inner")
-    return joined.filter(F.struct(*order) != F.col("_first")).drop("_first")
+    # NULL keys are a key of their own, as in the stream and the counts
+    same = F.col(mid).eqNullSafe(F.col("_mid")) & F.col(size_id).eqNullSafe(F.col("_size"))
+    joined = details.join(first, same, "inner")
+    return joined.filter(~F.struct(*order).eqNullSafe(F.col("_first"))).drop("_first", "_mid", "_size")
 
 
 def recheck_counts(details: DataFrame, mid: str = "mid", size_id: str = "size_id") -> DataFrame:

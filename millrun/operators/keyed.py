@@ -97,6 +97,8 @@ def _extreme_per_key(df, keys, order, payload, agg):
     keys, order = list(keys), list(order)
     if payload is None:
         payload = [c for c in df.columns if c not in keys and c not in order]
+    if len(order) == 1 and not payload:  # one plain value: a hash aggregate, no sort
+        return df.groupBy(*keys).agg(agg(order[0]).alias(order[0]))
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [
         F.col(c) for c in payload
     ]

@@ -32,7 +32,7 @@ def first_new_day(df: DataFrame, part: str, is_new: str, day: str, seq: str) ->
     return (
         df.filter((F.col(is_new) == "1") & F.col(part).isNotNull())
         .groupBy(part)
-        .agg(F.min(F.struct(F.col(seq), F.col(day)))[day].alias("_first_new_day"))
+        .agg(F.min_by(day, seq).alias("_first_new_day"))  # fixed-width values: a hash aggregate
     )
 
 

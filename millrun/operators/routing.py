@@ -150,9 +150,10 @@ def unroutable_counts(routed: DataFrame) -> DataFrame:
 
 
 def fact_messages(routed: DataFrame) -> DataFrame:
-    """Fact output: topic = sink_table, value = the ``data`` object as JSON."""
+    """Fact output: topic = sink_table, value = the ``data`` object as JSON
+    without its null members."""
     return routed.filter(F.col("route") == "fact").select(
         F.col("sink_table").alias("topic"),
-        F.to_json(F.col("data")).alias("value"),
+        F.to_json(F.map_filter("data", lambda k, v: v.isNotNull())).alias("value"),
         "seq",
     )

@@ -49,6 +49,29 @@ def normalise(
     return df.select(*keep, F.lit(feed).alias("feed"), *measures)
 
 
+def normalise_once(
+    df: DataFrame,
+    member: dict[str, Column],
+    keep: Sequence[str] = ("mid", "size_id", "isNew", "ts"),
+    is_pass: str = "isPass",
+) -> DataFrame:
+    """Several feeds that are all parts of ``df``, in one scan: each row is
+    given out once per feed whose ``member`` condition holds."""
+    unknown = [f for f in member if f not in _FEEDS]
+    if unknown:
+        raise ValueError(f"unknown feed {unknown[0]!r}")
+
+    def row(feed: str) -> Column:
+        fields = [F.lit(feed).alias("feed")]
+        for name, spec in zip(MEASURES, _FEEDS[feed]):
+            fields.append((_failed(is_pass) if spec == "fail" else F.lit(spec).cast("bigint")).alias(name))
+        return F.when(member[feed], F.struct(*fields))
+
+    rows = F.filter(F.array(*[row(feed) for feed in member]), lambda r: r.isNotNull())
+    kept = [F.col(c) if isinstance(c, str) else c for c in keep]
+    return df.select(*kept, F.inline(rows))
+
+
 def union_feeds(*frames: DataFrame) -> DataFrame:
     """Union keeping duplicates, matched by column name."""
     out = frames[0]
@@ -69,14 +92,16 @@ def size_stats(
 
     A stream groups by the window itself (what append mode and the
     watermark need); a batch groups by the window start alone, a plain
-    timestamp that hashes faster than the window struct."""
+    timestamp that hashes faster than the window struct. The end is the
+    start plus the window's length in seconds, as for a stream: not plus
+    calendar days, which differ where clocks change."""
     sums = [F.sum(m).cast("bigint").alias(m) for m in MEASURES]
     if df.isStreaming:
         agg = df.groupBy(F.window(F.col(ts), window).alias("_w"), *keys).agg(*sums)
         start, end = F.col("_w.start"), F.col("_w.end")
     else:
         agg = df.groupBy(window_start(ts, window).alias("_ws"), *keys).agg(*sums)
-        start, end = F.col("_ws"), F.col("_ws") + F.expr(f"INTERVAL {window}")
+        start, end = F.col("_ws"), window_end(F.col("_ws"), window)
     return agg.select(ts_text(start).alias("wbt"), ts_text(end).alias("wet"), *keys, *MEASURES)
 
 
@@ -85,39 +110,38 @@ def window_start(ts: str, window: str) -> Column:
     return F.window(F.col(ts), window).start
 
 
+def window_end(start: Column, window: str) -> Column:
+    n, unit = window.split()
+    hours = {"day": 24, "week": 7 * 24}.get(unit.rstrip("s"))
+    length = f"{int(n) * hours} hours" if hours else window
+    return start + F.expr(f"INTERVAL {length}")
+
+
 def uptime_sessions(
-    beats: DataFrame, key: str, ts: str, gap: str = "6 minutes", bucket_s: int = 3600
+    beats: DataFrame, key: str, ts: str, gap: str = "6 minutes"
 ) -> DataFrame:
     """Power-on sessions from heartbeats: a new session starts when a beat
     comes more than ``gap`` after the previous one. Per session: first and
     last beat, number of beats and up-time in microseconds (last - first).
 
-    Skew-safe gaps-and-islands in one pass over the beats: a window per
-    (key, time bucket) cuts each bucket into session pieces, the pieces are
-    summed where they lie (the data is already clustered by key and
-    bucket), and a window over the pieces alone — as many as sessions plus
-    buckets — stitches pieces that continue across a bucket border. A busy
-    key is spread over its buckets instead of one sorted task. Beats
-    without a key are not sessions. Streams use ``uptime_sessions_stream``.
+    Time is cut into buckets as wide as the gap. Two beats of a key in one
+    bucket are closer than the gap, so a bucket is always one piece of a
+    session: a plain partial aggregate (first, last, number), after which a
+    busy key is one row per bucket and map task and no beat is shuffled. A
+    window over the pieces alone joins those that follow each other within
+    the gap. Beats without a key are one group. Streams use
+    ``uptime_sessions_stream``.
     """
-    gap_us, bucket_us = _interval_seconds(gap) * 1_000_000, bucket_s * 1_000_000
+    gap_us = _interval_seconds(gap) * 1_000_000
 
     def micros(c):
         return F.unix_micros(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp"))
 
-    staged = beats.filter(F.col(key).isNotNull()).select(
-        key, ts, F.floor(micros(ts) / F.lit(bucket_us)).alias("_b")
-    )
-    w = Window.partitionBy(key, "_b").orderBy(ts)
-    prev = F.lag(ts).over(w)
-    gap_here = F.when(prev.isNotNull() & (micros(ts) - micros(prev) > F.lit(gap_us)), 1).otherwise(0)
-    local = staged.withColumn("_g", gap_here).withColumn(
-        "_piece", F.sum("_g").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    pieces = local.groupBy(key, "_b", "_piece").agg(
+    staged = beats.select(key, ts, F.floor(micros(ts) / F.lit(gap_us)).alias("_b"))
+    pieces = staged.groupBy(key, "_b").agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")
     )
-    wp = Window.partitionBy(key).orderBy("_b", "_piece")
+    wp = Window.partitionBy(key).orderBy("_b")
     prev_last = F.lag("_last").over(wp)
     starts = F.when(prev_last.isNull() | (micros("_first") - micros(prev_last) > F.lit(gap_us)), 1).otherwise(0)
     numbered = pieces.withColumn("_new", starts).withColumn(
@@ -165,15 +189,20 @@ def size_stats_enriched(
 ) -> DataFrame:
     """Enrich the unioned feeds with the production dims and roll up.
 
-    ``lookups`` are (dim, feed key, dim key, {dim column: output}). With
-    ``preaggregate`` the feeds are first summed per (window, grain) — the
-    dim keys are functions of the grain, so the sums are the same — and
-    only those partial rows are joined to the dims: the joins see one row
-    per (window, production id, size, flag) instead of one per inspection.
-    A streaming run passes ``preaggregate=False`` (one stateful
-    aggregation per query).
+    ``lookups`` are (dim, feed key, dim key, {dim column: output}). While
+    every dim is broadcast (checked), the joins are map-side and the sums
+    are one partial aggregate: one shuffle. A dim above the bound must be
+    shuffled; then the feeds are first summed per (window, grain) — the dim
+    keys are functions of the grain, so the sums are the same — and only
+    those rows meet the dims. A streaming run passes ``preaggregate=False``
+    (one stateful aggregation per query).
     """
-    from millrun.operators.dims import enrich
+    from millrun.operators.dims import DIM_MAX_ROWS, enrich
+    from millrun.operators.keyed import sized
+
+    if preaggregate:
+        sides = [dim.select(F.col(k).alias("_dim_key"), *[F.col(c).alias(o) for c, o in cols.items()]) for dim, _, k, cols in lookups]
+        preaggregate = not all(sized(side, DIM_MAX_ROWS)[1] for side in sides)
 
     base = feeds
     if preaggregate:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrun.functions.timefn import ts_text
 from millrun.operators import dims, inspect, parse, parts, routing, stats
 from millrun.plans import standins as si
+from millrun.plans.jobs import e1_equipment_logs
 from millrun.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,9 +64,7 @@ def q_unique_part_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_daily_parts(spark: SparkSession, sf: str) -> DataFrame:
-    e = read_table(spark, sf, "events", ["user_id", "ts", "event_type"]).filter(
-        F.col("event_type") == "purchase"
-    )
+    e = read_table(spark, sf, "events", ["user_id", "ts"])
     days = e.select(F.col("user_id").cast("string").alias("part_id"), F.to_date("ts").alias("mdate"))
     return parts.daily_part_count(days, "part_id", "mdate")
 
@@ -135,6 +134,34 @@ def q_fact_topics(spark: SparkSession, sf: str) -> DataFrame:
     return facts.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+def q_fact_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fact message with the members of its text."""
+    facts = routing.fact_messages(_routed(spark, sf))
+    member = lambda name: F.get_json_object("value", f"$.{name}")
+    return facts.select(F.col("seq").alias("event_id"), "topic", member("id").alias("id"), member("k").alias("k"))
+
+
+def q_log_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The text of every log that goes on: all members as they came, the flag corrected."""
+    value = e1_equipment_logs(si.equipment_log_text(spark, sf, members=True))["main"]
+    member = lambda path: F.get_json_object("value", f"$.{path}")
+    return value.select(
+        F.col("seq").alias("event_id"),
+        member("common.part_id").alias("part_id"),
+        member("common.is_new").alias("is_new"),
+        member("common.reading").alias("reading"),
+        member("start.type").alias("start_type"),
+        member("extra.k").alias("extra_k"),
+    )
+
+
+def q_recheck_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The re-check feed itself: every event of a (user, type) but the first."""
+    e = read_table(spark, sf, "events", ["event_id", "user_id", "event_type", "ts"])
+    out = inspect.recheck_rows(e, "user_id", "event_type", ["ts", "event_id"])
+    return out.select("event_id", "user_id", "event_type", "ts")
+
+
 def q_enrich_asof(spark: SparkSession, sf: str) -> DataFrame:
     versions = _dim_changes(spark, sf).select(
         F.col("id").cast("bigint").alias("user_id"),
@@ -142,10 +169,8 @@ def q_enrich_asof(spark: SparkSession, sf: str) -> DataFrame:
         F.col("seq").alias("dim_seq"),
         "k",
     )
-    purchases = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type"]).filter(
-        F.col("event_type") == "purchase"
-    ).select("event_id", "user_id", "ts")
-    out = dims.enrich_asof(purchases, versions, "user_id", "ts", "user_id", "vts", "dim_seq", ["k"])
+    probes = read_table(spark, sf, "events", ["event_id", "user_id", "ts"])
+    out = dims.enrich_asof(probes, versions, "user_id", "ts", "user_id", "vts", "dim_seq", ["k"])
     return out.select("event_id", "user_id", "dim_seq", "k")
 
 
@@ -197,13 +222,10 @@ def q_enrich_left(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _normalised(spark: SparkSession, sf: str) -> DataFrame:
-    d, per_size, recheck = si.inspection_feeds(spark, sf)
+    d = si.inspection_details(spark, sf)
     keep = [F.col("mid"), F.col("size_id"), F.col("isNew").alias("isnew"), F.col("ts")]
-    return stats.union_feeds(
-        stats.normalise(d, "detail", keep),
-        stats.normalise(per_size, "per_size", keep),
-        stats.normalise(recheck, "recheck", keep),
-    )
+    member = {"detail": F.lit(True), "per_size": F.col("l_returnflag") == "R", "recheck": F.col("l_linenumber") > 1}
+    return stats.normalise_once(d, member, keep)
 
 
 def _production_lookups(spark: SparkSession, sf: str):
@@ -220,10 +242,7 @@ def q_size_stats_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_size_stats_7d(spark: SparkSession, sf: str) -> DataFrame:
-    d, _, _ = si.inspection_feeds(spark, sf)
-    keep = [F.col("mid"), F.col("size_id"), F.col("isNew").alias("isnew"), F.col("ts")]
-    detail = stats.normalise(d, "detail", keep)
-    return stats.size_stats_enriched(detail, _production_lookups(spark, sf), "ts", "7 days")
+    return stats.size_stats_enriched(_normalised(spark, sf), _production_lookups(spark, sf), "ts", "7 days")
 
 
 def q_size_stats_coarse(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,4 +310,7 @@ QUERIES: dict[str, Query] = {
     "q_size_recheck": q_size_recheck,
     "q_part_stats": q_part_stats,
     "q_uptime_sessions": q_uptime_sessions,
+    "q_fact_messages": q_fact_messages,
+    "q_log_texts": q_log_texts,
+    "q_recheck_rows": q_recheck_rows,
 }

@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrun.functions.jsonfn import record_text
+from millrun.functions.jsonfn import with_member
 from millrun.functions.timefn import epoch_ms_to_ts
 from millrun.operators import dims, inspect, parse, parts, routing, stats
 
@@ -30,8 +30,9 @@ def e1_equipment_logs(text: DataFrame, text_col: str = "value") -> dict[str, Dat
     good = parse.good(parsed)
     flagged = parts.new_part_flag(good, "part_id", "is_new", "log_date", "seq")
     routed = routing.with_route(flagged)
-    common = F.col("common").withField("is_new", F.col("is_new"))
-    routed = routed.withColumn("value", record_text(common.alias("common"), "start", "log_type"))
+    # the whole record goes on; only a corrected flag changes it
+    kept = F.col("common.is_new").eqNullSafe(F.col("is_new"))
+    routed = routed.withColumn("value", F.when(kept, F.col("raw")).otherwise(with_member("raw", "common", "is_new", F.col("is_new"))))
     out = {"main": routed, "dead_letter": parse.dead(parsed)}
     for route in ("machine_start", "weld_start", "shutdown", "heartbeat", "manufacture",
                   "manufacture_detail", "large_part_progress"):
@@ -86,7 +87,7 @@ def e2_apply_dims(
 def e3_unique_parts(text: DataFrame, mode: str = "change", text_col: str = "value") -> dict[str, DataFrame]:
     parsed = parse.parse_manufacture_logs(text, text_col)
     good = parse.good(parsed)
-    unique = parts.unique_part_per_day(good, "part_id", "mdate", "seq", mode=mode)
+    unique = parts.unique_part_per_day(good, "part_id", "mdate", "seq", mode=mode).withColumn("value", F.col("raw"))
     return {
         "unique_part": unique,
         "daily_parts": parts.daily_part_count(unique, "part_id", "mdate"),

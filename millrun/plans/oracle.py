@@ -142,6 +142,17 @@ ranked AS (
 SELECT id, k FROM ranked WHERE rn = 1""",
     "q_fact_topics": _ROUTED + """
 SELECT sink_table AS topic, CAST(count(*) AS BIGINT) AS n FROM routed WHERE route = 'fact' GROUP BY sink_table""",
+    "q_fact_messages": _ROUTED + """
+SELECT event_id, sink_table AS topic, CAST(user_id AS VARCHAR) AS id, k FROM routed WHERE route = 'fact'""",
+    "q_log_texts": _FLAGGED + """
+SELECT f.event_id, f.part_id, f.is_new, CAST(CAST(floor(e.value) AS BIGINT) AS VARCHAR) AS reading,
+       CASE e.event_type WHEN 'signup' THEN 'MachineTool_Start' WHEN 'click' THEN 'WeldRobotStart' END AS start_type,
+       json_extract_string(e.props, '$.k') AS extra_k
+FROM flagged f JOIN events e USING (event_id)""",
+    "q_recheck_rows": """
+SELECT event_id, user_id, event_type, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) t
+WHERE rn > 1""",
     "q_unique_part": _MLOG + """,
 l AS (SELECT *, lag(mdate) OVER (PARTITION BY part_id ORDER BY event_id) AS prev FROM m)
 SELECT event_id, part_id, mdate FROM l WHERE prev IS NULL OR prev <> mdate""",
@@ -150,7 +161,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY part_id, mdate ORDER BY event_id
 SELECT event_id, part_id, mdate FROM r WHERE rn = 1""",
     "q_daily_parts": """
 SELECT CAST(ts AS DATE) AS mdate, CAST(count(DISTINCT user_id) AS BIGINT) AS n_parts
-FROM events WHERE event_type = 'purchase' GROUP BY 1""",
+FROM events GROUP BY 1""",
     "q_interval_join_5s": _interval(5),
     "q_interval_join_1h": _interval(3600),
     "q_enrich_left": """
@@ -162,7 +173,7 @@ LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
     "q_enrich_asof": _ROUTED + """,
 v AS (SELECT user_id, ts AS vts, event_id AS dim_seq, k FROM routed WHERE route = 'dim'),
-p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+p AS (SELECT event_id, user_id, ts FROM events),
 j AS (
   SELECT p.event_id, p.user_id, v.dim_seq, v.k,
          row_number() OVER (PARTITION BY p.event_id ORDER BY v.vts DESC, v.dim_seq DESC) AS rn
@@ -174,17 +185,7 @@ SELECT event_id, user_id,
          AS working_days
 FROM events""",
     "q_size_stats_window": _stats(_FEEDS, "1 DAY", ["fid", "lid", "mtype", "eid", "isnew"]),
-    "q_size_stats_7d": _stats(
-        f"""WITH {_DETAIL},
-u AS (
-  SELECT mid, size_id, isnew, ts,
-         CAST(CASE WHEN ispass = '1' THEN 0 ELSE 1 END AS BIGINT) AS defect_sum,
-         CAST(1 AS BIGINT) AS check_sum, CAST(0 AS BIGINT) AS defect_type_count,
-         CAST(0 AS BIGINT) AS double_sum, CAST(0 AS BIGINT) AS double_fail_sum
-  FROM d)""",
-        "7 DAY",
-        ["fid", "lid", "mtype", "eid", "isnew"],
-    ),
+    "q_size_stats_7d": _stats(_FEEDS, "7 DAY", ["fid", "lid", "mtype", "eid", "isnew"]),
     "q_size_stats_coarse": _stats(_FEEDS, "7 DAY", ["fid", "isnew"], part_dim=False),
     "q_tumbling_10s": """
 SELECT strftime(wb, '%Y-%m-%d %H:%M:%S') AS wbt,

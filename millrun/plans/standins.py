@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from millrun.functions.jsonfn import json_map
 from millrun.operators.parse import select_once
 from millrun.sources.shapes import RULE
-from millrun.sources.tables import read_table, spread
+from millrun.sources.tables import read_table
 
 # The rule table of the stand-in (source table, operation,
 # sink type, sink table, sink columns, pk column, sink extend, order).
@@ -49,8 +49,8 @@ def rules(spark: SparkSession) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf: str, cols: list[str]) -> DataFrame:
-    """Events as the record stream of a multi-partition topic."""
-    return spread(read_table(spark, sf, "events", cols))
+    """Events as the record stream of a topic."""
+    return read_table(spark, sf, "events", cols)
 
 
 def operation(event_id: str = "event_id"):
@@ -58,9 +58,11 @@ def operation(event_id: str = "event_id"):
     return F.when(m == 3, "delete").when(m == 2, "update").otherwise("insert")
 
 
-def equipment_log_text(spark: SparkSession, sf: str) -> DataFrame:
-    """ODS equipment-log text (``value``) with its arrival ``seq``."""
-    e = _events(spark, sf, ["event_id", "ts", "user_id", "event_type"])
+def equipment_log_text(spark: SparkSession, sf: str, members: bool = False) -> DataFrame:
+    """ODS equipment-log text (``value``) with its arrival ``seq``; with
+    ``members`` it also has some that no job knows: a number in ``common``
+    and an object of its own."""
+    e = _events(spark, sf, ["event_id", "ts", "user_id", "event_type", *(["value", "props"] if members else [])])
     start = (
         F.when(F.col("event_type") == "signup", F.create_map(F.lit("type"), F.lit("MachineTool_Start")))
         .when(F.col("event_type") == "click", F.create_map(F.lit("type"), F.lit("WeldRobotStart")))
@@ -70,10 +72,12 @@ def equipment_log_text(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").cast("string").alias("part_id"),
         F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.lit(1)).alias("is_new"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        *([F.floor("value").alias("reading")] if members else []),
     )
+    extra = [json_map("props").alias("extra")] if members else []
     return e.select(
         F.col("event_id").alias("seq"),
-        F.to_json(F.struct(common.alias("common"), start.alias("start"))).alias("value"),
+        F.to_json(F.struct(common.alias("common"), start.alias("start"), *extra)).alias("value"),
     )
 
 

@@ -106,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-offsets", type=int, default=5_000_000)
     p.add_argument("--max-files", type=int, default=None)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
-    p.add_argument("--master", default=None)
+    p.add_argument("--master", default=None, help="only without a submit; a submit decides master, memory and partitions")
     return p
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Defaults for a local run; a cluster submit passes its own values.
-_LOCAL_CONF = {
+# Session settings that hold unless the submit says otherwise.
+_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -36,12 +37,23 @@ def build_session(
     app_name: str = "millrun",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(_LOCAL_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf.setdefault("spark.driver.memory", "8g")
+    """A session. Without ``master`` the submit decides master, memory and
+    shuffle partitions, and no setting that it passed is changed; a local
+    master (tests, bench) gets local sizes. A master that is not local must
+    come with a shared ``spark.checkpoint.dir``."""
+    builder = SparkSession.builder.appName(app_name)
+    conf = dict(_CONF)
+    if master is None:
+        SparkContext._ensure_initialized()  # so that the submit's settings can be read
+        submitted = SparkConf()
+        conf = {k: v for k, v in conf.items() if not submitted.contains(k)}
+    else:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            conf["spark.sql.shuffle.partitions"] = os.environ.get("BENCH_CPUS", "8")
+            conf["spark.driver.memory"] = "8g"
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -72,15 +72,3 @@ def write_topics(messages: DataFrame, path: str) -> None:
     the file form of a message sink whose topic is chosen per record."""
     messages.write.mode("overwrite").partitionBy("topic").json(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the session's cores when its scan has fewer
-    splits than cores (one small file, one row group). CPU-heavy record
-    work (JSON text) then runs on every core. A cluster-scale input has far
-    more splits than cores and is returned untouched."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (remote session): leave the plan as is
-        return df
-    return df if splits >= cores else df.repartition(cores)

@@ -17,7 +17,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrun.functions.jsonfn import record_text
+from millrun.functions.jsonfn import with_member
 from millrun.functions.timefn import date_text, epoch_ms_to_ts
 from millrun.operators import dims, inspect, parse, routing, stats
 from millrun.plans.jobs import e2_apply_dims, e2_change_records
@@ -39,13 +39,12 @@ def e1_stream(text: DataFrame) -> DataFrame:
     """Parse, correct the new-part flag per part (stateful), add ``route``.
     Dead-letter rows ride along with their ``dead_reason``."""
     p = parse.parse_equipment_logs(text)
-    # Only dead-letter rows keep their raw text: good rows' output text is
-    # rebuilt from columns, so the Python step moves far fewer bytes.
     flat = p.select(
         "seq",
-        F.when(F.col("dead_reason").isNotNull(), F.col("raw")).alias("raw"),
+        "raw",
         "part_id",
         "is_new",
+        F.col("is_new").alias("given_new"),
         date_text(F.col("log_date")).alias("log_day"),
         F.col("common.ts").alias("ts_text"),
         F.when(F.size("start") > 0, F.col("start").getItem("type")).alias("start_type"),
@@ -53,14 +52,12 @@ def e1_stream(text: DataFrame) -> DataFrame:
         "dead_reason",
     )
     flagged = new_part_flag_stream(flat, "part_id", "is_new", "log_day", "seq", "dead_reason")
-    value = record_text(
-        F.struct(F.col("part_id"), F.col("is_new"), F.col("ts_text").alias("ts")).alias("common"),
-        F.when(F.col("start_type").isNotNull(), F.create_map(F.lit("type"), F.col("start_type"))).alias("start"),
-        "log_type",
-    )
-    return flagged.withColumn("route", routing.route_of(F.col("start_type"), F.col("log_type"))).withColumn(
-        "value", value
-    )
+    # the whole record goes on; only a corrected flag changes it
+    kept = F.col("given_new").eqNullSafe(F.col("is_new"))
+    fixed = F.when(kept, F.col("raw")).otherwise(with_member("raw", "common", "is_new", F.col("is_new")))
+    value = F.when(F.col("dead_reason").isNull(), fixed)
+    routed = flagged.withColumn("route", routing.route_of(F.col("start_type"), F.col("log_type")))
+    return routed.withColumn("value", value).drop("given_new")
 
 
 def start_e1(text: DataFrame, out_root: str, name: str = "e1_equipment_logs", trigger=None, checkpoint=None):
@@ -124,15 +121,14 @@ def e3_stream(text: DataFrame, ttl_ms: int = 24 * 3600 * 1000, cleanup: bool = T
     p = parse.parse_manufacture_logs(text)
     flat = p.select(
         "seq",
-        F.when(F.col("dead_reason").isNotNull(), F.col("raw")).alias("raw"),
+        "raw",
         "part_id",
         "ts",
         date_text(F.col("mdate")).alias("mday"),
         "dead_reason",
     )
     unique = unique_part_stream(flat, "part_id", "mday", "seq", ttl_ms, "dead_reason", cleanup)
-    value = record_text(F.struct(F.col("part_id").alias("partId")).alias("common"), "ts")
-    return unique.withColumn("value", F.when(F.col("dead_reason").isNull(), value))
+    return unique.withColumn("value", F.when(F.col("dead_reason").isNull(), F.col("raw")))
 
 
 def start_e3(text: DataFrame, out_root: str, name: str = "e3_unique_part", trigger=None, checkpoint=None,

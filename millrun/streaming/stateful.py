@@ -226,15 +226,10 @@ def recheck_stream(df: DataFrame, key: list[str] | None = None, seq: str = "seq"
     """Streaming re-check feed: every detail of a (production id, size)
     after its first one."""
     key = key or ["mid", "size_id"]
-    staged = df.withColumn("_rk", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key]))
-    return (
-        staged.groupBy("_rk")
-        .applyInPandasWithState(
-            _recheck_fn(seq),
-            outputStructType=staged.schema,
-            stateStructType="seen boolean",
-            outputMode="append",
-            timeoutConf=GroupStateTimeout.NoTimeout,
-        )
-        .drop("_rk")
+    return df.groupBy(*key).applyInPandasWithState(
+        _recheck_fn(seq),
+        outputStructType=df.schema,
+        stateStructType="seen boolean",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     )

@@ -105,7 +105,7 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as se
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
-    names = argv[2:] or list(se.queries())
+    names = argv[2:] or [n for n in se.queries() if n in se.oracle_sql()]
     spark = build_session()
     qs, sqls = se.queries(), se.oracle_sql()
     con = duck(sf_dir)
