@@ -44,13 +44,13 @@ def with_member(text: Column | str, owner: str, name: str, value: Column) -> Col
     is no object or has no such owner."""
     text = F.col(text) if isinstance(text, str) else text
     whole = F.try_parse_json(text)
-    inner = F.try_variant_get(whole, f"$.{owner}", "variant").cast("map<string,variant>")
+    inner = F.try_variant_get(whole, f"$.{owner}", "map<string,variant>")
     new = F.create_map(F.lit(name), F.parse_json(F.to_json(F.array(value))))
     # a JSON array of one text, so that its quotes are escaped; its element is the member
     new = F.transform_values(new, lambda k, v: F.variant_get(v, "$[0]", "variant"))
     changed = F.to_variant_object(F.map_concat(F.map_filter(inner, lambda k, v: k != name), new))
-    rest = F.map_filter(whole.cast("map<string,variant>"), lambda k, v: k != owner)
-    return F.to_json(F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(owner), changed))))
+    rest = F.map_filter(F.try_variant_get(whole, "$", "map<string,variant>"), lambda k, v: k != owner)
+    return F.when(inner.isNotNull(), F.to_json(F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(owner), changed)))))
 
 
 def record_text(*cols: Column | str) -> Column:

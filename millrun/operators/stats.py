@@ -91,17 +91,18 @@ def size_stats(
     window. ``wbt``/``wet`` are the bounds as ``yyyy-MM-dd HH:mm:ss``.
 
     A stream groups by the window itself (what append mode and the
-    watermark need); a batch groups by the window start alone, a plain
-    timestamp that hashes faster than the window struct. The end is the
-    start plus the window's length in seconds, as for a stream: not plus
-    calendar days, which differ where clocks change."""
+    watermark need); a batch groups by its bounds, plain timestamps that
+    hash faster than the window struct. The end is the window's own: the
+    start plus an interval would count calendar days, which differ from
+    the window's length where clocks change."""
     sums = [F.sum(m).cast("bigint").alias(m) for m in MEASURES]
     if df.isStreaming:
         agg = df.groupBy(F.window(F.col(ts), window).alias("_w"), *keys).agg(*sums)
         start, end = F.col("_w.start"), F.col("_w.end")
     else:
-        agg = df.groupBy(window_start(ts, window).alias("_ws"), *keys).agg(*sums)
-        start, end = F.col("_ws"), window_end(F.col("_ws"), window)
+        whole = F.window(F.col(ts), window)
+        agg = df.groupBy(whole.start.alias("_ws"), whole.end.alias("_we"), *keys).agg(*sums)
+        start, end = F.col("_ws"), F.col("_we")
     return agg.select(ts_text(start).alias("wbt"), ts_text(end).alias("wet"), *keys, *MEASURES)
 
 
@@ -110,13 +111,6 @@ def window_start(ts: str, window: str) -> Column:
     return F.window(F.col(ts), window).start
 
 
-def window_end(start: Column, window: str) -> Column:
-    n, unit = window.split()
-    hours = {"day": 24, "week": 7 * 24}.get(unit.rstrip("s"))
-    length = f"{int(n) * hours} hours" if hours else window
-    return start + F.expr(f"INTERVAL {length}")
-
-
 def uptime_sessions(
     beats: DataFrame, key: str, ts: str, gap: str = "6 minutes"
 ) -> DataFrame:
