@@ -1,13 +1,8 @@
-"""Dim (lookup) tables: schema from a rule, last-writer-wins upsert into
-versioned snapshots, and enrichment joins.
-
-A dim table here is a parquet dataset under ``<root>/<sink_table>/v=<n>``
-(every column a string, keyed by the rule's pk). An upsert of micro-batch
-``n`` merges the changes into the newest snapshot and writes ``v=n``;
-readers take the highest ``v``. Replaying batch ``n`` rewrites the same
-folder, so the sink is idempotent. Lookups are joins against the snapshot
-— broadcast when its row count is under the bound, shuffled otherwise —
-so there is no per-row call and no cache to keep in step.
+"""Dim (lookup) tables: schema from a rule, last-writer-wins upserts into
+a versioned store (``millrun.sources.dimstore``), and enrichment joins.
+Lookups are joins against a snapshot — broadcast when its row count is
+under the bound, shuffled otherwise — so there is no per-row call and no
+cache to keep in step.
 """
 
 from __future__ import annotations
@@ -19,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrun.operators.keyed import bounded_broadcast, last_per_key, prev_value
+from millrun.sources.dimstore import BUCKETS, DimStore, bucket_of
 
 DIM_MAX_ROWS = 1_000_000
 
@@ -32,10 +28,11 @@ def dim_schema(columns: Sequence[str], pk: str = "id") -> T.StructType:
 
 
 def ensure_dim_table(spark: SparkSession, root: str, sink_table: str, columns: Sequence[str], pk: str = "id") -> None:
-    """Create an empty version 0 of the dim table if none exists."""
-    schema = dim_schema(columns, pk)
-    empty = spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in schema.fields])
-    empty.write.mode("ignore").parquet(f"{root}/{sink_table}/v=0")
+    """Create the dim table, empty, if none exists."""
+    dim_schema(columns, pk)
+    store = DimStore(spark, root, sink_table)
+    if store.latest() is None:
+        store.commit(None, [], columns, pk)
 
 
 def project_data(routed: DataFrame, columns: Sequence[str], presence: bool = False) -> DataFrame:
@@ -89,6 +86,8 @@ def merge_snapshot(
     if deletes not in ("remove", "upsert"):
         raise ValueError("deletes must be 'remove' or 'upsert'")
     cols = [c for c in columns if c != pk]
+    absent = [c for c in cols if c not in changes.columns]  # columns that only stored rows have
+    changes = changes.select("*", *[F.lit(None).cast("string").alias(c) for c in absent], *[F.lit(False).alias(f"_has_{c}") for c in absent])
     is_del = (F.col(op) == "delete") if deletes == "remove" else F.lit(False)
     staged = changes.filter(F.col(pk).isNotNull()).withColumn("_del", F.coalesce(is_del, F.lit(False)))
     has = {c: (F.col(f"_has_{c}") if f"_has_{c}" in changes.columns else F.lit(True)) for c in cols}
@@ -119,23 +118,11 @@ def merge_snapshot(
 def read_snapshot(
     spark: SparkSession, root: str, sink_table: str, before: int | None = None
 ) -> DataFrame | None:
-    """Newest version of a dim table (optionally the newest below
-    ``before``), or None if there is none."""
-    path = f"{root}/{sink_table}"
-    try:
-        versions = spark.read.parquet(path).select("v")
-    except Exception:  # no such table yet
-        return None
-    if before is not None:
-        versions = versions.filter(F.col("v") < before)
-    top = versions.agg(F.max("v")).first()[0]
-    if top is None:
-        return None
-    return spark.read.parquet(f"{path}/v={top}")
-
-
-def write_snapshot(snapshot: DataFrame, root: str, sink_table: str, version: int) -> None:
-    snapshot.write.mode("overwrite").parquet(f"{root}/{sink_table}/v={int(version)}")
+    """Newest committed version of a dim table (optionally the newest below
+    ``before``), or None if there is none. Any other error is raised."""
+    store = DimStore(spark, root, sink_table)
+    entry = store.latest(before)
+    return None if entry is None else store.read(entry)
 
 
 def upsert_dim(
@@ -149,15 +136,28 @@ def upsert_dim(
     seq: str = "seq",
     op: str = "type",
     deletes: str = "remove",
+    run: str = "",
 ) -> DataFrame:
-    """Merge ``changes`` into the newest snapshot *below* ``version`` and
-    write version ``version``. A replay of the same batch therefore starts
-    from the same base and rewrites the same folder with the same rows —
-    idempotent, and it never reads the folder it writes."""
-    current = read_snapshot(spark, root, sink_table, before=int(version))
-    merged = merge_snapshot(current, changes, pk, columns, seq, op, deletes)
-    write_snapshot(merged, root, sink_table, version)
-    return merged
+    """Merge ``changes``, batch ``version`` of ``run`` (a stream's query id),
+    into the table and return the new snapshot.
+
+    The table numbers its versions itself, so a fresh checkpoint (batch ids
+    from 0 again, under another run) adds to what is stored; a replay of a
+    batch that is committed changes nothing. Only the hash buckets that the
+    changes touch are read and rewritten. Columns that the table has and
+    the rule no longer lists stay; new ones are NULL in stored rows."""
+    store = DimStore(spark, root, sink_table)
+    entry = store.latest()
+    if entry is not None and store.applied(run, int(version)):
+        return store.read(entry)
+    kept = list(entry["columns"]) if entry is not None else []
+    columns = kept + [c for c in columns if c not in kept]
+    buckets = entry["n_buckets"] if entry is not None else BUCKETS
+    keyed = changes.filter(F.col(pk).isNotNull())
+    touched = sorted(r[0] for r in keyed.select(bucket_of(pk, buckets)).distinct().collect())  # at most n_buckets
+    current = store.read(entry, touched, columns) if entry is not None else None
+    merged = merge_snapshot(current, keyed, pk, columns, seq, op, deletes)
+    return store.read(store.commit(merged, touched, columns, pk, run, int(version)))
 
 
 # ------------------------------------------------------------------ lookups

@@ -120,9 +120,11 @@ def route_changes(cdc: DataFrame, rules: DataFrame, rule_rows: int | None = None
         (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
         "left",
     )
+    no_pk = (F.col("sink_kind") == DIM_SINK) & F.element_at("data", F.col("pk_column")).isNull()
     route = (
         F.when(F.col("source_table").isNull(), F.lit("dead"))
         .when(F.col("rule_error").isNotNull(), F.lit("dead"))
+        .when(no_pk, F.lit("dead"))
         .when(F.col("sink_kind") == FACT_SINK, F.lit("fact"))
         .when(F.col("sink_kind") == DIM_SINK, F.lit("dim"))
         .otherwise(F.lit("dead"))
@@ -130,6 +132,7 @@ def route_changes(cdc: DataFrame, rules: DataFrame, rule_rows: int | None = None
     reason = (
         F.when(F.col("source_table").isNull(), F.lit("no_rule"))
         .when(F.col("rule_error").isNotNull(), F.col("rule_error"))
+        .when(no_pk, F.lit("no_pk"))
         .when(
             ~F.coalesce(F.col("sink_kind"), F.lit("")).isin(FACT_SINK, DIM_SINK),
             F.lit("unknown_sink_type"),

@@ -7,6 +7,8 @@ whose column names match the DuckDB oracle in ``oracle.py``.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from millrun.functions.timefn import ts_text
 from millrun.operators import dims, inspect, parse, parts, routing, stats
 from millrun.plans import standins as si
 from millrun.plans.jobs import e1_equipment_logs
+from millrun.session import checkpoint_dir
 from millrun.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +131,26 @@ def q_dim_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return snap.select("id", "k")
 
 
+def q_dim_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches (the first half of the month, the rest) into a stored
+    table: updates carry one column only, deletes remove rows."""
+    split = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    all_changes = si.change_records(spark, sf).select(
+        F.col("data").getItem("id").alias("id"),
+        F.col("data").getItem("k").alias("k"),
+        F.when(F.col("type") == "insert", F.col("table")).alias("kind"),
+        F.lit(True).alias("_has_k"),
+        (F.col("type") == "insert").alias("_has_kind"),
+        "type",
+        "seq",
+        "event_ts",
+    )
+    root = f"{checkpoint_dir(spark)}/dim-merge-{uuid.uuid4().hex}"
+    for batch, part in enumerate((F.col("event_ts") < split, F.col("event_ts") >= split)):
+        dims.upsert_dim(spark, all_changes.filter(part), root, "dim_user", "id", ["id", "k", "kind"], batch)
+    return dims.read_snapshot(spark, root, "dim_user")
+
+
 def q_fact_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Fact messages per destination topic (the per-record topic sink)."""
     facts = routing.fact_messages(_routed(spark, sf))
@@ -311,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "q_part_stats": q_part_stats,
     "q_uptime_sessions": q_uptime_sessions,
     "q_fact_messages": q_fact_messages,
+    "q_dim_merge": q_dim_merge,
     "q_log_texts": q_log_texts,
     "q_recheck_rows": q_recheck_rows,
 }

@@ -62,17 +62,21 @@ def e2_change_records(cdc: DataFrame, rules: DataFrame) -> dict[str, DataFrame]:
 
 def e2_apply_dims(
     spark: SparkSession, dim_changes: DataFrame, rules: DataFrame, root: str, version: int,
-    deletes: str = "remove",
+    deletes: str = "remove", run: str = "",
 ) -> list[str]:
-    """Upsert the dim rows of one run into their snapshots. The rule table
-    is small configuration, so its dim rules are listed on the driver."""
+    """Upsert the dim rows of batch ``version`` of ``run`` into their tables.
+    The rule table is small configuration (at most ``RULE_MAX_ROWS``), so its
+    dim rules are listed on the driver."""
     prepared = routing.prepare_rules(rules).filter(
         (F.col("sink_kind") == routing.DIM_SINK) & F.col("rule_error").isNull()
     )
     # One upsert per dim table: the rules that feed it (insert, update, ...)
     # may list different columns; the table gets their union, in order.
     tables: dict[str, tuple[str, list[str]]] = {}
-    for r in prepared.select("sink_table", "pk_column", "sink_columns").collect():
+    listed = prepared.select("sink_table", "pk_column", "sink_columns").limit(routing.RULE_MAX_ROWS + 1).collect()
+    if len(listed) > routing.RULE_MAX_ROWS:
+        raise ValueError(f"more than {routing.RULE_MAX_ROWS} dim rules")
+    for r in listed:
         pk, cols = tables.get(r["sink_table"], (r["pk_column"], []))
         if pk != r["pk_column"]:
             raise ValueError(f"rules for {r['sink_table']} name two pk columns: {pk}, {r['pk_column']}")
@@ -80,7 +84,7 @@ def e2_apply_dims(
     for sink_table, (pk, cols) in sorted(tables.items()):
         dims.ensure_dim_table(spark, root, sink_table, cols, pk)
         changes = dims.project_data(dim_changes.filter(F.col("sink_table") == sink_table), cols, presence=True)
-        dims.upsert_dim(spark, changes, root, sink_table, pk, cols, version, deletes=deletes)
+        dims.upsert_dim(spark, changes, root, sink_table, pk, cols, version, deletes=deletes, run=run)
     return sorted(tables)
 
 

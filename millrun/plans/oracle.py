@@ -142,6 +142,14 @@ ranked AS (
 SELECT id, k FROM ranked WHERE rn = 1""",
     "q_fact_topics": _ROUTED + """
 SELECT sink_table AS topic, CAST(count(*) AS BIGINT) AS n FROM routed WHERE route = 'fact' GROUP BY sink_table""",
+    "q_dim_merge": f"""
+WITH {_CDC.strip()},
+d AS (SELECT user_id, coalesce(max(event_id) FILTER (WHERE op = 'delete'), -1) AS gone, max(event_id) AS last
+      FROM cdc GROUP BY user_id)
+SELECT CAST(c.user_id AS VARCHAR) AS id, arg_max(k, event_id) AS k,
+       arg_max(table_name, event_id) FILTER (WHERE op = 'insert') AS kind
+FROM cdc c JOIN d ON c.user_id = d.user_id AND c.event_id > d.gone
+GROUP BY c.user_id""",
     "q_fact_messages": _ROUTED + """
 SELECT event_id, sink_table AS topic, CAST(user_id AS VARCHAR) AS id, k FROM routed WHERE route = 'fact'""",
     "q_log_texts": _FLAGGED + """

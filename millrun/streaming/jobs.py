@@ -82,8 +82,8 @@ def e2_batch_writer(
     """foreachBatch body: rules are re-read for every micro-batch (a
     removed rule stops applying), facts go to the topic named by their rule
     (message queue when ``bootstrap`` is given, else one folder per topic),
-    dim rows are merged into snapshot ``v=<batch id>``, the rest is
-    dead-lettered."""
+    dim rows are merged into their tables under (query id, batch id), the
+    rest is dead-lettered."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rules = rules_loader()
@@ -99,7 +99,8 @@ def e2_batch_writer(
             out["dead_letter"].write.mode("overwrite").json(f"{out_root}/dead_letter/batch={batch_id}")
             if "malformed" in out:
                 out["malformed"].write.mode("overwrite").json(f"{out_root}/malformed/batch={batch_id}")
-            e2_apply_dims(spark, out["dim_changes"], rules, dim_root, batch_id)
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+            e2_apply_dims(spark, out["dim_changes"], rules, dim_root, batch_id, run=run)
         finally:
             batch.unpersist()
 

@@ -105,3 +105,75 @@ def test_whole_records_go_on(spark):
     assert got[2] == want
     made = spark.createDataFrame([(1, '{"common": {"partId": "p", "line": 4}, "ts": 86400000, "more": {"a": null}}')], "seq long, value string")
     assert [r.value for r in e3_unique_parts(made)["unique_part"].collect()] == [r.value for r in made.collect()]
+
+
+# --- the dim store
+
+DIM = "id string, name string, type string, seq long"
+
+
+def _upsert(spark, root, changes, batch, run="r", columns=("id", "name"), schema=DIM):
+    return dims.upsert_dim(spark, spark.createDataFrame(changes, schema), root, "d", "id", list(columns), batch, run=run)
+
+
+def _now(spark, root, *cols):
+    return rows(dims.read_snapshot(spark, root, "d"), *(cols or ("id", "name")))
+
+
+def test_no_table_is_none_and_a_broken_one_an_error(spark, tmp_dir):
+    assert dims.read_snapshot(spark, tmp_dir, "d") is None
+    _upsert(spark, tmp_dir, [("1", "a", "insert", 1), ("2", "b", "insert", 2)], 0)
+    with open(f"{tmp_dir}/d/log/v=0/broken.parquet", "w") as f:
+        f.write("not a file of that kind")
+    with pytest.raises(Exception):  # noqa: B017
+        _upsert(spark, tmp_dir, [("3", "c", "insert", 3)], 1)
+    os.unlink(f"{tmp_dir}/d/log/v=0/broken.parquet")
+    assert _now(spark, tmp_dir) == [("1", "a"), ("2", "b")]
+
+
+def test_deletes_to_empty_stay_deleted(spark, tmp_dir):
+    _upsert(spark, tmp_dir, [("1", "a", "insert", 1), ("2", "b", "insert", 2)], 0)
+    _upsert(spark, tmp_dir, [("1", None, "delete", 3), ("2", None, "delete", 4)], 1)
+    assert _now(spark, tmp_dir) == []
+    _upsert(spark, tmp_dir, [("2", "x", "insert", 5)], 2)
+    assert _now(spark, tmp_dir) == [("2", "x")]
+
+
+def test_a_fresh_checkpoint_adds_to_what_is_stored(spark, tmp_dir):
+    for batch in range(3):
+        _upsert(spark, tmp_dir, [(str(batch), "a", "insert", batch)], batch, run="first")
+    _upsert(spark, tmp_dir, [("9", "z", "insert", 1), ("0", "b", "update", 2)], 0, run="second")
+    assert _now(spark, tmp_dir) == [("0", "b"), ("1", "a"), ("2", "a"), ("9", "z")]
+    # a replay changes nothing
+    _upsert(spark, tmp_dir, [("9", "other", "insert", 1)], 0, run="second")
+    assert dict(_now(spark, tmp_dir))["9"] == "z"
+
+
+def test_a_rule_gains_and_loses_columns(spark, tmp_dir):
+    _upsert(spark, tmp_dir, [("1", "a", "insert", 1)], 0)
+    wide = "id string, name string, city string, type string, seq long"
+    _upsert(spark, tmp_dir, [("2", "b", "c", "insert", 2)], 1, columns=("id", "name", "city"), schema=wide)
+    _upsert(spark, tmp_dir, [("2", "d", "update", 3)], 2)
+    assert _now(spark, tmp_dir, "id", "name", "city") == [("1", "a", None), ("2", "d", "c")]
+
+
+def test_touched_buckets_only_and_vacuum(spark, tmp_dir):
+    from millrun.sources.dimstore import DimStore
+
+    _upsert(spark, tmp_dir, [(str(i), "a", "insert", i) for i in range(200)], 0)
+    _upsert(spark, tmp_dir, [("7", "b", "update", 300)], 1)
+    assert len([n for n in os.listdir(f"{tmp_dir}/d/data/v=1") if n.startswith("bucket=")]) == 1
+    for k in range(2, 6):
+        _upsert(spark, tmp_dir, [("7", f"b{k}", "update", 300 + k)], k)
+    before = _now(spark, tmp_dir)
+    assert DimStore(spark, tmp_dir, "d").vacuum(keep=2) == [1, 2, 3]
+    assert _now(spark, tmp_dir) == before and ("7", "b5") in before and len(before) == 200
+
+
+def test_changes_without_a_key_are_dead_letters(spark):
+    from millrun.operators import routing
+    from millrun.sources.shapes import RULE
+
+    rules = spark.createDataFrame([("t", "insert", "hbase", "dim_t", "id,k", None, None, 1)], RULE)
+    cdc = spark.createDataFrame([("t", "insert", 1, {"id": "1", "k": "a"}), ("t", "insert", 2, {"k": "b"})], "table string, type string, seq long, data map<string,string>")
+    assert rows(routing.route_changes(cdc, rules), "seq", "route", "reason") == [(1, "dim", None), (2, "dead", "no_pk")]
