@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from millrun.operators import parse
 from millrun.session import build_session
 from millrun.sources.shapes import INSPECTION_EVENT, PRODUCTION_DIM, RULE
+from millrun.sources.tables import load_side
 from millrun.streaming import io, jobs
 
 # Inspection header/detail records: order id, event time (epoch ms) and
@@ -47,47 +48,42 @@ def _trigger(args, job: str):
     return {"availableNow": True} if args.once else {"processingTime": jobs.TRIGGERS[job]}
 
 
-def _feed(text: DataFrame) -> DataFrame:
-    """Inspection-event text -> (mid, isNew, isPass, ts)."""
-    p = parse.parse_records(text, INSPECTION_EVENT, "mid")
-    return parse.good(p).select("mid", "isNew", "isPass", "ts")
-
-
-def start(args, spark: SparkSession):
+def start(args, spark: SparkSession) -> list:
+    """Start a job's queries; with the queue as source, outputs go to its topics."""
     job, out = args.job, args.out.rstrip("/")
     topics = args.topics or TOPICS[job]
+    trigger = _trigger(args, job)
+    queue = args.bootstrap if args.source == "kafka" else None
     if job == "e1":
-        return jobs.start_e1(_text(spark, args, topics[0]), out, trigger=_trigger(args, job))
+        return [jobs.start_e1(_text(spark, args, topics[0]), out, trigger=trigger, bootstrap=queue)]
     if job == "e2":
-        rules_path = args.rules
-        return jobs.start_e2(
-            _text(spark, args, topics[0]),
-            lambda: spark.read.schema(RULE).parquet(rules_path),
-            out, f"{out}/dim", trigger=_trigger(args, job),
-            bootstrap=args.bootstrap if args.source == "kafka" else None,
-        )
+        return [jobs.start_e2(
+            _text(spark, args, topics[0]), lambda: load_side(spark, args.rules, RULE),
+            out, f"{out}/dim", trigger=trigger, bootstrap=queue,
+        )]
     if job == "e3":
-        return jobs.start_e3(_text(spark, args, topics[0]), out, trigger=_trigger(args, job),
-                             cleanup=not args.once)
+        return [jobs.start_e3(_text(spark, args, topics[0]), out, trigger=trigger, cleanup=not args.once, bootstrap=queue)]
     if job == "e4":
         schema = T.StructType.fromDDL(INSPECT_RECORD)
-        info, detail = (parse.good(parse.parse_records(_text(spark, args, t), schema, "orderId"))
-                        for t in topics[:2])
-        wide = jobs.e4_stream(info.drop("raw"), detail.drop("raw"))
+        parsed = [parse.parse_records(_text(spark, args, t), schema, "orderId") for t in topics[:2]]
+        info, detail = (parse.good(p).drop("raw") for p in parsed)
+        wide = jobs.e4_stream(info, detail)
         if args.equipment:  # equipment dim re-read for every micro-batch
-            path = args.equipment
-            return jobs.start_e4_fresh_dims(wide, lambda: spark.read.parquet(path),
-                                            f"{out}/dwm_inspect_wide", trigger=_trigger(args, job))
-        return jobs.start_e4(wide, f"{out}/dwm_inspect_wide", trigger=_trigger(args, job))
+            main_query = jobs.start_e4_fresh_dims(wide, lambda: load_side(spark, args.equipment),
+                                                  f"{out}/dwm_inspect_wide", trigger=trigger, bootstrap=queue)
+        else:
+            main_query = jobs.start_e4(wide, f"{out}/dwm_inspect_wide", trigger=trigger, bootstrap=queue)
+        return [main_query, jobs.start_dead_letters(parsed, out, "e4_dead_letter", trigger, bootstrap=queue)]
     if job == "e5":
-        feeds = [_feed(_text(spark, args, t)) for t in topics[:3]]
+        parsed = [parse.parse_records(_text(spark, args, t), INSPECTION_EVENT, "mid") for t in topics[:3]]
+        feeds = [parse.good(p).select("mid", "isNew", "isPass", "ts") for p in parsed]
         grain = jobs.e5_grain_stream(*feeds, window=args.window)
-        path = args.production
         # the production dim is re-read for every micro-batch (fresh lookups)
-        return jobs.start_e5_fresh_dims(
-            grain, lambda: spark.read.schema(PRODUCTION_DIM).parquet(path), f"{out}/dws_size_stats",
-            args.window, trigger=_trigger(args, job),
+        main_query = jobs.start_e5_fresh_dims(
+            grain, lambda: load_side(spark, args.production, PRODUCTION_DIM), f"{out}/dws_size_stats",
+            args.window, trigger=trigger, bootstrap=queue,
         )
+        return [main_query, jobs.start_dead_letters(parsed, out, "e5_dead_letter", trigger, bootstrap=queue)]
     raise ValueError(job)
 
 
@@ -99,12 +95,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bootstrap", default="localhost:9092")
     p.add_argument("--input", help="root folder of per-topic JSON-lines folders (--source files)")
     p.add_argument("--topics", nargs="*", help="override the job's topic names, in order")
-    p.add_argument("--rules", help="E2: parquet rule table (table_process)")
-    p.add_argument("--equipment", help="E4: parquet equipment dim (id, start_date)")
-    p.add_argument("--production", help="E5: parquet production dim (id, eId, Fid, mType, lid)")
+    p.add_argument("--rules", help="E2: rule table (table_process): a Parquet path, or jdbc:<url>#<table>")
+    p.add_argument("--equipment", help="E4: equipment dim (id, start_date): Parquet path or jdbc:<url>#<table>")
+    p.add_argument("--production", help="E5: production dim (id, eId, Fid, mType, lid): Parquet path or jdbc:<url>#<table>")
     p.add_argument("--window", default="10 seconds", help="E5: tumbling window length")
     p.add_argument("--max-offsets", type=int, default=5_000_000)
-    p.add_argument("--max-files", type=int, default=None)
+    p.add_argument("--max-files", type=int, default=io.MAX_FILES)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--master", default=None, help="only without a submit; a submit decides master, memory and partitions")
     return p
@@ -113,8 +109,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or build_session(master=args.master, app_name=f"millrun-{args.job}")
-    q = start(args, spark)
-    q.awaitTermination()
+    for q in start(args, spark):
+        q.awaitTermination()
     return 0
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -72,3 +73,15 @@ def write_topics(messages: DataFrame, path: str) -> None:
     the file form of a message sink whose topic is chosen per record."""
     messages.write.mode("overwrite").partitionBy("topic").json(path)
 
+
+def load_side(spark: SparkSession, place: str, schema=None) -> DataFrame:
+    """A rule or dim table from a Parquet path, or from a database as
+    ``jdbc:<url>#<table>`` (its columns cast to ``schema``'s types)."""
+    if not place.startswith("jdbc:"):
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(place)
+    url, _, table = place.rpartition("#")
+    if not url or not table:
+        raise ValueError(f"expected jdbc:<url>#<table>, got {place!r}")
+    rows = spark.read.format("jdbc").option("url", url).option("dbtable", table).load()
+    return rows if schema is None else rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

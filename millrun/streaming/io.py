@@ -1,8 +1,9 @@
 """Stream sources and sinks.
 
-* Message-queue text source: ``value`` as string plus ``seq`` (the
-  partition offset — records of one key share a partition, so the offset
-  is their arrival order) — needs the Kafka connector on the class path.
+* Message-queue text source: ``value`` as string plus ``seq``, the order
+  of arrival as text that sorts by (queue time, partition, offset): offsets
+  of different partitions say nothing of each other, and a part's records
+  may lie in several — needs the Kafka connector on the class path.
   Micro-batches are capped (``maxOffsetsPerTrigger``, 5M records by
   default): the per-key stateful steps hold at most one micro-batch of a
   key in memory.
@@ -26,6 +27,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from millrun.session import checkpoint_dir
 
 
+#: Files in one micro-batch at most, so that no key gathers a whole backlog.
+MAX_FILES = 1_000
+
+
 def kafka_text_source(
     spark: SparkSession,
     topic: str,
@@ -46,19 +51,25 @@ def kafka_text_source(
         r = r.option(k, v)
     return r.load().select(
         F.col("value").cast("string").alias("value"),
-        F.col("offset").alias("seq"),
+        arrival(F.col("timestamp"), F.col("partition"), F.col("offset")).alias("seq"),
         F.col("partition").alias("kafka_partition"),
     )
 
 
-def file_text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def arrival(timestamp: Column, partition: Column, offset: Column) -> Column:
+    """Text that sorts as (timestamp, partition, offset)."""
+    return F.format_string("%020d-%010d-%020d", F.unix_micros(timestamp), partition.cast("long"), offset.cast("long"))
+
+
+def file_text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
+    """Text lines; the records carry their own ``seq`` (one without it is a dead letter)."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
 
 
-def file_json_source(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_json_source(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     r = spark.readStream.schema(schema).format("json")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -114,13 +125,27 @@ def console_sink(df: DataFrame, name: str, trigger: Mapping[str, object] | None
     return _trigger(w, trigger).start()
 
 
-def fan_out(outputs: Mapping[str, tuple[Column | None, str, str]]) -> Callable[[DataFrame, int], None]:
+def messages(df: DataFrame) -> DataFrame:
+    """The queue's ``value``: the record's own text, else its columns as JSON."""
+    return df.select("value") if "value" in df.columns else df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+
+def deliver(df: DataFrame, path: str, fmt: str, batch_id: int, bootstrap: str | None = None) -> None:
+    """One output of a micro-batch: to the queue (the topic has the name of
+    the path's last part; at least once), or to ``<path>/batch=<id>``, where
+    a replayed batch replaces its own files and nothing else."""
+    if bootstrap:
+        topic = path.rstrip("/").rsplit("/", 1)[-1]
+        messages(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
+    else:
+        df.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+
+
+def fan_out(outputs: Mapping[str, tuple[Column | None, str, str]], bootstrap: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing several outputs of one micro-batch.
 
-    ``outputs`` maps a name to (filter or None, path, format). The batch is
-    persisted once so the source is read once; each output goes to
-    ``<path>/batch=<id>`` with overwrite, so a replayed batch replaces its
-    own files and nothing else.
+    ``outputs`` maps a name to (filter or None, path, format); see
+    ``deliver``. The batch is persisted once so the source is read once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -128,7 +153,7 @@ def fan_out(outputs: Mapping[str, tuple[Column | None, str, str]]) -> Callable[[
         try:
             for cond, path, fmt in outputs.values():
                 part = batch if cond is None else batch.filter(cond)
-                part.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+                deliver(part, path, fmt, batch_id, bootstrap)
         finally:
             batch.unpersist()
 

@@ -37,8 +37,9 @@ E1_OUTPUTS = ("machine_start", "weld_start", "shutdown", "heartbeat", "manufactu
 
 def e1_stream(text: DataFrame) -> DataFrame:
     """Parse, correct the new-part flag per part (stateful), add ``route``.
-    Dead-letter rows ride along with their ``dead_reason``."""
-    p = parse.parse_equipment_logs(text)
+    Dead-letter rows join the output behind the keyed step with their
+    ``dead_reason``: they have no key, and would be one group."""
+    p = _ordered(parse.parse_equipment_logs(text))
     flat = p.select(
         "seq",
         "raw",
@@ -51,7 +52,8 @@ def e1_stream(text: DataFrame) -> DataFrame:
         "log_type",
         "dead_reason",
     )
-    flagged = new_part_flag_stream(flat, "part_id", "is_new", "log_day", "seq", "dead_reason")
+    flagged = new_part_flag_stream(flat.filter("dead_reason is null"), "part_id", "is_new", "log_day", "seq", "dead_reason")
+    flagged = flagged.unionByName(flat.filter("dead_reason is not null"))
     # the whole record goes on; only a corrected flag changes it
     kept = F.col("given_new").eqNullSafe(F.col("is_new"))
     fixed = F.when(kept, F.col("raw")).otherwise(with_member("raw", "common", "is_new", F.col("is_new")))
@@ -60,12 +62,19 @@ def e1_stream(text: DataFrame) -> DataFrame:
     return routed.withColumn("value", value).drop("given_new")
 
 
-def start_e1(text: DataFrame, out_root: str, name: str = "e1_equipment_logs", trigger=None, checkpoint=None):
+def _ordered(parsed: DataFrame) -> DataFrame:
+    """A record without an order of arrival is a dead letter: the keyed steps depend on it."""
+    reason = F.coalesce("dead_reason", F.when(F.col("seq").isNull(), F.lit("no_seq")))
+    return parsed.withColumn("dead_reason", reason)
+
+
+def start_e1(text: DataFrame, out_root: str, name: str = "e1_equipment_logs", trigger=None, checkpoint=None,
+             bootstrap: str | None = None):
     outputs = {"main": (F.col("dead_reason").isNull(), f"{out_root}/dwd_equipment_log", "json"),
                "dead_letter": (F.col("dead_reason").isNotNull(), f"{out_root}/dead_letter", "json")}
     for r in E1_OUTPUTS:
         outputs[r] = (F.col("route") == r, f"{out_root}/dwd_{r}_log", "json")
-    q = e1_stream(text).writeStream.foreachBatch(io.fan_out(outputs))
+    q = e1_stream(text).writeStream.foreachBatch(io.fan_out(outputs, bootstrap))
     return _start(q, text.sparkSession, name, trigger or {"processingTime": TRIGGERS["e1"]}, checkpoint)
 
 
@@ -119,7 +128,7 @@ def start_e2(text: DataFrame, rules_loader, out_root: str, dim_root: str, name:
 
 
 def e3_stream(text: DataFrame, ttl_ms: int = 24 * 3600 * 1000, cleanup: bool = True) -> DataFrame:
-    p = parse.parse_manufacture_logs(text)
+    p = _ordered(parse.parse_manufacture_logs(text))
     flat = p.select(
         "seq",
         "raw",
@@ -128,15 +137,16 @@ def e3_stream(text: DataFrame, ttl_ms: int = 24 * 3600 * 1000, cleanup: bool = T
         date_text(F.col("mdate")).alias("mday"),
         "dead_reason",
     )
-    unique = unique_part_stream(flat, "part_id", "mday", "seq", ttl_ms, "dead_reason", cleanup)
+    unique = unique_part_stream(flat.filter("dead_reason is null"), "part_id", "mday", "seq", ttl_ms, "dead_reason", cleanup)
+    unique = unique.unionByName(flat.filter("dead_reason is not null"))
     return unique.withColumn("value", F.when(F.col("dead_reason").isNull(), F.col("raw")))
 
 
 def start_e3(text: DataFrame, out_root: str, name: str = "e3_unique_part", trigger=None, checkpoint=None,
-             cleanup: bool = True):
+             cleanup: bool = True, bootstrap: str | None = None):
     outputs = {"unique": (F.col("dead_reason").isNull(), f"{out_root}/dwm_unique_part", "json"),
                "dead_letter": (F.col("dead_reason").isNotNull(), f"{out_root}/dead_letter", "json")}
-    q = e3_stream(text, cleanup=cleanup).writeStream.foreachBatch(io.fan_out(outputs))
+    q = e3_stream(text, cleanup=cleanup).writeStream.foreachBatch(io.fan_out(outputs, bootstrap))
     return _start(q, text.sparkSession, name, trigger or {"processingTime": TRIGGERS["e3"]}, checkpoint)
 
 
@@ -165,8 +175,12 @@ def e4_stream(
     return wide
 
 
-def start_e4(wide: DataFrame, out_path: str, name: str = "e4_inspect_wide", trigger=None, checkpoint=None):
-    """Append the joined rows to a file sink (exactly once)."""
+def start_e4(wide: DataFrame, out_path: str, name: str = "e4_inspect_wide", trigger=None, checkpoint=None,
+             bootstrap: str | None = None):
+    """Append the joined rows to a file sink (exactly once) or to the queue."""
+    if bootstrap:
+        return io.kafka_sink(io.messages(wide), name, bootstrap, out_path.rstrip("/").rsplit("/", 1)[-1], checkpoint,
+                             trigger or {"processingTime": TRIGGERS["e4"]})
     w = wide.writeStream.format("json").outputMode("append").option("path", out_path)
     return _start(w, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
 
@@ -178,6 +192,7 @@ def start_e4_fresh_dims(
     name: str = "e4_inspect_wide_fresh",
     trigger=None,
     checkpoint=None,
+    bootstrap: str | None = None,
 ):
     """E4 with the equipment dim (id, start_date) re-read for every
     micro-batch: joined rows get the equipment's start date and working
@@ -189,7 +204,7 @@ def start_e4_fresh_dims(
         out = out.withColumn(
             "working_days", F.datediff(F.to_date("detail_time"), F.col("equipment_start")).cast("bigint")
         )
-        out.write.mode("overwrite").json(f"{out_path}/batch={batch_id}")
+        io.deliver(out, out_path, "json", batch_id, bootstrap)
 
     q = wide.writeStream.outputMode("append").foreachBatch(run)
     return _start(q, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
@@ -249,6 +264,7 @@ def start_e5_fresh_dims(
     name: str = "e5_size_stats_fresh",
     trigger=None,
     checkpoint=None,
+    bootstrap: str | None = None,
 ):
     """E5 with the production dim re-read for every micro-batch (no stale
     lookup): enrich the closed windows' partial sums, roll up to
@@ -258,7 +274,7 @@ def start_e5_fresh_dims(
     def run(batch: DataFrame, batch_id: int) -> None:
         lookup = [(production_loader(), "mid", "id", {"Fid": "fid", "lid": "lid", "mType": "mtype", "eId": "eid"})]
         out = stats.size_stats_enriched(batch, lookup, "ts", window, grain=("mid", "isnew"), preaggregate=False)
-        out.write.mode("overwrite").json(f"{out_path}/batch={batch_id}")
+        io.deliver(out, out_path, "json", batch_id, bootstrap)
 
     q = grain.writeStream.outputMode("append").foreachBatch(run)
     return _start(q, grain.sparkSession, name, trigger or {"processingTime": TRIGGERS["e5"]}, checkpoint)
@@ -269,6 +285,18 @@ def start_e5(stream: DataFrame, out_path: str, name: str = "e5_size_stats", trig
     return _start(w, stream.sparkSession, name, trigger or {"processingTime": TRIGGERS["e5"]}, checkpoint)
 
 
+def start_dead_letters(parsed: list[DataFrame], out_root: str, name: str, trigger=None, checkpoint=None,
+                       bootstrap: str | None = None):
+    """What of ``parsed`` could not be read, with its reason (E4 and E5)."""
+    dead = [parse.dead(p).select("raw", "dead_reason") for p in parsed]
+    rows = dead[0]
+    for d in dead[1:]:
+        rows = rows.unionByName(d)
+    outputs = {"dead_letter": (None, f"{out_root}/dead_letter", "json")}
+    q = rows.writeStream.foreachBatch(io.fan_out(outputs, bootstrap))
+    return _start(q, rows.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
+
+
 def _start(writer, spark: SparkSession, name: str, trigger: Mapping[str, object], checkpoint: str | None):
     return (
         writer.queryName(name)

@@ -29,7 +29,9 @@ def test_run_e3_and_e5_once(spark, tmp_dir):
         [{"mid": "m1", "isNew": "1", "isPass": "0", "ts": base + 1}],
         [{"mid": "m1", "isNew": "1", "isPass": "0", "ts": base + 2}],
     ]):
-        _topic(tmp_dir + "/in", t, recs)
+        _topic(tmp_dir + "/in", t, [*recs, {"ts": base}])
+    with open(f"{tmp_dir}/in/{run.TOPICS['e5'][0]}/bad.json", "w") as f:
+        f.write("broken{\n")
     spark.createDataFrame([("m1", "e1", "f1", "t1", "l1")], "id string, eId string, Fid string, mType string, lid string") \
         .write.parquet(f"{tmp_dir}/prod")
     assert run.main(["e5", "--source", "files", "--input", f"{tmp_dir}/in", "--out", f"{tmp_dir}/out",
@@ -37,6 +39,8 @@ def test_run_e3_and_e5_once(spark, tmp_dir):
     w = spark.read.json(f"{tmp_dir}/out/dws_size_stats").collect()
     first = [r for r in w if r.wbt == "2024-01-01 00:00:00"]
     assert [(r.defect_sum, r.check_sum, r.defect_type_count, r.double_sum, r.double_fail_sum) for r in first] == [(1, 1, 1, 1, 1)]
+    dead = [r.dead_reason for r in spark.read.json(f"{tmp_dir}/out/dead_letter").collect()]
+    assert sorted(x for x in dead if x) == ["malformed_json", "no_mid", "no_mid", "no_mid"]
 
 
 def test_run_e4_with_equipment_dim(spark, tmp_dir):

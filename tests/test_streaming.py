@@ -387,3 +387,70 @@ def test_first_defect_stream_matches_batch(spark, tmp_dir):
         .withColumn("day", F.to_date("ets"))
     want = rows(inspect.first_defect_per_size(b, order=["ts"]), "mid", "size_id", "ts")
     assert got == want == [("m1", "a", base), ("m1", "a", base + day + 5), ("m1", "b", base + 3000)]
+
+
+def test_malformed_rows_never_reach_the_state_step(spark, tmp_dir, monkeypatch):
+    """A thousand unreadable records and records without an order go round the keyed step."""
+    import inspect as py_inspect
+
+    assert "filter(\"dead_reason is null\")" in py_inspect.getsource(sjobs.e1_stream)
+    os.makedirs(f"{tmp_dir}/in")
+    good = [json.dumps({"common": {"partId": f"p{i % 3}"}, "ts": 1_704_067_200_000, "seq": i}) for i in range(6)]
+    lost = [json.dumps({"common": {"partId": "x"}, "ts": 1_704_067_200_000})]
+    with open(f"{tmp_dir}/in/a.json", "w") as f:
+        f.write("\n".join(good + ["broken{"] * 1000 + lost) + "\n")
+    q = _run_to_memory(sjobs.e3_stream(file_text_source(spark, f"{tmp_dir}/in"), cleanup=False), "dead_rows", f"{tmp_dir}/ck")
+    out = spark.table("dead_rows")
+    assert out.filter("dead_reason = 'malformed_json'").count() == 1000
+    assert out.filter("dead_reason = 'no_seq'").count() == 1
+    assert out.filter("dead_reason is null").count() == 3
+    # the keyed step holds the three parts and nothing else
+    assert spark.read.format("statestore").load(f"{tmp_dir}/ck").count() == 3
+
+
+def test_arrival_orders_across_partitions(spark):
+    import datetime as dt
+
+    from millrun.streaming import io as sio
+
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    recs = [(t, 1, 7, 0), (t, 1, 10, 1), (t, 2, 1, 2), (t + dt.timedelta(microseconds=1), 0, 0, 3), (t + dt.timedelta(seconds=9), 1, 11, 4)]
+    df = spark.createDataFrame(recs, "timestamp timestamp, partition int, offset long, want int").repartition(3)
+    got = df.select("want", sio.arrival(F.col("timestamp"), F.col("partition"), F.col("offset")).alias("seq")).orderBy("seq")
+    assert [r.want for r in got.collect()] == [0, 1, 2, 3, 4]
+
+
+def test_outputs_go_to_topics_of_their_names(spark, monkeypatch):
+    from millrun.streaming import io as sio
+
+    sent = []
+
+    class Writer:
+        def format(self, f):
+            self.to = [f]
+            return self
+
+        def option(self, k, v):
+            self.to.append((k, v))
+            return self
+
+        def save(self):
+            sent.append(self.to)
+
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda self: Writer()))
+    df = spark.createDataFrame([("a", "x")], "value string, route string")
+    sio.deliver(df, "/out/dwm_unique_part", "json", 3, "broker:9092")
+    assert sent == [["kafka", ("kafka.bootstrap.servers", "broker:9092"), ("topic", "dwm_unique_part")]]
+    assert sio.messages(df).columns == ["value"]
+    assert sio.messages(df.drop("value")).first().value == '{"route":"x"}'
+
+
+def test_side_tables_by_jdbc_address(spark):
+    import pytest as pt
+
+    from millrun.sources.tables import load_side
+
+    with pt.raises(ValueError, match="jdbc"):
+        load_side(spark, "jdbc:mysql://host/db")
+    with pt.raises(Exception, match="(?i)driver"):  # the address is passed on; no driver here
+        load_side(spark, "jdbc:nodb://host/db#table_process")
