@@ -1,8 +1,8 @@
 """Keyed building blocks that stay correct and balanced when one key holds
 a large share of all rows.
 
-* ``bounded_broadcast`` — broadcast a side only after counting it against a
-  row bound; beyond the bound the caller gets a plain shuffle join (AQE
+* ``bounded_broadcast`` — broadcast a side only after measuring it against a
+  bound in rows and bytes; beyond the bound the caller gets a plain shuffle join (AQE
   skew-join splits hot keys there).
 * ``first_per_key`` / ``last_per_key`` — ``row_number() = 1`` without a
   window: ``min``/``max`` over a struct is a partial aggregate, so a hot key
@@ -20,10 +20,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side (rows) we broadcast. Callers project the side to the
-# columns they need first, so this stays well under executor memory.
+# Largest side we broadcast, in rows and in bytes of its values. Callers
+# project the side to the columns they need first.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def sized(
@@ -32,7 +34,8 @@ def sized(
     materialize: bool = False,
     bound_by: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
-    """(side, fits): whether ``df`` has at most ``max_rows`` rows.
+    """(side, fits): whether ``df`` has at most ``max_rows`` rows and
+    BROADCAST_MAX_BYTES bytes.
     ``materialize`` first checkpoints a side that is derived from big data,
     so the count and the join do not compute it twice (and its lineage is
     cut). ``bound_by`` is a cheaper frame with at least as many rows as
@@ -42,10 +45,8 @@ def sized(
 
         checkpoint_dir(df.sparkSession)  # shared folder (set only for local masters)
         df = df.checkpoint(eager=True)
-        n = df.limit(max_rows + 1).count()
-    else:
-        n = _bounded_count(df if bound_by is None else bound_by, max_rows)
-    return df, n <= max_rows
+        return df, _fits(df, max_rows)
+    return df, _fits(df if bound_by is None else bound_by, max_rows)
 
 
 def bounded_broadcast(
@@ -60,23 +61,20 @@ def bounded_broadcast(
     return F.broadcast(df) if fits else df
 
 
-# Row bounds of file-backed sides already checked in this process, keyed by
-# (plan, files): parquet files are immutable, so the same plan over the
-# same files has the same count (like a table's cached statistics).
-_BOUNDS: dict[tuple, int] = {}
+def _fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and BROADCAST_MAX_BYTES
+    bytes of values; reads no more than the bound. Counted each time: files
+    may be replaced under the same name."""
 
+    def width(f) -> Column:
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.lit(8)
+        text = f"`{f.name}`" if isinstance(f.dataType, (T.StringType, T.BinaryType)) else f"to_json(array(`{f.name}`))"
+        return F.expr(f"8 + coalesce(octet_length({text}), 0)")
 
-def _bounded_count(df: DataFrame, max_rows: int) -> int:
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # plans without a stable hash are counted every time
-        key = None
-    if key is not None and key in _BOUNDS:
-        return _BOUNDS[key]
-    n = df.limit(max_rows + 1).count()
-    if key is not None and key[1]:
-        _BOUNDS[key] = n
-    return n
+    row = sum((width(f) for f in df.schema.fields), F.lit(0))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("bytes")).first()
+    return size["rows"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_MAX_BYTES
 
 
 def first_per_key(

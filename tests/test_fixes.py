@@ -177,3 +177,12 @@ def test_changes_without_a_key_are_dead_letters(spark):
     rules = spark.createDataFrame([("t", "insert", "hbase", "dim_t", "id,k", None, None, 1)], RULE)
     cdc = spark.createDataFrame([("t", "insert", 1, {"id": "1", "k": "a"}), ("t", "insert", 2, {"k": "b"})], "table string, type string, seq long, data map<string,string>")
     assert rows(routing.route_changes(cdc, rules), "seq", "route", "reason") == [(1, "dim", None), (2, "dead", "no_pk")]
+
+
+def test_broadcast_bound_counts_rows_and_bytes(spark, monkeypatch):
+    from millrun.operators import keyed
+
+    df = spark.createDataFrame([(str(i), "x" * 1000, ["y"]) for i in range(10)], "k string, v string, a array<string>")
+    assert keyed.sized(df, 10)[1] and not keyed.sized(df, 9)[1]
+    monkeypatch.setattr(keyed, "BROADCAST_MAX_BYTES", 5_000)
+    assert not keyed.sized(df, 10)[1] and keyed.sized(df.select("k"), 10)[1]
