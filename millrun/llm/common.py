@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from millrun.session import checkpoint_dir
 
 
+#: Once a table is written, its job's shuffle files are of no use any more.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
@@ -25,9 +29,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back: the lineage
     is cut, and a lost executor costs no recomputation of what stands before."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    kept = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, kept)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class Memo(dict):

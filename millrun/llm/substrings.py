@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import rows_of, stored, text_of
 from .fm_index import FmIndex
 
-GRAM = 5
+GRAM = 8
 RUN = 128  # windows in a segment at most; longer runs (repetitive text) are several
 KEY_SEGMENTS = 2_000
 _CHUNK = 1 << 18  # words handled at once
@@ -156,8 +156,8 @@ def _emit_segments(window: int):
     return run
 
 
-_PART = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.int64()), ("words", pa.list_(pa.int64()))])
-_PART_SQL = "kind int, key long, content long, doc long, tie int, start long, words array<long>"
+_PART = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.int64()), ("words", pa.binary())])
+_PART_SQL = "kind int, key long, content long, doc long, tie int, start long, words binary"
 
 
 def _emit_parts(window: int):
@@ -170,10 +170,11 @@ def _emit_parts(window: int):
                 words = text.encode().split()
                 for part in wanted:
                     start, many, key = part["start"], part["many"], part["key"]
-                    w = word_hashes(words[start : start + many + window - 1])
+                    mine = words[start : start + many + window - 1]
                     if not part["hot"]:
-                        row = [(0, key, 0, doc, tie, start, w.view(np.int64))]
+                        row = [(0, key, 0, doc, tie, start, b" ".join(mine))]
                     else:
+                        w = word_hashes(mine)
                         one, two = np.zeros(many, np.uint64), np.zeros(many, np.uint64)
                         for j in range(window):
                             one, two = one * _M + w[j : j + many], two * _ODD + _mixed(w[j : j + many])
@@ -221,30 +222,22 @@ def repeated_windows(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, words:
 
 def _search(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple] = []
         size = 0
 
-        def shard(whole: pa.Table) -> pa.RecordBatch:
-            column = whole.column("words").combine_chunks()
-            flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
-            words = [flat[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets, offsets[1:], strict=False)]
-            return repeated_windows(*(whole.column(n).to_numpy() for n in ("doc", "tie", "start")), words, window)
+        def shard(rows: list[tuple]) -> pa.RecordBatch:
+            doc, tie, start = (np.array([r[k] for r in rows], t) for k, t in ((1, np.int64), (2, np.int32), (3, np.int64)))
+            return repeated_windows(doc, tie, start, [word_hashes(r[4]) for r in rows], window)
 
         for batch in batches:  # sorted by key; a shard takes whole keys
-            held.append(batch)
-            size += len(batch.column(batch.schema.get_field_index("words")).flatten())
-            if size >= _CHUNK:
-                whole = pa.Table.from_batches(held)
-                key = whole.column("key").to_numpy()
-                inside = np.flatnonzero(key != key[-1])
-                cut = int(inside[-1]) + 1 if len(inside) else 0
-                if cut:
-                    yield shard(whole.slice(0, cut).combine_chunks())
-                rest = whole.slice(cut).combine_chunks()
-                held = rest.to_batches()
-                size = len(rest.column("words").combine_chunks().flatten())
+            for key, doc, tie, start, words in rows_of(batch, "key", "doc", "tie", "start", "words"):
+                if size >= _CHUNK and key != held[-1][0]:
+                    yield shard(held)
+                    held, size = [], 0
+                held.append((key, doc, tie, start, words.split()))
+                size += len(held[-1][4])
         if held:
-            yield shard(pa.Table.from_batches(held).combine_chunks())
+            yield shard(held)
 
     return run
 
@@ -256,7 +249,8 @@ def _place_of(id_col: str, text_col: str, doc: str = "doc", tie: str = "tie") ->
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, key_segments: int = KEY_SEGMENTS) -> DataFrame:
     """(doc, tie, start, many): runs of ``many`` windows from word ``start`` on whose words also start earlier."""
     texts = docs.select(*_place_of(id_col, text_col), text_of(text_col).alias("text"))
-    segments = stored(texts.mapInArrow(_emit_segments(window), _SEGMENT_SQL), "segments")
+    # made twice, once for each side of the join: cheaper than to write them
+    segments = texts.mapInArrow(_emit_segments(window), _SEGMENT_SQL)
     places = segments.groupBy("key").agg(F.sum(F.col("at").bitwiseAND(F.lit(255))).alias("n"))
     # rows of one id and text stand twice: they are one document
     repeated = stored(segments.join(places.where("n > 1").select("key"), "key", "left_semi"), "repeated")
