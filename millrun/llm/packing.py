@@ -8,8 +8,8 @@ best-fit decreasing. Dual-feasible functions of the lengths give a lower
 bound for each partition: where bins equal the bound, the packing is proven
 best and stays. Partitions with a gap give the documents of their unfilled
 bins to a common pool, which is dealt over half as many partitions (so that
-documents meet others) and packed again, until no gap is left, a round wins
-nothing, or one partition was left. Each round moves (id, piece, length)
+documents meet others) and packed again, until no gap is left or one
+partition was left; a round that wins nothing is dropped. Each round moves (id, piece, length)
 rows only, and what a task holds is bounded by ``PER_PARTITION`` pieces on
 average. A round's result is written to the shared folder.
 
@@ -117,7 +117,8 @@ _PLACED_SQL = "item long, length long, pool long, bin long, offset long, open bo
 def _pack(items: DataFrame, size: int, pools: int, salt: int) -> DataFrame:
     """One round: deal (item, length) over ``pools`` and pack each pool. A bin
     is open (its documents may be exchanged) if it has room and its pool's
-    count isn't certified by the bound."""
+    count isn't certified by the bound; of a certified pool only the emptiest
+    bin is, as those of several pools may fill each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches), schema=_ITEM)
@@ -129,7 +130,7 @@ def _pack(items: DataFrame, size: int, pools: int, salt: int) -> DataFrame:
         for at in np.split(order, cuts):
             bins, offsets, fill = best_fit_decreasing(length[at], size)
             gap = len(fill) - lower_bound(length[at], size)
-            opened = (fill[bins] < size) & (gap > 0)
+            opened = (fill[bins] < size) & ((gap > 0) | (bins == fill.argmin()))
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip((item[at], length[at], pool[at], bins, offsets, opened), _PLACED, strict=True)], schema=_PLACED)
 
     dealt = items.select(F.pmod(F.xxhash64("item", F.lit(salt)), F.lit(pools)).alias("pool"), "item", "length")
@@ -152,9 +153,12 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) ->
         ).first()
         # round, pool and bin make the number: up to 2**24 pools of up to 2**34 bins
         numbered = placed.select("item", "length", "open", (F.lit(salt << 58) + F.col("pool") * (1 << 34) + F.col("bin")).alias("sequence_id"), "offset")
-        if opened is not None and stats.bins >= opened_bins:  # the exchange won nothing
-            places = places.unionByName(opened.select("item", "sequence_id", "offset"))
-            break
+        if opened is not None and stats.bins >= opened_bins:  # this exchange won nothing: a wider one may
+            if pools == 1 or salt + 1 == ROUNDS:
+                places = places.unionByName(opened.select("item", "sequence_id", "offset"))
+                break
+            pools, salt = pools // 2, salt + 1
+            continue
         if not stats.n or pools == 1 or salt + 1 == ROUNDS:
             places = places.unionByName(numbered.select("item", "sequence_id", "offset"))
             break
