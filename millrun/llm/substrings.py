@@ -304,7 +304,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, the columns of ``carry``, n_words, n_removed, kept) of every document."""
     from pyspark.sql.types import LongType, StringType, StructType
 
-    runs = covered(docs, id_col, text_col, window, key_segments).groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "many")).alias("__runs"))
+    found = covered(docs, id_col, text_col, window, key_segments)
+    # written, so that the shuffles before are gone when the texts are shuffled
+    runs = stored(found.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "many")).alias("__runs")), "runs")
     names = [id_col, *(c for c in carry if c != id_col)]
     placed = docs.select(*names, *_place_of(id_col, text_col, "__doc", "__tie"), text_of(text_col).alias("__text"))
     runs = runs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"})
