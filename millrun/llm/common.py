@@ -16,13 +16,24 @@ from millrun.session import checkpoint_dir
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Texts may be long, so few of them travel to a Python worker at once; a submit that says otherwise holds.
+_BATCH, _BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    _small_batches(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
+def _small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir``."""
+    _small_batches(spark)
     return f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 

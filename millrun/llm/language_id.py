@@ -74,12 +74,13 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield emit(schema, [[lang] * (len(at) + 1), [-1, *at.tolist()], [0, *counts[at].tolist()], [texts[lang]] + [0] * len(at)])
 
     counted = sample.select("lang", "text").mapInArrow(run, "lang string, cell int, n long, texts long").groupBy("lang", "cell").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    found = counted.collect()  # at most CELLS rows a language of the sample
-    langs = sorted(r.lang for r in found if r.cell < 0 and r.texts >= LEAST_ROWS and r.lang != UND)
+    found = counted.toArrow()  # at most CELLS rows a language of the sample
+    lang, cell, n, texts = (found.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "cell", "n", "texts"))
+    langs = sorted(set(lang[(cell < 0) & (texts >= LEAST_ROWS)]) - {UND})
     counts = np.full((CELLS, len(langs)), 0.01)
-    for r in found:
-        if r.cell >= 0 and r.lang in langs:
-            counts[r.cell, langs.index(r.lang)] += r.n
+    for k, name in enumerate(langs):
+        own = (lang == name) & (cell >= 0)
+        counts[cell[own], k] += n[own]
     logs = np.log(counts / counts.sum(axis=0)) if langs else counts
     return [*langs, UND], np.column_stack([logs, np.full(CELLS, -np.log(CELLS))])
 

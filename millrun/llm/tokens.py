@@ -52,8 +52,8 @@ class SpacedEncoder:
         import regex
 
         self.split, self.value, self.joined = regex.compile(pattern).findall, value, joined
-        self.pieces = Memo(lambda piece: value(encode_piece(piece)), 400_000)
-        self.words = Memo(self._word, 400_000)
+        self.pieces = Memo(lambda piece: value(encode_piece(piece)), 250_000)
+        self.words = Memo(self._word, 250_000)
 
     def _pieces(self, text: str):
         return self.joined([self.pieces[p] for p in self.split(text)])
@@ -90,8 +90,8 @@ class WordEncoder:
 
         self.split = regex.compile(pattern).findall
         self.normalize, self.tokenize = tokenizer.normalizer.normalize_str, tokenizer.model.tokenize
-        self.pieces = Memo(self._piece, 400_000)
-        self.words = Memo(self._word, 400_000)
+        self.pieces = Memo(self._piece, 250_000)
+        self.words = Memo(self._word, 250_000)
 
     def _word(self, word: str) -> bytes:
         if word.isascii():
