@@ -5,7 +5,8 @@ distinct code and segment. Round r looks up, for every open query, all segment
 values at exactly r bits from the query's own. Whatever differs from the query
 in at most ``SEGMENTS * (r + 1) - 1`` bits has a segment within r bits, so it
 has been found by then; a query closes once its k-th verified distance lies
-within that. Verification is the popcount of the whole codes. A pair that
+within that. Verification is the popcount of the whole codes, and what is
+farther than the k-th so far is not looked at again. A pair that
 several segments find is kept by the first segment of its least radius only,
 so nothing is collected twice and no distinct is needed.
 
@@ -53,7 +54,6 @@ def _bits(a: Column, b: Column) -> Column:
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", code_col: str = "code") -> DataFrame:
     """(query_id, rank, vec_id, distance): the k rows nearest to each query row."""
-    spark = rows.sparkSession
     base = rows.select(F.col(id_col).cast("long").alias("id"), F.col(code_col).cast("long").alias("code")).dropna().distinct()
     asked = stored(queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(code_col).cast("long").alias("q")).dropna().distinct(), "queries")
     smallest = F.row_number().over(Window.partitionBy("code").orderBy("id"))
@@ -61,31 +61,35 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_i
     codes = members.groupBy("code").agg(F.min("id").alias("least"), F.count("*").alias("rows"))
     index = stored(codes.select("code", "least", "rows", F.posexplode(F.array(*[_segment(F.col("code"), s) for s in range(SEGMENTS)])).alias("segment", "value")), "segments")
 
-    shells = [[sum(1 << b for b in bits) for bits in itertools.combinations(range(_WIDTH), r)] for r in range(_WIDTH + 1)]
-    masks = F.broadcast(spark.createDataFrame(list(enumerate(shells)), "r int, masks array<int>"))  # 2**16 numbers in all
-
     best = None
-    open_queries = asked.select("q").distinct()
+    open_queries = asked.select("q", F.lit(BITS).alias("bound")).distinct()
     near_first = Window.partitionBy("q").orderBy("distance", "least", "code")
     for r in range(_WIDTH + 1):
-        probes = open_queries.withColumn("r", F.lit(r)).join(masks, "r").select("q", F.explode("masks").alias("mask"))
-        probes = probes.select("q", F.posexplode(F.array(*[_segment(F.col("q"), s).bitwiseXOR(F.col("mask")) for s in range(SEGMENTS)])).alias("segment", "value"))
-        pairs = probes.join(index, ["segment", "value"])
+        shell = ",".join(str(sum(1 << b for b in bits)) for bits in itertools.combinations(range(_WIDTH), r))
+        probes = open_queries.select("q", "bound", F.explode(F.split(F.lit(shell), ",").cast("array<int>")).alias("mask"))
+        probes = probes.select("q", "bound", F.posexplode(F.array(*[_segment(F.col("q"), s).bitwiseXOR(F.col("mask")) for s in range(SEGMENTS)])).alias("segment", "value"))
         apart = [_bits(_segment(F.col("q"), s), _segment(F.col("code"), s)) for s in range(SEGMENTS)]
         first = F.lit(True)
         for s in range(SEGMENTS):
             first = first & F.when(F.col("segment") > s, apart[s] > r).when(F.col("segment") < s, apart[s] >= r).otherwise(True)
-        found = pairs.where(first).select("q", "code", "least", "rows", _bits(F.col("q"), F.col("code")).alias("distance"))
-        merged = found if best is None else best.join(open_queries, "q", "left_semi").unionByName(found)
-        top = merged.withColumn("n", F.row_number().over(near_first)).where(F.col("n") <= k + 1).drop("n")
-        closed_before = [] if best is None else [best.join(open_queries, "q", "left_anti")]
-        for done in closed_before:
-            top = done.unionByName(top)
+        distance = _bits(F.col("q"), F.col("code"))
+        # verified as part of the join: what is beyond the best k + 1 so far never leaves it
+        # both sides are shuffled: probes look small to the planner but are not bounded
+        found = probes.hint("merge").join(index, ["segment", "value"]).where(first & (distance <= F.col("bound"))).select("q", "code", "least", "rows", distance.alias("distance"))
+        if best is None:
+            top = found
+        else:
+            top = best.join(open_queries.select("q"), "q", "left_semi").unionByName(found)
+        top = top.withColumn("n", F.row_number().over(near_first)).where(F.col("n") <= k + 1).drop("n")
+        if best is not None:
+            top = top.unionByName(best.join(open_queries.select("q"), "q", "left_anti"))
         best = stored(top, f"best-{r}")
+        # the distance within which k + 1 rows are known (the query's own is among them)
+        passed = F.sum("rows").over(near_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        known = best.withColumn("passed", passed).where(F.col("passed") > k).groupBy("q").agg(F.min("distance").alias("bound"))
         certain = SEGMENTS * (r + 1) - 1
-        # k + 1 rows, as the query's own row is among them
-        closed = best.where(F.col("distance") <= certain).groupBy("q").agg(F.sum("rows").alias("n")).where(F.col("n") > k).select("q")
-        open_queries = stored(open_queries.join(closed, "q", "left_anti"), f"open-{r}")
+        still = open_queries.select("q").join(known, "q", "left").select("q", F.coalesce("bound", F.lit(BITS)).alias("bound"))
+        open_queries = stored(still.where(F.col("bound") > certain), f"open-{r}")
         if open_queries.isEmpty():
             break
     rows_found = best.select("q", "code", "distance").join(members, "code").join(asked, "q").where("id <> query_id")
