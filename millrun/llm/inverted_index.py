@@ -15,8 +15,8 @@ is in the index. A cell's vectors are dealt over blocks of about
 ``BLOCK_ROWS``; small cells share a block, large ones have several. A task
 holds one block and streams the queries that probe it, so its memory does not
 depend on the number of queries or on one cell's size; queries are dealt over
-``QUERY_ROWS`` at most per block. What a block gives to a query is its ``k``
-best, and a running top-k merges them.
+parts of ``QUERY_ROWS`` on average. A task merges what its blocks give to a query into its
+``k`` best, and a running top-k merges the tasks'.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, those of another length than most, and null ids take no part;
@@ -143,6 +143,15 @@ def best_of_block(ids: np.ndarray, vectors: np.ndarray, cells: np.ndarray, query
     return pa.RecordBatch.from_arrays([pa.array(query_ids[q[keep]]), pa.array(ids[c[keep]]), pa.array(exact[keep])], schema=_FOUND)
 
 
+def merge(found: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
+    """The k best rows of each query."""
+    q, ids, score = (np.concatenate([b.column(c).to_numpy() for b in found]) for c in range(3))
+    order = np.lexsort((ids, -score, q))
+    q = q[order]
+    keep = order[np.arange(len(q)) - np.searchsorted(q, q) < k]
+    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (np.concatenate([b.column(0).to_numpy() for b in found]), ids, score)], schema=_FOUND)
+
+
 def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", centroids: int = CENTROIDS, probed: float = PROBED, least: int = LEAST) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row."""
     spark = rows.sparkSession
@@ -209,10 +218,14 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
 
     ddl = "block long, part long, query boolean, id long, v array<double>, cells array<int>"
     both = celled.mapInArrow(place, ddl).unionByName(asked.mapInArrow(probe, ddl))
-    dealt = both.repartition("block", "part").sortWithinPartitions("block", "part", "query")
+    dealt = both.repartition("block", "part").sortWithinPartitions("part", "block", "query")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best of a part's queries over all blocks of the task: at most
+        QUERY_ROWS * k rows, and a few blocks' more before they are merged."""
         here, ids, vectors, cells = None, [], [], []
+        best: list[pa.RecordBatch] = []
+        held = merged = 0
         for batch in batches:
             key = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]).astype(np.int64)
             if not len(key):
@@ -221,6 +234,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
                 run = batch.slice(a, b - a)
                 if (key[a, 0], key[a, 1]) != here:
+                    if here and here[1] != key[a, 1] and best:
+                        yield merge(best, k)
+                        best, held, merged = [], 0, 0
                     here, ids, vectors, cells = (key[a, 0], key[a, 1]), [], [], []
                 if not key[a, 2]:
                     ids.append(run.column(3).to_numpy())
@@ -230,7 +246,13 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
                     for at in range(0, run.num_rows, 512):
                         part = run.slice(at, 512)
                         probed_cells = [np.array(x, np.int64) for x in part.column(5).to_pylist()]
-                        yield best_of_block(np.concatenate(ids), np.concatenate(vectors), np.concatenate(cells), part.column(3).to_numpy(), _matrix(part.column(4)), probed_cells, k)
+                        best.append(best_of_block(np.concatenate(ids), np.concatenate(vectors), np.concatenate(cells), part.column(3).to_numpy(), _matrix(part.column(4)), probed_cells, k))
+                        held += best[-1].num_rows
+                        if held > max(200_000, 2 * merged):
+                            best = [merge(best, k)]
+                            held = merged = best[0].num_rows
+        if best:
+            yield merge(best, k)
 
     found = dealt.mapInArrow(rerank, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
