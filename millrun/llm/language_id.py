@@ -14,8 +14,10 @@ uniform distribution over n-gram cells). Evidence for a row:
 
 The distributions behind host, domain, suffix and declaration are sums of the
 text posteriors of all rows by grouped aggregation: partial sums, so a host
-with a third of all rows is one row after the map side. Text models are counts
-of trigram cells over a bounded sample (``SAMPLE`` rows, by hash).
+with a third of all rows is one row after the map side. Every language that at
+least ``LEAST_ROWS`` rows of the whole table declare (texts with letters) is a
+class, however rare. Its text model is counts of trigram cells over its own
+sample by hash: all of its distinct rows, or about ``SAMPLE`` where it has more.
 
 Rejected is a row whose class is ``und`` or whose posterior is below
 ``ACCEPT``. Defined cases: a text without letters (null or empty as well) is
@@ -36,14 +38,16 @@ from pyspark.sql.types import DoubleType, StructType
 
 from .common import emit, rows_of, stored, text_of
 
-SAMPLE = 3_000
-LEAST_ROWS = 5  # of a language in the sample, to be a class
+SAMPLE = 3_000  # distinct rows a language
+LEAST_ROWS = 5  # of a language in the whole table, to be a class
 CELLS = 1 << 15
 TEMPER = 40
 STRENGTH = 5.0
 ACCEPT = 0.5
 UND = "und"
 
+#: What makes a cell: an ASCII letter or any other character.
+_LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 #: ASCII that is no letter becomes blank.
 _LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -57,29 +61,31 @@ def cells(text: str) -> np.ndarray:
 
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """The classes, and log probabilities (CELLS x classes), ``und`` last."""
-    known = rows.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    picked = known.select(F.col(id_col).alias("id")).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).distinct()
-    sample = known.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), F.lower(lang_col).alias("lang")).join(F.broadcast(picked), "id", "left_semi")
-    schema = pa.schema([("lang", pa.string()), ("cell", pa.int32()), ("n", pa.int64()), ("texts", pa.int64())])
+    known = rows.select(F.lower(lang_col).alias("lang"), text_of(text_col).alias("text"), F.xxhash64(id_col, text_of(text_col)).alias("row"))
+    known = known.where(F.col("lang").isNotNull() & (F.col("lang") != UND) & F.col("text").rlike(_LETTER))
+    # rows tell the classes; distinct rows (within a few per cent) the share of the hashes that a class samples
+    classes = known.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("row").alias("distinct")).where(F.col("rows") >= LEAST_ROWS)
+    shares = classes.select("lang", F.least(F.lit(1.0), 1.2 * SAMPLE / F.col("distinct")).alias("share"))
+    at = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / (1 << 30)
+    sample = known.join(F.broadcast(shares), "lang").where(at < F.col("share")).dropDuplicates(["lang", "row"])
+    schema = pa.schema([("lang", pa.string()), ("cell", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        texts: dict[str, int] = {}
         for batch in batches:
             for lang, text in rows_of(batch, "lang", "text"):
                 seen[lang] = seen.get(lang, 0) + np.bincount(cells(text), minlength=CELLS)
-                texts[lang] = texts.get(lang, 0) + 1
         for lang, counts in seen.items():
             at = np.flatnonzero(counts)
-            yield emit(schema, [[lang] * (len(at) + 1), [-1, *at.tolist()], [0, *counts[at].tolist()], [texts[lang]] + [0] * len(at)])
+            yield emit(schema, [[lang] * len(at), at.tolist(), counts[at].tolist()])
 
-    counted = sample.select("lang", "text").mapInArrow(run, "lang string, cell int, n long, texts long").groupBy("lang", "cell").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    found = counted.toArrow()  # at most CELLS rows a language of the sample
-    lang, cell, n, texts = (found.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "cell", "n", "texts"))
-    langs = sorted(set(lang[(cell < 0) & (texts >= LEAST_ROWS)]) - {UND})
+    counted = sample.select("lang", "text").mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()  # at most CELLS rows a language
+    lang, cell, n = (found.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "cell", "n"))
+    langs = sorted(set(lang))
     counts = np.full((CELLS, len(langs)), 0.01)
     for k, name in enumerate(langs):
-        own = (lang == name) & (cell >= 0)
+        own = lang == name
         counts[cell[own], k] += n[own]
     logs = np.log(counts / counts.sum(axis=0)) if langs else counts
     return [*langs, UND], np.column_stack([logs, np.full(CELLS, -np.log(CELLS))])

@@ -259,3 +259,31 @@ def test_posterior_against_a_plain_computation(spark):
 def test_language_of_an_empty_table(spark):
     df = docs(spark, [(1, "x")]).where("false")
     assert language_id.of_documents(df, ["doc_id"]).count() == 0
+
+
+def test_a_rare_language_is_a_class(spark, monkeypatch):
+    """Eight Greek rows of 1,208 are too few for a sample of all rows together."""
+    rnd = random.Random(7)
+    greek = "και το να του η της με που την από για είναι".split()
+    rows = [(i, _speech(lang := rnd.choice(list(WORDS)), rnd.randrange(8, 60), rnd), lang, f"src{i % 5}", 0) for i in range(1200)]
+    rows += [(5000 + i, " ".join(rnd.choice(greek) for _ in range(30)), "el", f"src{i % 5}", 0) for i in range(8)]
+    rows += [(6000 + i, "ja nein", "few", "src0", 0) for i in range(language_id.LEAST_ROWS - 1)] + [(7000 + i, "12", "num", "src0", 0) for i in range(9)]
+    monkeypatch.setattr(language_id, "SAMPLE", 200)
+    df = docs(spark, rows)
+    classes, _ = language_id.train(df)
+    assert classes == ["de", "el", "en", "fr", "und"]
+    kept = {r.doc_id for r in language_id.keep_identified(df).collect()}
+    assert {5000 + i for i in range(8)} <= kept
+
+
+def test_language_models_see_distinct_rows(spark, monkeypatch):
+    """A row that stands in a third of all rows is one row of the sample."""
+    import numpy as np
+
+    rows = _texts(400)
+    copies = rows + [rows[0]] * 200
+    one, many = (language_id.train(docs(spark, r)) for r in (rows, copies))
+    assert one[0] == many[0] and np.allclose(one[1], many[1])
+    monkeypatch.setattr(language_id, "SAMPLE", 20)  # a bound for each language, not for all
+    classes, logs = language_id.train(docs(spark, copies))
+    assert classes == [*sorted(WORDS), "und"] and not np.allclose(logs, many[1])
