@@ -6,7 +6,8 @@ are written once, their entities are exploded, and the distinct (type,
 canonical value) pairs get a surrogate core from SHA-256 of key, type, value
 and attempt:
 
-* email: letters become letters, digits digits, the last label stays;
+* email: letters become letters of their script (of a script without a table:
+  Latin ones), digits digits, the last label stays;
 * phone, card, ssn: digits become digits in the same layout; a country code
   and a card's first digit stay, and a valid check digit stays valid;
 * ip: another address; * secret: the same alphabet (hexadecimal stays so)
@@ -21,7 +22,9 @@ no surrogate is another's real value, and equal values (ignoring layout and
 case) get equal surrogates everywhere. The surrogates go back by value and
 row; a value in a third of all documents is one row of the table of values.
 
-Defined cases: null and empty texts stay as they are; repeated rows are
+A short email or secret has few surrogates of its own length; from its eighth
+attempt on it grows. Defined cases: a secret without a letter or digit (a blank
+form field) is no entity; null and empty texts stay as they are; repeated rows are
 rewritten alike; an empty table gives no rows; all other columns pass.
 """
 
@@ -49,13 +52,25 @@ CONSONANTS = {"latin": "bdfgklmnprstvz", "cyrillic": "бвгдклмнпрст"}
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу"}
 SURNAME_ENDS = {("m", "cyrillic"): "ов", ("f", "cyrillic"): "ова"}
 #: What stays within its own alphabet.
+#: A few scripts without case have some common letters here.
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "абвгдежзиклмнопрстуфхцчшщэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
+SCRIPTS = {
+    r"\p{IsLatin}": ALPHABETS[1],
+    r"\p{IsCyrillic}": ALPHABETS[3],
+    r"\p{IsGreek}": ALPHABETS[4],
+    r"\p{IsHan}": "安白北长成大东方高光国海和红华江金开来林马明木南平青清日山石水天田王文西新星雪阳永玉云中",
+    r"\p{IsHiragana}": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    r"\p{IsKatakana}": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    r"\p{IsHangul}": "가나다라마바사아자차카타파하거너더러머버서어저처커터퍼허고노도로모보소오조초코토포호",
+    r"\p{IsHebrew}": "אבגדהוזחטיכלמנסעפצקרשת",
+    r"\p{IsArabic}": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+}
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|pwd|secret|api_key|apikey|token)\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{8,128}[\"']?",
+    "secret": r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|pwd|secret|api_key|apikey|token)\s?[=:]\s?[\"']?(?=[+/_-]{0,127}[A-Za-z0-9])[A-Za-z0-9+/_-]{8,128}[\"']?",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "phone": r"(?<![\d\p{L}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\d\p{L}])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d\p{L}.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -106,9 +121,11 @@ def _pick(alphabet: str, at: str) -> str:
 
 
 def _shaped(text: str, whole: str | None = None) -> str:
-    """Each character replaced within its own alphabet."""
-    cases = " ".join(f"WHEN instr('{a}', substr(t, i, 1)) > 0 THEN {_pick(a, 'i')}" for a in ALPHABETS)
-    one = f"CASE {cases} ELSE substr(t, i, 1) END"
+    """Each character replaced within its own alphabet, other letters by one of their script, other numbers by a digit."""
+    c = "substr(t, i, 1)"
+    cases = " ".join(f"WHEN instr('{a}', {c}) > 0 THEN {_pick(a, 'i')}" for a in ALPHABETS)
+    other = " ".join(f"WHEN {c} RLIKE {_sql(p)} THEN {_pick(a, 'i')}" for p, a in {r"\p{N}": ALPHABETS[0], **SCRIPTS, r"[\p{L}\p{M}]": ALPHABETS[1]}.items())
+    one = f"CASE {cases} WHEN ascii({c}) < 128 THEN {c} {other} ELSE {c} END"
     if whole:
         one = f"CASE WHEN t RLIKE '^[0-9a-f]+$' THEN {_pick('0123456789abcdef', 'i')} ELSE {one} END"
     return f"array_join(transform(sequence(1, length({text})), i -> transform(array({text}), t -> {one})[0]), '')"
@@ -120,6 +137,11 @@ def _luhn(digits: str) -> str:
     return f"aggregate(transform(sequence(1, length({digits})), i -> IF(i % 2 = 0, 2 * {d} - IF(2 * {d} > 9, 9, 0), {d})), 0, (a, x) -> a + x)"
 
 
+def _grown(alphabet: str) -> str:
+    """What a value gets besides its own length: a letter more every eight attempts."""
+    return f"IF(attempt < 8, '', array_join(transform(sequence(1, greatest(1, attempt div 8)), i -> {_pick(alphabet, 'length(canonical) + i')}), ''))"
+
+
 def _surname(by: tuple[str, str]) -> str:
     script = by[1]
     letters = "greatest(5, least(length(canonical), 9)) + attempt div 4"
@@ -141,12 +163,12 @@ _CARD_FIXED = f"transform(array(substr({_CARD}, 1, length(canonical) - 1)), t ->
 #: A number too short to stay distinct from all others of its type grows no
 #: longer: its attempts run on, and its layout stays.
 _CORE = f"""CASE kind
-  WHEN 'email' THEN concat({_shaped("regexp_extract(canonical, '^(.*)[.][^.]+$', 1)")}, regexp_extract(canonical, '[.][^.]+$', 0))
+  WHEN 'email' THEN concat({_grown(ALPHABETS[1])}, {_shaped("regexp_extract(canonical, '^(.*)[.][^.]+$', 1)")}, regexp_extract(canonical, '[.][^.]+$', 0))
   WHEN 'phone' THEN {_NEW_DIGITS}
   WHEN 'ssn' THEN {_NEW_DIGITS}
   WHEN 'card' THEN IF({_luhn('canonical')} % 10 = 0, {_CARD_FIXED}, {_CARD})
   WHEN 'ip' THEN array_join(transform(sequence(1, 4), i -> cast({_byte('i')} % 254 + 1 AS string)), '.')
-  WHEN 'secret' THEN {_shaped('canonical', 'hex')}
+  WHEN 'secret' THEN concat({_shaped('canonical', 'hex')}, IF(canonical RLIKE '^[0-9a-f]+$', {_grown('0123456789abcdef')}, {_grown(ALPHABETS[1])}))
   ELSE {_person()}
 END"""
 #: The core in the layout and case of the entity it replaces.
@@ -156,7 +178,8 @@ _LAID_OUT = rf"""CASE
     (a, c) -> CASE WHEN c NOT RLIKE '^[0-9]$' THEN named_struct('out', concat(a.out, c), 'k', a.k)
       ELSE named_struct('out', concat(a.out, IF(a.k < 0, c, substr(core, a.k + 1, 1))), 'k', a.k + 1) END,
     a -> a.out)
-  WHEN kind = 'email' THEN array_join(transform(sequence(1, length(raw)), i -> IF(substr(raw, i, 1) = lower(substr(raw, i, 1)), substr(core, i, 1), upper(substr(core, i, 1)))), '')
+  WHEN kind = 'email' THEN transform(array(length(core) - length(raw)), more -> concat(IF(raw = upper(raw), upper(substr(core, 1, more)), substr(core, 1, more)),
+    array_join(transform(sequence(1, length(raw)), i -> IF(substr(raw, i, 1) = lower(substr(raw, i, 1)), substr(core, more + i, 1), upper(substr(core, more + i, 1)))), '')))[0]
   WHEN kind = 'secret' THEN concat(substr(raw, 1, instr(raw, canonical) - 1), core, substr(raw, instr(raw, canonical) + length(canonical)))
   WHEN kind = 'person' THEN concat(regexp_extract(raw, {_sql(f"^(?:{_TITLE})[.]? ")}, 0), IF(substr(raw, instr(raw, ' ') + 1) = upper(substr(raw, instr(raw, ' ') + 1)), upper(core), core))
   ELSE core
@@ -165,7 +188,7 @@ END"""
 
 def _drawn(values: DataFrame, key: str) -> DataFrame:
     """``core`` of each (kind, canonical, attempt); ``canonical`` of a person starts with gender and script."""
-    stream = "array_join(transform(sequence(0, length(canonical) div 32 + 1 + attempt div 100), j -> sha2(concat_ws('/', {key}, kind, canonical, attempt, j), 256)), '')".replace("{key}", _sql(key))
+    stream = "array_join(transform(sequence(0, (length(canonical) + attempt) div 32 + 1), j -> sha2(concat_ws('/', {key}, kind, canonical, attempt, j), 256)), '')".replace("{key}", _sql(key))
     return values.withColumn("stream", F.expr(stream)).withColumn("core", F.expr(_CORE)).drop("stream")
 
 

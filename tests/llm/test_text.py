@@ -287,3 +287,22 @@ def test_language_models_see_distinct_rows(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE", 20)  # a bound for each language, not for all
     classes, logs = language_id.train(docs(spark, copies))
     assert classes == [*sorted(WORDS), "und"] and not np.allclose(logs, many[1])
+
+
+def test_values_outside_the_alphabets(spark):
+    """Blank form fields are no entities; letters of any script are replaced, and tiny layouts grow."""
+    blank = ["password: ________", "token=--------", 'secret = "++++////"']
+    other = ["关注@张三.谢谢", "דוד@דואר.קום", "محمد@بريد.شبكة", "김철수@우편.한국", "ёжик@почта.рф", "josé@café.fr", "ሰላም@ቤት.et", "٣٤@x.de"]
+    short = [f"token=-------{c}" for c in "bcdefghijklmnopqrstuvwxyz"] + [f"q{a}@{b}.de" for a in "0123456789" for b in "абв"]
+    short += [f"{a}@{b}.eu" for a in "0123456789" for b in "0123456789"]  # as many as the layout allows
+    rows = list(enumerate([*blank, *other, *short]))
+    got = {r.doc_id: r for r in surrogates.pseudonymize(docs(spark, rows), KEY, count_col="n").collect()}
+    assert [got[i].text for i in range(3)] == blank and not any(got[i].n for i in range(3))
+    for i, text in rows[3:]:
+        assert got[i].n == 1 and got[i].text != text
+    for i, text in rows[3:11]:
+        assert len(got[i].text) == len(text) and got[i].text.rsplit(".")[-1] == text.rsplit(".")[-1]
+        letters = lambda t: {c for c in t[: t.rindex(".")] if c.isalnum()}
+        assert [c.isalnum() for c in got[i].text] == [c.isalnum() for c in text] and letters(got[i].text) != letters(text)
+    news = {got[i].text for i, _ in rows[3:]}
+    assert len(news) == len(rows) - 3 and not news & {t for _, t in rows}
