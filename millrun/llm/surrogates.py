@@ -12,8 +12,11 @@ and attempt:
   and a card's first digit stay, and a valid check digit stays valid;
 * ip: another address; * secret: the same alphabet (hexadecimal stays so)
   after the same prefix;
-* person (a name after a title): a first name of the title's gender and
-  script, and a pronounceable surname, in the name's case.
+* person (a name after a title; of one word that is the surname): a
+  pronounceable surname by script and surname, and a first name of the title's
+  gender and script by its own key, in the name's case. So "Mr John Smith" and
+  "Mr Smith" get the same surname; first names differ among equal surnames, and
+  are joined to double names where the list is too short for that.
 
 Collision checks: in each round the cores that two values share, or that some
 value of the corpus has itself, are drawn again (all but the least value's)
@@ -94,6 +97,8 @@ def _kind() -> str:
 _DIGITS = r"regexp_replace(raw, '\\D', '')"
 #: Of a secret, what is replaced: after the last of blank, equals, colon and quote.
 _VALUE = r"""CASE WHEN raw LIKE 'AKIA%' THEN substr(raw, 5) ELSE regexp_extract(raw, '[=:]\\s?["\']?([^"\']+)["\']?$', 1) END"""
+_NAME_ONLY = f"regexp_replace(raw, {_sql(f'^(?:{_TITLE})[.]? ')}, '')"
+_HEAD = r"""regexp_extract(raw, '^(?:AKIA|[^=:]*[=:]\\s?["\']?)', 0)"""
 _CANONICAL = rf"""CASE kind
   WHEN 'email' THEN lower(raw)
   WHEN 'phone' THEN CASE WHEN length({_DIGITS}) > 10 AND {_DIGITS} LIKE '1%' THEN substr({_DIGITS}, 2) ELSE {_DIGITS} END
@@ -101,8 +106,10 @@ _CANONICAL = rf"""CASE kind
   WHEN 'ssn' THEN {_DIGITS}
   WHEN 'ip' THEN raw
   WHEN 'secret' THEN {_VALUE}
-  ELSE concat(gender, '/', script, '/', lower(regexp_replace(raw, {_sql(f"^(?:{_TITLE})[.]? ")}, '')))
+  ELSE concat(script, '/', lower(regexp_extract(raw, '[^ ]+$', 0)))
 END"""
+#: The first name of a full name, below gender, script and surname.
+_FIRST = rf"""CASE WHEN kind = 'person' AND {_NAME_ONLY} LIKE '% %' THEN concat(gender, '/', canonical, '/', lower(substring_index({_NAME_ONLY}, ' ', 1))) END"""
 
 
 def _titled(field: int) -> str:
@@ -142,19 +149,23 @@ def _grown(alphabet: str) -> str:
     return f"IF(attempt < 8, '', array_join(transform(sequence(1, greatest(1, attempt div 8)), i -> {_pick(alphabet, 'length(canonical) + i')}), ''))"
 
 
-def _surname(by: tuple[str, str]) -> str:
-    script = by[1]
+def _surname(script: str) -> str:
     letters = "greatest(5, least(length(canonical), 9)) + attempt div 4"
-    body = f"array_join(transform(sequence(1, {letters}), i -> IF(i % 2 = 1, {_pick(CONSONANTS[script], 'i + 1')}, {_pick(VOWELS[script], 'i + 1')})), '')"
-    return f"concat(initcap({body}), '{SURNAME_ENDS.get(by, '')}')"
+    return f"initcap(array_join(transform(sequence(1, {letters}), i -> IF(i % 2 = 1, {_pick(CONSONANTS[script], 'i + 1')}, {_pick(VOWELS[script], 'i + 1')})), ''))"
 
 
 def _person() -> str:
+    """A surname without its ending."""
+    return f"CASE {' '.join(f'WHEN canonical LIKE {_sql(f"{script}/%")} THEN {_surname(script)}' for script in CONSONANTS)} END"
+
+
+def _first() -> str:
+    """A first name (one more every four attempts) below what stands before it."""
     cases = []
     for by, names in FIRST_NAMES.items():
-        first = f"element_at(array({', '.join(_sql(n) for n in names)}), {_byte('1')} % {len(names)} + 1)"
-        cases.append(f"WHEN canonical LIKE '{by[0]}/{by[1]}/%' THEN IF(canonical LIKE '% %', concat({first}, ' ', {_surname(by)}), {_surname(by)})")
-    return f"CASE {' '.join(cases)} END"
+        one = f"element_at(array({', '.join(_sql(n) for n in names)}), {_byte('i')} % {len(names)} + 1)"
+        cases.append(f"WHEN canonical LIKE '{by[0]}/{by[1]}/%' THEN array_join(transform(sequence(1, 1 + attempt div 4), i -> {one}), '-')")
+    return f"concat(regexp_extract(canonical, '^.*/', 0), CASE {' '.join(cases)} END)"
 
 
 _NEW_DIGITS = f"array_join(transform(sequence(1, length(canonical)), i -> {_pick('0123456789', 'i')}), '')"
@@ -169,8 +180,10 @@ _CORE = f"""CASE kind
   WHEN 'card' THEN IF({_luhn('canonical')} % 10 = 0, {_CARD_FIXED}, {_CARD})
   WHEN 'ip' THEN array_join(transform(sequence(1, 4), i -> cast({_byte('i')} % 254 + 1 AS string)), '.')
   WHEN 'secret' THEN concat({_shaped('canonical', 'hex')}, IF(canonical RLIKE '^[0-9a-f]+$', {_grown('0123456789abcdef')}, {_grown(ALPHABETS[1])}))
+  WHEN 'first' THEN {_first()}
   ELSE {_person()}
 END"""
+_ENDING = f"CASE {' '.join(f"WHEN gender = '{g}' AND canonical LIKE '{script}/%' THEN '{end}'" for (g, script), end in SURNAME_ENDS.items())} ELSE '' END"
 #: The core in the layout and case of the entity it replaces.
 _LAID_OUT = rf"""CASE
   WHEN kind IN ('phone', 'card', 'ssn') THEN aggregate(split(raw, ''),
@@ -180,21 +193,24 @@ _LAID_OUT = rf"""CASE
     a -> a.out)
   WHEN kind = 'email' THEN transform(array(length(core) - length(raw)), more -> concat(IF(raw = upper(raw), upper(substr(core, 1, more)), substr(core, 1, more)),
     array_join(transform(sequence(1, length(raw)), i -> IF(substr(raw, i, 1) = lower(substr(raw, i, 1)), substr(core, more + i, 1), upper(substr(core, more + i, 1)))), '')))[0]
-  WHEN kind = 'secret' THEN concat(substr(raw, 1, instr(raw, canonical) - 1), core, substr(raw, instr(raw, canonical) + length(canonical)))
-  WHEN kind = 'person' THEN concat(regexp_extract(raw, {_sql(f"^(?:{_TITLE})[.]? ")}, 0), IF(substr(raw, instr(raw, ' ') + 1) = upper(substr(raw, instr(raw, ' ') + 1)), upper(core), core))
+  WHEN kind = 'secret' THEN concat({_HEAD}, core, substr(raw, length({_HEAD}) + length(canonical) + 1))
+  WHEN kind = 'person' THEN concat(regexp_extract(raw, {_sql(f"^(?:{_TITLE})[.]? ")}, 0), transform(array(concat_ws(' ', regexp_extract(first_core, '[^/]+$', 0), concat(core, {_ENDING}))), t -> IF({_NAME_ONLY} = upper({_NAME_ONLY}), upper(t), t))[0])
   ELSE core
 END"""
 
 
 def _drawn(values: DataFrame, key: str) -> DataFrame:
-    """``core`` of each (kind, canonical, attempt); ``canonical`` of a person starts with gender and script."""
+    """``core`` of each (kind, canonical, attempt); ``canonical`` of a person starts with the script."""
     stream = "array_join(transform(sequence(0, (length(canonical) + attempt) div 32 + 1), j -> sha2(concat_ws('/', {key}, kind, canonical, attempt, j), 256)), '')".replace("{key}", _sql(key))
     return values.withColumn("stream", F.expr(stream)).withColumn("core", F.expr(_CORE)).drop("stream")
 
 
 def _real(values: DataFrame) -> DataFrame:
-    """The real values in the form of a core."""
-    return values.select("kind", F.expr("CASE WHEN kind = 'person' THEN regexp_replace(canonical, '^./[a-z]+/', '') ELSE lower(canonical) END").alias("taken")).distinct()
+    """The real values in the form of a core; a surname that gets an ending counts without it."""
+    ends = "|".join(sorted(set(SURNAME_ENDS.values())))
+    scripts = "|".join(sorted({script for _, script in SURNAME_ENDS}))
+    bare = f"regexp_replace(regexp_replace(canonical, '^(({scripts})/.+?)({ends})$', '$1'), '^[a-z]+/', '')"
+    return values.select("kind", F.expr(f"CASE WHEN kind = 'person' THEN {bare} ELSE lower(canonical) END").alias("taken")).distinct()
 
 
 def resolve(values: DataFrame, key: str, rounds: int = 200) -> DataFrame:
@@ -228,9 +244,13 @@ def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     hit = stored(hit.withColumn("entities", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))), "with-entities")
     each = hit.select("row", F.posexplode("entities").alias("pos", "raw")).withColumn("kind", F.expr(_kind()))
     each = each.withColumns({"gender": F.expr(_titled(0)), "script": F.expr(_titled(1))}).withColumn("canonical", F.expr(_CANONICAL))
-    each = stored(each.select("row", "pos", "raw", "kind", "canonical"), "entities")
-    cores = resolve(each.select("kind", "canonical").distinct(), key)
-    laid = each.join(cores, ["kind", "canonical"]).select("row", "pos", F.expr(_LAID_OUT).alias("new"))
+    each = stored(each.withColumn("first", F.expr(_FIRST)).select("row", "pos", "raw", "kind", "canonical", "gender", "first"), "entities")
+    firsts = each.where("first is not null").select(F.lit("first").alias("kind"), F.col("first").alias("canonical"))
+    cores = stored(resolve(each.select("kind", "canonical").unionByName(firsts).distinct(), key), "cores")
+    first_cores = cores.where("kind = 'first'").select(F.col("canonical").alias("first"), F.col("core").alias("first_core"))
+    plain = each.where("first is null").join(cores, ["kind", "canonical"]).withColumn("first_core", F.lit(None).cast("string"))
+    full = each.where("first is not null").join(cores, ["kind", "canonical"]).join(first_cores, "first")
+    laid = plain.unionByName(full).select("row", "pos", F.expr(_LAID_OUT).alias("new"))
     # the entities of one text: as long as the text
     by_row = laid.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("news"))
     between = F.split("text", ANY, -1)

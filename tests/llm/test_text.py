@@ -306,3 +306,18 @@ def test_values_outside_the_alphabets(spark):
         assert [c.isalnum() for c in got[i].text] == [c.isalnum() for c in text] and letters(got[i].text) != letters(text)
     news = {got[i].text for i, _ in rows[3:]}
     assert len(news) == len(rows) - 3 and not news & {t for _, t in rows}
+
+
+def test_a_secret_that_is_its_label_and_short_names(spark):
+    rows = [(1, "password=password"), (2, "password: password"), (3, 'token = "tokentoken"'), (4, "Mr John Smith met Mr Smith, Mr James Smith and Mrs Smith"), (5, "MR SMITH? Mr SMITH!"), (6, "господин Антон Петров, господин Петров"), (7, "Mr Jones")]
+    rows += [(100 + i, f"Mr {name} Smith") for i, name in enumerate(f"N{a}{b}" for a in "aeiou" for b in "bdfgk")]  # more than the list of first names
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(docs(spark, rows), KEY).collect()}
+    assert re.fullmatch(r"password=[a-z]{8}", got[1]) and got[1] != rows[0][1] and got[2] == got[1].replace("=", ": ")
+    assert re.fullmatch(r'token = "[a-z]{10}"', got[3]) and got[3] != rows[2][1]
+    john, last, short, james, other, mrs = re.fullmatch(r"Mr ([\w-]+) (\w+) met Mr (\w+), Mr ([\w-]+) (\w+) and Mrs (\w+)", got[4]).groups()
+    assert last == short == other == mrs != "Smith" and john != james
+    assert got[5] == f"MR SMITH? Mr {last.upper()}!" and got[7] != f"Mr {last}"
+    first, a, b = re.fullmatch(r"господин (\w+) (\w+), господин (\w+)", got[6]).groups()
+    assert a == b != "Петров" and a.endswith("ов") and first != "Антон"
+    news = {got[i] for i in range(100, 125)}
+    assert len(news) == 25 and all(t.endswith(f" {last}") for t in news) and f"Mr {john} {last}" not in news
