@@ -7,11 +7,12 @@ its own. The others are dealt over partitions by a hash and packed in each by
 best-fit decreasing. Dual-feasible functions of the lengths give a lower
 bound for each partition: where bins equal the bound, the packing is proven
 best and stays. Partitions with a gap give the documents of their unfilled
-bins to a common pool, which is dealt over half as many partitions (so that
-documents meet others) and packed again, until no gap is left or one
-partition was left; a round that wins nothing is dropped. Each round moves (id, piece, length)
-rows only, and what a task holds is bounded by ``PER_PARTITION`` pieces on
-average. A round's result is written to the shared folder.
+bins to a common pool, which is dealt anew (so that documents meet others) and
+packed again, until no gap is left, one partition was left or a round wins
+nothing; that round is dropped. Each round moves (id, piece, length) rows only,
+and is dealt so wide that a partition holds ``PER_PARTITION`` pieces on
+average, however many stay open. A round's result is written to the shared
+folder.
 
 Defined cases: null text is an empty one (a piece of the end id alone);
 repeated rows and repeated ids are packed each; an empty table gives no rows;
@@ -149,21 +150,18 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) ->
         placed = stored(_pack(rest, size, pools, salt), f"round-{salt}")
         starts = F.col("offset") == 0  # one piece of each bin
         stats = placed.agg(
-            F.count_if(starts).alias("bins"), F.count_if("open").alias("n"), F.count_if(starts & F.col("open")).alias("open_bins"), F.count_distinct(F.when(F.col("open"), F.col("pool"))).alias("open_pools")
+            F.count_if(starts).alias("bins"), F.count_if("open").alias("n"), F.count_if(starts & F.col("open")).alias("open_bins")
         ).first()
         # round, pool and bin make the number: up to 2**24 pools of up to 2**34 bins
         numbered = placed.select("item", "length", "open", (F.lit(salt << 58) + F.col("pool") * (1 << 34) + F.col("bin")).alias("sequence_id"), "offset")
-        if opened is not None and stats.bins >= opened_bins:  # this exchange won nothing: a wider one may
-            if pools == 1 or salt + 1 == ROUNDS:
-                places = places.unionByName(opened.select("item", "sequence_id", "offset"))
-                break
-            pools, salt = pools // 2, salt + 1
-            continue
+        if opened is not None and stats.bins >= opened_bins:  # this exchange won nothing
+            places = places.unionByName(opened.select("item", "sequence_id", "offset"))
+            break
         if not stats.n or pools == 1 or salt + 1 == ROUNDS:
             places = places.unionByName(numbered.select("item", "sequence_id", "offset"))
             break
         places = places.unionByName(numbered.where("not open").select("item", "sequence_id", "offset"))
         opened, opened_bins = numbered.where("open"), stats.open_bins
         rest, salt = opened.select("item", "length"), salt + 1
-        pools = min(-(-stats.open_pools // 2), max(1, -(-stats.n // PER_PARTITION)))
+        pools = -(-stats.n // PER_PARTITION)
     return cut.join(places, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

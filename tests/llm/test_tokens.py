@@ -191,3 +191,16 @@ def test_partitions_with_a_gap_exchange(spark, libraries, monkeypatch):
     lengths = np.array([r.length for r in got])
     assert used <= len(packing.best_fit_decreasing(lengths, 64)[2]) + 2
     assert len({r.sequence_id >> 58 for r in got}) > 1  # some were packed in a later round
+
+
+def test_rounds_are_as_wide_as_the_open_pieces_need(spark, libraries, monkeypatch):
+    """Lengths of which two fit a sequence and three rarely do: most pieces stay open."""
+    rnd = random.Random(4)
+    rows = [(i, " a" * rnd.randrange(18, 31)) for i in range(900)]
+    widths, pack = [], packing._pack
+    monkeypatch.setattr(packing, "PER_PARTITION", 50)
+    monkeypatch.setattr(packing, "_pack", lambda items, size, pools, salt: widths.append((items.count(), pools)) or pack(items, size, pools, salt))
+    got = packing.pack(docs(spark, rows), BYTE, size=64, end_id=0).collect()
+    used = _valid(rows, got, libraries[BYTE], 64, 0)
+    assert len(widths) > 1 and all(n <= pools * 50 for n, pools in widths), widths
+    assert used <= len(packing.best_fit_decreasing(np.array([r.length for r in got]), 64)[2]) * 1.03
