@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, hamming, inverted_index, language_id, packing, simhash, substrings, surrogates, token_file, toxicity
+from . import byte_bpe, centroids, decontamination, hamming, hard_negatives, inverted_index, language_id, packing, simhash, substrings, surrogates, token_file, toxicity
 from .common import scratch, table
 
 
@@ -71,6 +71,27 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"), size=2048, end_id=0)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), window=10)
+
+
+def decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same index, asked for windows whose words stand within 20 words of a document in any order."""
+    return decontamination.decontaminate_near(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), window=10, span=20)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centres = centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=8, rounds=10, size=64, scale=1024, salt="3:")
+    return centroids.with_inertia(assigned, centres)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    given = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding").withColumn("label", moved)
+    rows = hard_negatives.integer_rows(given, scale=256)
+    return hard_negatives.mine(rows, rows.where(F.col("id") % 100 == 0), positives=5, negatives=5, low=80, high=100, base=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming": op1_hamming,
     "op2_byte_bpe": op2_byte_bpe,
@@ -83,6 +104,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "language_id_pages": language_id_pages,
     "op9_token_file": op9_token_file,
     "op10_best_fit": op10_best_fit,
+    "op11_decontamination": op11_decontamination,
+    "decontamination_near": decontamination_near,
+    "op12_centroids": op12_centroids,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_hamming": """
@@ -94,4 +119,8 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance FROM ranked WHERE rank <= 10
     """,
+    "op11_decontamination": decontamination.ORACLE_SQL["phrase"],
+    "decontamination_near": decontamination.ORACLE_SQL["near"],
+    "op12_centroids": centroids.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
