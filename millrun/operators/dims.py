@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrun.operators.keyed import bounded_broadcast, last_per_key, prev_value
+from millrun.operators.keyed import bounded_broadcast, last_per_key, prev_value, prev_value_by_density
 from millrun.sources.dimstore import BUCKETS, DimStore, bucket_of
 
 DIM_MAX_ROWS = 1_000_000
@@ -195,40 +195,32 @@ def enrich_asof(
     dim_ts: str,
     dim_seq: str,
     columns: Sequence[str],
-    bucket_ms: int = 24 * 3600 * 1000,
+    bucket_ms: int | None = None,
 ) -> DataFrame:
     """Dim value valid at event time: the dim version with the latest
     (dim_ts, dim_seq) not after the event's ``ts`` (versions at the same
-    instant as the event count); NULL keys match nothing. Exact; the per-key
-    work is split in
-    ``bucket_ms`` time buckets, and the version carried into a bucket
-    comes from a per-(key, bucket) table."""
-    ev = df.select(
-        "*",
-        F.col(key).alias("_k"),
-        F.col(ts).alias("_t"),
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("long").alias("_s"),
-        F.lit(None).alias("_v"),
-    )
-    ver_struct = F.struct(F.col(dim_seq).alias("_dim_seq"), *[F.col(c) for c in columns])
+    instant as the event count); NULL keys match nothing. Exact. Events and
+    versions are one input, evaluated once; keys with very many rows are cut
+    by density (``prev_value_by_density``). ``bucket_ms`` instead cuts every
+    key in time buckets of a fixed width."""
+    version = F.struct(F.col(dim_seq).alias("_dim_seq"), *[F.col(c) for c in columns])
     ver = dim.filter(F.col(dim_key).isNotNull()).select(
         F.col(dim_key).alias("_k"),
-        F.col(dim_ts).alias("_t"),
+        F.col(dim_ts).cast("timestamp").alias("_t"),
         F.lit(0).alias("_kind"),
-        F.col(dim_seq).cast("long").alias("_s"),
-        ver_struct.alias("_v"),
-    )
-    ev = ev.withColumn("_v", F.lit(None).cast(ver.schema["_v"].dataType))
-    both = ev.unionByName(ver, allowMissingColumns=True)
-    bucket = F.floor(F.unix_millis(F.col("_t").cast("timestamp")) / F.lit(bucket_ms))
-    carried = prev_value(both, ["_k"], ["_t", "_kind", "_s"], "_v", "_asof", bucket)
-    out = carried.filter(F.col("_kind") == 1)
-    return out.select(
-        *df.columns,
-        F.col("_asof._dim_seq").alias(dim_seq),
-        *[F.col(f"_asof.{c}").alias(c) for c in columns],
+        F.col(dim_seq).alias("_s"),
+        version.alias("_v"),
     )
+    nothing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in ver.schema}
+    row = F.struct(*df.columns)
+    ev = df.select(F.col(key).alias("_k"), F.col(ts).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"), nothing["_s"], nothing["_v"], row.alias("_e"))
+    both = ev.unionByName(ver.withColumn("_e", F.lit(None).cast(ev.schema["_e"].dataType)))
+    order = ["_t", "_kind", "_s"]
+    if bucket_ms is None:
+        carried = prev_value_by_density(both, ["_k"], order, "_v", "_asof")
+    else:
+        carried = prev_value(both, ["_k"], order, "_v", "_asof", F.floor(F.unix_millis("_t") / F.lit(bucket_ms)))
+    return carried.filter(F.col("_kind") == 1).select("_e.*", F.col("_asof._dim_seq").alias(dim_seq), *[F.col(f"_asof.{c}").alias(c) for c in columns])
 
 
 def point_lookup(dim: DataFrame, pk: str, value: str, order: str | None = None) -> DataFrame:

@@ -12,10 +12,13 @@ a large share of all rows.
   lookup when only some rows carry a value). The window runs per
   (key, bucket) so a hot key is split into many tasks; the value that
   crosses a bucket border comes from a small per-(key, bucket) table.
+* ``prev_value_by_density`` — the same with the input evaluated once, and
+  buckets for those keys only that have too many rows for one window.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -150,3 +153,74 @@ def prev_value(
     return joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry"))).drop(
         "_local", "_carry", b
     )
+
+
+# A key with more rows is cut into buckets; one window holds no more of a key.
+KEY_ROWS = 1 << 20
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back."""
+    from millrun.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(df.sparkSession)}/written-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fine_bucket(df: DataFrame, order: str) -> Column:
+    """A small stretch of ``order``, by its type: one second of a time or of
+    the queue's order of arrival (text that begins with 20 digits of
+    microseconds), 1,024 of a number."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.StringType):
+        return F.substring(order, 1, 14)
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(order) / F.lit(1_024))
+    return F.floor(F.unix_micros(F.col(order).cast("timestamp")) / F.lit(1_000_000))
+
+
+def prev_value_by_density(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    key_rows: int = KEY_ROWS,
+    max_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """``prev_value`` whose buckets follow the data: a key of at most
+    ``key_rows`` rows is one window; only a key above is cut, into stretches
+    of the first order column as short as ``fine_bucket`` makes them, which
+    the shuffle deals over all tasks however close in time its rows lie.
+
+    ``df`` is evaluated once: it is written, and the count of rows per key,
+    the windows and the values carried into a stretch read what is written,
+    each its own columns. The keys above ``key_rows`` are at most
+    rows / ``key_rows``; no others have carried values. The join with those
+    has the windows' partitioning, so the rows are shuffled once. Rows with
+    a NULL key have no previous value, whatever their number."""
+    keys, order = list(keys), list(order)
+    once = written(df, "rows")
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    many = once.filter(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > key_rows)
+    hot = bounded_broadcast(many.select(*keys, F.lit(True).alias("_hot")), max_rows, materialize=True)
+    fine = fine_bucket(once, order[0])
+    cut = F.when(F.col("_hot") | ~keyed, fine)
+    staged = once.join(hot, keys, "left").withColumn("_bucket", F.coalesce(cut, F.lit(0).cast(once.select(fine.alias("b")).schema["b"].dataType))).drop("_hot")
+    before = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = staged.withColumn("_local", F.last(value, ignorenulls=True).over(before))
+
+    at = F.struct(*[F.col(c) for c in order])
+    cells = (
+        once.join(hot, keys, "left_semi")
+        .withColumn("_bucket", fine)
+        .groupBy(*keys, "_bucket")
+        .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), at)).alias("_last"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = cells.select(*keys, "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    joined = local.join(carry, [*keys, "_bucket"], "left")
+    return joined.select(*df.columns, F.when(keyed, F.coalesce("_local", "_carry")).alias(out))

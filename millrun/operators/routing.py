@@ -52,6 +52,11 @@ def with_route(df: DataFrame, start: str = "start", log_type: str = "log_type")
     return staged.withColumn("route", route_of(F.col("start_type"), F.col(log_type)))
 
 
+def power_of(route: str) -> Column:
+    """What a record says of its machine's power: ``start``, ``shutdown``, or NULL."""
+    return F.when(F.col(route).isin(*sorted(set(START_ROUTES.values()))), "start").when(F.col(route) == "shutdown", "shutdown")
+
+
 def route_counts(routed: DataFrame) -> DataFrame:
     """Rows per side output plus the main output (all rows), in one pass:
     a rollup gives each route's count and the grand total together."""

@@ -126,7 +126,7 @@ def uptime_sessions(
     the gap. Beats without a key are one group. Streams use
     ``uptime_sessions_stream``.
     """
-    gap_us = _interval_seconds(gap) * 1_000_000
+    gap_us = interval_micros(gap)
 
     def micros(c):
         return F.unix_micros(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp"))
@@ -166,10 +166,92 @@ def uptime_sessions_stream(beats: DataFrame, key: str, ts: str, gap: str = "6 mi
     return s.select(key, "first_beat", "last_beat", "n_beats")
 
 
-def _interval_seconds(text: str) -> int:
+def power_on_sessions(
+    logs: DataFrame, key: str, ts: str, seq: str, kind: str, gap: str = "6 minutes", until: str | None = None
+) -> DataFrame:
+    """Power-on sessions of a machine from all its records.
+
+    A record opens a session if it is the machine's first, a ``start`` record,
+    the next after a ``shutdown``, or more than ``gap`` after the one before;
+    every other record goes on with it. Per session: first and last record,
+    records, up-time in microseconds, what opened it (``start`` or ``record``)
+    and what closed it: ``shutdown``, a further ``start``, a ``gap``, or nothing
+    yet (``open``; with ``until``, the time up to which records are known, a
+    silence of ``gap`` up to then closes it). Records of one instant follow
+    ``seq``. Rows without a key are one group.
+
+    Time is cut into buckets as wide as the gap, so that no silence lies within
+    a bucket. Its sessions are numbered there by one window per (key, bucket):
+    those with a border on both sides inside the bucket are done, and only its
+    first and last piece meet their neighbours, in a window over at most two
+    rows per bucket. A busy machine is spread over its buckets.
+    """
+    gap_us = interval_micros(gap)
+    known = F.lit(None).cast("long") if until is None else F.unix_micros(F.lit(until).cast("timestamp"))
+    staged = logs.select(
+        F.col(key).alias("_key"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"),
+        F.col(seq).alias("_seq"),
+        F.when(F.col(kind) == "start", 1).when(F.col(kind) == "shutdown", 2).otherwise(0).alias("_kind"),
+    ).withColumn("_b", F.floor(F.col("_us") / F.lit(gap_us)))
+    order = ["_us", "_seq"]
+    inside = Window.partitionBy("_key", "_b").orderBy(*order)
+    prev = F.lag("_kind").over(inside)
+    cut = F.when(prev.isNotNull() & ((F.col("_kind") == 1) | (prev == 2)), 1).otherwise(0)
+    numbered = staged.withColumn("_cut", cut).withColumn(
+        "_piece", F.sum("_cut").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    place = F.struct(*order)
+    pieces = numbered.groupBy("_key", "_b", "_piece").agg(
+        F.min("_us").alias("_first"),
+        F.max("_us").alias("_last"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min_by("_kind", place).alias("_opened"),
+        F.max_by("_kind", place).alias("_closed"),
+    )
+    pieces = pieces.withColumn("_top", F.max("_piece").over(Window.partitionBy("_key", "_b")))
+    by_shutdown = F.when(F.col("_closed") == 2, "shutdown")
+    done = pieces.filter((F.col("_piece") > 0) & (F.col("_piece") < F.col("_top"))).select(
+        "_key", "_first", "_last", "_n", "_opened", F.coalesce(by_shutdown, F.lit("start")).alias("_by")
+    )
+
+    rim = Window.partitionBy("_key").orderBy("_b", "_piece")
+    before, since = F.lag("_closed").over(rim), F.col("_first") - F.lag("_last").over(rim)
+    after = F.lead("_first").over(rim) - F.col("_last")
+    opens = (F.col("_piece") > 0) | before.isNull() | (F.col("_opened") == 1) | (before == 2) | (since > gap_us)
+    by = (
+        F.when(F.col("_closed") == 2, "shutdown")
+        .when(F.col("_piece") < F.col("_top"), "start")
+        .when(after.isNull(), F.when(F.col("_last") + gap_us <= known, "gap").otherwise("open"))
+        .when(after > gap_us, "gap")
+        .otherwise("start")
+    )
+    rims = pieces.filter((F.col("_piece") == 0) | (F.col("_piece") == F.col("_top")))
+    marked = rims.withColumn("_by", by).withColumn("_opens", F.when(opens, 1).otherwise(0))
+    joined = marked.withColumn("_sid", F.sum("_opens").over(rim.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = joined.groupBy("_key", "_sid").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.sum("_n").alias("_n"),
+        F.min_by("_opened", F.struct("_b", "_piece")).alias("_opened"),
+        F.max_by("_by", F.struct("_b", "_piece")).alias("_by"),
+    )
+    return whole.drop("_sid").unionByName(done).select(
+        F.col("_key").alias(key),
+        F.timestamp_micros("_first").alias("first_record"),
+        F.timestamp_micros("_last").alias("last_record"),
+        F.col("_n").cast("bigint").alias("n_records"),
+        (F.col("_last") - F.col("_first")).alias("uptime_us"),
+        F.when(F.col("_opened") == 1, "start").otherwise("record").alias("opened_by"),
+        F.col("_by").alias("closed_by"),
+    )
+
+
+def interval_micros(text: str) -> int:
+    """Microseconds of a fixed interval such as ``6 minutes``."""
     n, unit = text.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
+    seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+    return int(n) * seconds * 1_000_000
 
 
 def size_stats_enriched(

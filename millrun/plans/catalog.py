@@ -1,8 +1,10 @@
 """Query catalogue: each entry runs one warehouse operator (or job slice)
 over the whole supplied tables through the stand-ins of ``standins.py``.
 
-Every function takes ``(spark, sf_dir)`` and returns a lazy DataFrame
-whose column names match the DuckDB oracle in ``oracle.py``.
+Every function takes ``(spark, sf_dir)`` and returns a DataFrame whose
+column names match the DuckDB oracle in ``oracle.py``. Those that measure a
+side before they broadcast it, cut keys by density or run a stream do that
+part of their work while the frame is built.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from millrun.operators import dims, inspect, parse, parts, routing, stats
 from millrun.plans import standins as si
 from millrun.plans.jobs import e1_equipment_logs
 from millrun.session import checkpoint_dir
-from millrun.sources.tables import read_table
+from millrun.sources.tables import read_table, stream_table
+from millrun.streaming.ordered import enrich_asof_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +181,62 @@ def q_log_texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_log_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """Records per side output: starts, shutdowns, heartbeats and the three manufacture streams."""
+    logs = parse.good(parse.parse_equipment_logs(si.equipment_log_text(spark, sf, log_types=True)))
+    return routing.route_counts(routing.with_route(logs.select("start", "log_type")))
+
+
+def power_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record of a machine, with what it says of its power: start, shutdown or nothing."""
+    logs = parse.good(parse.parse_equipment_logs(si.equipment_log_text(spark, sf, log_types=True)))
+    routed = routing.with_route(logs.select("seq", "start", "log_type", "log_ts", F.col("common.equipment_id").alias("equipment_id")))
+    return routed.select("equipment_id", F.col("log_ts").alias("ts"), "seq", routing.power_of("route").alias("power"))
+
+
+def q_power_on(spark: SparkSession, sf: str) -> DataFrame:
+    """Power-on sessions from start, shutdown and other records; a silence of 12 hours ends one."""
+    out = stats.power_on_sessions(power_logs(spark, sf), "equipment_id", "ts", "seq", "power", "12 hours")
+    return out.select("equipment_id", F.unix_micros("first_record").alias("first_us"), "n_records", "uptime_us", "opened_by", "closed_by")
+
+
+def q_completion_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Progress of every large part (order) by day from its completed steps (lines), seven planned."""
+    d = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_shipdate"]).select(
+        F.col("l_orderkey").alias("part_id"), F.to_date("l_shipdate").alias("day"), F.col("l_linenumber").alias("step")
+    )
+    out = parts.completion_progress(parts.step_masks(d, "part_id", "day", "step", 7), "part_id", "day", 7)
+    return out.select("part_id", "day", "n_records", "n_new", "n_done", F.concat_ws(",", "missing").alias("missing"), "progress")
+
+
+def q_period_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Different parts per day, week and month from stored daily sketches, beside the exact counts."""
+    logs = _manufacture_logs(spark, sf).select("part_id", "mdate")
+    path = f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    parts.daily_part_sketches(logs).write.parquet(path)
+    return parts.checked_period_parts(logs, spark.read.parquet(path))
+
+
+def q_enrich_asof_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """``q_enrich_asof`` as a stream: both feeds are read as streams and run until all is given out."""
+    events = stream_table(spark, sf, "events")
+    routed = routing.route_changes(si.change_records_of(events), si.rules(spark), len(si.RULE_ROWS))
+    is_dim = F.col("route") == "dim"
+    changes = routed.select(
+        # a change of no dim is a tick: its time moves the feed's watermark
+        F.when(is_dim, F.col("data").getItem("id").cast("bigint")).alias("id"),
+        F.col("event_ts").cast("timestamp").alias("vts"),
+        F.col("seq").alias("dim_seq"),
+        F.col("data").getItem("k").alias("k"),
+    )
+    facts = events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = enrich_asof_stream(facts, changes, "user_id", "ts", "id", "vts", "dim_seq", ["k"], delay="0 seconds")
+    root = f"{checkpoint_dir(spark)}/asof-stream-{uuid.uuid4().hex}"
+    run = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state")
+    run.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out").select("event_id", "user_id", "dim_seq", "k")
+
+
 def q_recheck_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The re-check feed itself: every event of a (user, type) but the first."""
     e = read_table(spark, sf, "events", ["event_id", "user_id", "event_type", "ts"])
@@ -337,4 +396,9 @@ QUERIES: dict[str, Query] = {
     "q_dim_merge": q_dim_merge,
     "q_log_texts": q_log_texts,
     "q_recheck_rows": q_recheck_rows,
+    "q_log_routes": q_log_routes,
+    "q_power_on": q_power_on,
+    "q_completion_progress": q_completion_progress,
+    "q_period_parts": q_period_parts,
+    "q_enrich_asof_stream": q_enrich_asof_stream,
 }

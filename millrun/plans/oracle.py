@@ -109,6 +109,16 @@ FROM events i JOIN events d
 WHERE i.event_type = 'click' AND d.event_type = 'purchase'"""
 
 
+_ASOF = _ROUTED + """,
+v AS (SELECT user_id, ts AS vts, event_id AS dim_seq, k FROM routed WHERE route = 'dim'),
+p AS (SELECT event_id, user_id, ts FROM events),
+j AS (
+  SELECT p.event_id, p.user_id, v.dim_seq, v.k,
+         row_number() OVER (PARTITION BY p.event_id ORDER BY v.vts DESC, v.dim_seq DESC) AS rn
+  FROM p LEFT JOIN v ON p.user_id = v.user_id AND v.vts <= p.ts)
+SELECT event_id, user_id, dim_seq, k FROM j WHERE rn = 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "q_parse_filter": f"""
 WITH {_CDC.strip()}
@@ -179,14 +189,8 @@ FROM lineitem l
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
-    "q_enrich_asof": _ROUTED + """,
-v AS (SELECT user_id, ts AS vts, event_id AS dim_seq, k FROM routed WHERE route = 'dim'),
-p AS (SELECT event_id, user_id, ts FROM events),
-j AS (
-  SELECT p.event_id, p.user_id, v.dim_seq, v.k,
-         row_number() OVER (PARTITION BY p.event_id ORDER BY v.vts DESC, v.dim_seq DESC) AS rn
-  FROM p LEFT JOIN v ON p.user_id = v.user_id AND v.vts <= p.ts)
-SELECT event_id, user_id, dim_seq, k FROM j WHERE rn = 1""",
+    "q_enrich_asof": _ASOF,
+    "q_enrich_asof_stream": _ASOF,
     "q_working_days": """
 SELECT event_id, user_id,
        CAST(date_diff('day', min(CAST(ts AS DATE)) OVER (PARTITION BY user_id), CAST(ts AS DATE)) AS BIGINT)
@@ -214,6 +218,60 @@ SELECT part_id, log_date, CAST(count(*) AS BIGINT) AS n_records,
        CAST(sum(CASE WHEN is_new = '1' THEN 1 ELSE 0 END) AS BIGINT) AS n_new,
        CAST(sum(CASE WHEN is_new = '0' THEN 1 ELSE 0 END) AS BIGINT) AS n_rework
 FROM flagged GROUP BY part_id, log_date""",
+    "q_log_routes": """
+WITH r AS (
+  SELECT CASE event_type WHEN 'signup' THEN 'machine_start' WHEN 'click' THEN 'weld_start' WHEN 'error' THEN 'shutdown'
+              WHEN 'view' THEN 'heartbeat'
+              WHEN 'purchase' THEN CASE event_id % 3 WHEN 0 THEN 'manufacture' WHEN 1 THEN 'manufacture_detail'
+                                                     ELSE 'large_part_progress' END END AS route
+  FROM events)
+SELECT route, CAST(count(*) AS BIGINT) AS n FROM r WHERE route IS NOT NULL GROUP BY route
+UNION ALL
+SELECT 'main' AS route, CAST(count(*) AS BIGINT) AS n FROM r""",
+    "q_power_on": """
+WITH r AS (
+  SELECT CAST(user_id AS VARCHAR) AS equipment_id, epoch_us(ts) AS us, event_id,
+         CASE event_type WHEN 'signup' THEN 'start' WHEN 'click' THEN 'start' WHEN 'error' THEN 'shutdown' END AS power
+  FROM events),
+p AS (
+  SELECT *, lag(us) OVER w AS prev_us, lag(power) OVER w AS prev_power, lead(us) OVER w AS next_us
+  FROM r WINDOW w AS (PARTITION BY equipment_id ORDER BY us, event_id)),
+s AS (
+  SELECT *, sum(CASE WHEN prev_us IS NULL OR power = 'start' OR prev_power = 'shutdown'
+                       OR us - prev_us > 43200000000 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY equipment_id ORDER BY us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM p),
+e AS (
+  SELECT *, row_number() OVER (PARTITION BY equipment_id, sid ORDER BY us, event_id) AS nth,
+         row_number() OVER (PARTITION BY equipment_id, sid ORDER BY us DESC, event_id DESC) AS from_end
+  FROM s)
+SELECT equipment_id, min(us) AS first_us, CAST(count(*) AS BIGINT) AS n_records, max(us) - min(us) AS uptime_us,
+       max(CASE WHEN nth = 1 THEN CASE WHEN power = 'start' THEN 'start' ELSE 'record' END END) AS opened_by,
+       max(CASE WHEN from_end = 1 THEN CASE WHEN power = 'shutdown' THEN 'shutdown' WHEN next_us IS NULL THEN 'open'
+                                            WHEN next_us - us > 43200000000 THEN 'gap' ELSE 'start' END END) AS closed_by
+FROM e GROUP BY equipment_id, sid""",
+    "q_completion_progress": """
+WITH d AS (SELECT l_orderkey AS part_id, CAST(l_shipdate AS DATE) AS day, l_linenumber AS step FROM lineitem),
+days AS (SELECT part_id, day, CAST(count(*) AS BIGINT) AS n_records FROM d GROUP BY 1, 2),
+f AS (SELECT part_id, step, min(day) AS day FROM d WHERE step BETWEEN 1 AND 7 GROUP BY 1, 2),
+p AS (
+  SELECT days.part_id, days.day, n_records, list(f.step) FILTER (WHERE f.step IS NOT NULL) AS done,
+         CAST(count(*) FILTER (WHERE f.day = days.day) AS BIGINT) AS n_new
+  FROM days LEFT JOIN f ON f.part_id = days.part_id AND f.day <= days.day GROUP BY days.part_id, days.day, n_records)
+SELECT part_id, day, n_records, n_new, CAST(coalesce(len(done), 0) AS BIGINT) AS n_done,
+       array_to_string(list_filter(range(1, 8), lambda s: NOT list_contains(coalesce(done, []), s)), ',') AS missing,
+       coalesce(len(done), 0) / 7 AS progress
+FROM p""",
+    # a sketch of so few parts as here holds each of them, so that its estimate is the exact count
+    "q_period_parts": """
+WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day FROM events),
+l AS (
+  SELECT 'day' AS period, day AS start, user_id FROM e
+  UNION ALL SELECT 'week', CAST(date_trunc('week', day) AS DATE), user_id FROM e
+  UNION ALL SELECT 'month', CAST(date_trunc('month', day) AS DATE), user_id FROM e)
+SELECT period, start, CAST(count(*) AS BIGINT) AS n_records, CAST(count(DISTINCT user_id) AS BIGINT) AS n_parts,
+       CAST(count(DISTINCT user_id) AS BIGINT) AS n_estimate, true AS within_bound
+FROM l GROUP BY period, start""",
     "q_uptime_sessions": """
 WITH b AS (
   SELECT user_id AS equipment_id, ts,

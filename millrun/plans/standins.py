@@ -8,6 +8,8 @@ The mapping (fixed, mirrored in ``oracle.py``):
 * part := user_id; seq := event_id; raw is_new := "0" for ``error``
   events, else "1"; start type := MachineTool_Start for ``signup``,
   WeldRobotStart for ``click``, an empty start object for ``view``.
+* log type (where written): shutdown := ``error``, heartbeat := ``view``,
+  the three manufacture streams := ``purchase`` by event_id mod 3.
 * change record: table := event_type; operation := delete / update /
   insert for event_id mod 4 = 3 / 2 / other; data := ``props`` JSON plus
   ``id`` := user_id.
@@ -58,10 +60,13 @@ def operation(event_id: str = "event_id"):
     return F.when(m == 3, "delete").when(m == 2, "update").otherwise("insert")
 
 
-def equipment_log_text(spark: SparkSession, sf: str, members: bool = False) -> DataFrame:
+def equipment_log_text(spark: SparkSession, sf: str, members: bool = False, log_types: bool = False) -> DataFrame:
     """ODS equipment-log text (``value``) with its arrival ``seq``; with
     ``members`` it also has some that no job knows: a number in ``common``
-    and an object of its own."""
+    and an object of its own. With ``log_types`` records name their
+    equipment and the log stream they belong to: shutdown := ``error``,
+    heartbeat := ``view``, and ``purchase`` by event_id mod 3 a manufacture
+    record, a manufacture detail or a large part's progress."""
     e = _events(spark, sf, ["event_id", "ts", "user_id", "event_type", *(["value", "props"] if members else [])])
     start = (
         F.when(F.col("event_type") == "signup", F.create_map(F.lit("type"), F.lit("MachineTool_Start")))
@@ -73,11 +78,18 @@ def equipment_log_text(spark: SparkSession, sf: str, members: bool = False) -> D
         F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.lit(1)).alias("is_new"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         *([F.floor("value").alias("reading")] if members else []),
+        *([F.col("user_id").cast("string").alias("equipment_id")] if log_types else []),
+    )
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    log_type = (
+        F.when(F.col("event_type") == "error", "shutdown")
+        .when(F.col("event_type") == "view", "heartbeat")
+        .when(F.col("event_type") == "purchase", F.when(third == 0, "manufacture").when(third == 1, "manufacture_detail").otherwise("large_part_progress"))
     )
     extra = [json_map("props").alias("extra")] if members else []
     return e.select(
         F.col("event_id").alias("seq"),
-        F.to_json(F.struct(common.alias("common"), start.alias("start"), *extra)).alias("value"),
+        F.to_json(F.struct(common.alias("common"), start.alias("start"), *([log_type.alias("log_type")] if log_types else []), *extra)).alias("value"),
     )
 
 
@@ -95,6 +107,11 @@ def change_records(spark: SparkSession, sf: str, event_types: list[str] | None =
     e = _events(spark, sf, ["event_id", "ts", "user_id", "event_type", "props"])
     if event_types:
         e = e.filter(F.col("event_type").isin(*event_types))
+    return change_records_of(e)
+
+
+def change_records_of(e: DataFrame) -> DataFrame:
+    """The change records of ``events`` rows, a batch or a stream."""
     data = F.map_concat(
         F.create_map(F.lit("id"), F.col("user_id").cast("string")), json_map("props")
     )

@@ -77,7 +77,7 @@ def start(args, spark: SparkSession) -> list:
     if job == "e5":
         parsed = [parse.parse_records(_text(spark, args, t), INSPECTION_EVENT, "mid") for t in topics[:3]]
         feeds = [parse.good(p).select("mid", "isNew", "isPass", "ts") for p in parsed]
-        grain = jobs.e5_grain_stream(*feeds, window=args.window)
+        grain = jobs.e5_grain_stream(*feeds, window=args.window, per_feed=args.watermark == "feed")
         # the production dim is re-read for every micro-batch (fresh lookups)
         main_query = jobs.start_e5_fresh_dims(
             grain, lambda: load_side(spark, args.production, PRODUCTION_DIM), f"{out}/dws_size_stats",
@@ -99,6 +99,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--equipment", help="E4: equipment dim (id, start_date): Parquet path or jdbc:<url>#<table>")
     p.add_argument("--production", help="E5: production dim (id, eId, Fid, mType, lid): Parquet path or jdbc:<url>#<table>")
     p.add_argument("--window", default="10 seconds", help="E5: tumbling window length")
+    p.add_argument("--watermark", choices=["union", "feed"], default="union",
+                   help="E5: one watermark for all feeds, or the least of one per feed (none may fall silent)")
     p.add_argument("--max-offsets", type=int, default=5_000_000)
     p.add_argument("--max-files", type=int, default=io.MAX_FILES)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")

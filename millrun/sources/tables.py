@@ -38,6 +38,12 @@ TABLE_SCHEMAS = {
 }
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with a declared schema as a stream of its files. The path is a
+    pattern (of one name): a file source takes a single file by pattern only."""
+    return spark.readStream.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
+
+
 def read_table(
     spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None
 ) -> DataFrame:

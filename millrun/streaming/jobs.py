@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from millrun.functions.jsonfn import with_member
 from millrun.functions.timefn import date_text, epoch_ms_to_ts
-from millrun.operators import dims, inspect, parse, routing, stats
+from millrun.operators import dims, inspect, parse, parts, routing, stats
 from millrun.plans.jobs import e2_apply_dims, e2_change_records
 from millrun.streaming import io
+from millrun.streaming.ordered import enrich_asof_stream
 from millrun.streaming.stateful import new_part_flag_stream, unique_part_stream
 
 # Trigger intervals of the jobs' checkpoint settings (E1 5 s, E2/E4 60 s,
@@ -210,6 +211,21 @@ def start_e4_fresh_dims(
     return _start(q, wide.sparkSession, name, trigger or {"processingTime": TRIGGERS["e4"]}, checkpoint)
 
 
+def e4_equipment_asof_stream(
+    detail: DataFrame, equipment_changes: DataFrame, delay: str = "2 seconds", dim_delay: str | None = None, salts: int = 1
+) -> DataFrame:
+    """Parsed details (orderId, equipmentId, ts ms, ...) with the equipment's
+    start date as it stood at the detail's time, and the working days since.
+    ``equipment_changes`` is the dim's change stream (id, start_date, ts ms,
+    seq); a record without an id is a tick."""
+    facts = detail.withColumn("detail_time", epoch_ms_to_ts("ts"))
+    versions = equipment_changes.select(
+        "id", F.col("start_date").cast("date").alias("equipment_start"), epoch_ms_to_ts("ts").alias("dim_time"), F.col("seq").alias("dim_seq")
+    )
+    out = enrich_asof_stream(facts, versions, "equipmentId", "detail_time", "id", "dim_time", "dim_seq", ["equipment_start"], delay, dim_delay, salts)
+    return out.withColumn("working_days", F.datediff(F.to_date("detail_time"), F.col("equipment_start")).cast("bigint"))
+
+
 # -------------------------------------------------------------------- E5
 
 
@@ -220,36 +236,41 @@ def e5_stream(
     production: DataFrame,
     window: str = "10 seconds",
     delay: str = "3 seconds",
+    per_feed: bool = False,
 ) -> DataFrame:
-    """Three feeds (mid, isNew, isPass, ts ms) -> union -> production dim
-    (stream-static, broadcast when small) -> watermark -> window sums."""
-    keep = [F.col("mid"), F.col("isNew").alias("isnew"), epoch_ms_to_ts("ts").alias("ts")]
-    feeds = stats.union_feeds(
-        stats.normalise(detail, "detail", keep),
-        stats.normalise(per_size, "per_size", keep),
-        stats.normalise(recheck, "recheck", keep),
-    ).withWatermark("ts", delay)
+    """Three feeds (mid, isNew, isPass, ts ms) -> watermarks -> union ->
+    production dim (stream-static, broadcast when small) -> window sums."""
+    feeds = _e5_feeds(detail, per_size, recheck, delay, per_feed)
     lookup = [(production, "mid", "id", {"Fid": "fid", "lid": "lid", "mType": "mtype", "eId": "eid"})]
     return stats.size_stats_enriched(feeds, lookup, "ts", window, grain=("mid", "isnew"), preaggregate=False)
 
 
+def _e5_feeds(detail: DataFrame, per_size: DataFrame, recheck: DataFrame, delay: str, per_feed: bool) -> DataFrame:
+    """The union of the three feeds, watermarked. ``per_feed``: each feed has a
+    watermark of its own and the least of them holds
+    (``spark.sql.streaming.multipleWatermarkPolicy``), so a feed that lags
+    loses no rows to a faster one; one that may fall silent holds every window
+    open until it speaks again. Else one watermark follows the fastest feed."""
+    keep = [F.col("mid"), F.col("isNew").alias("isnew"), epoch_ms_to_ts("ts").alias("ts")]
+    feeds = [stats.normalise(f, name, keep) for f, name in ((detail, "detail"), (per_size, "per_size"), (recheck, "recheck"))]
+    if per_feed:
+        return stats.union_feeds(*[f.withWatermark("ts", delay) for f in feeds])
+    return stats.union_feeds(*feeds).withWatermark("ts", delay)
+
+
 def e5_grain_stream(
     detail: DataFrame,
     per_size: DataFrame,
     recheck: DataFrame,
     window: str = "10 seconds",
     delay: str = "3 seconds",
+    per_feed: bool = False,
 ) -> DataFrame:
-    """Three feeds -> union -> watermark -> window sums per (production id,
+    """Three feeds -> watermarks -> union -> window sums per (production id,
     new flag), append mode. Every row of a window leaves in the same
     micro-batch (the one whose watermark passes the window's end), so a
     per-batch roll-up to the dim keys is complete (``start_e5_fresh_dims``)."""
-    keep = [F.col("mid"), F.col("isNew").alias("isnew"), epoch_ms_to_ts("ts").alias("ts")]
-    feeds = stats.union_feeds(
-        stats.normalise(detail, "detail", keep),
-        stats.normalise(per_size, "per_size", keep),
-        stats.normalise(recheck, "recheck", keep),
-    ).withWatermark("ts", delay)
+    feeds = _e5_feeds(detail, per_size, recheck, delay, per_feed)
     sums = feeds.groupBy(F.window("ts", window).alias("_w"), "mid", "isnew").agg(
         *[F.sum(m).cast("bigint").alias(m) for m in stats.MEASURES]
     )
@@ -285,6 +306,18 @@ def start_e5(stream: DataFrame, out_path: str, name: str = "e5_size_stats", trig
     return _start(w, stream.sparkSession, name, trigger or {"processingTime": TRIGGERS["e5"]}, checkpoint)
 
 
+def start_part_sketches(parsed: DataFrame, path: str, part: str = "part_id", day: str = "mdate", name: str = "part_sketches", trigger=None, checkpoint=None):
+    """Daily sketches of the parts of each micro-batch, as ``<path>/batch=<id>``
+    (a replay replaces its own). They are never read back to be changed:
+    ``parts.merge_sketches`` of the folder is the count so far."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parts.daily_part_sketches(batch, part, day).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    q = parsed.writeStream.foreachBatch(run)
+    return _start(q, parsed.sparkSession, name, trigger or {"processingTime": TRIGGERS["e3"]}, checkpoint)
+
+
 def start_dead_letters(parsed: list[DataFrame], out_root: str, name: str, trigger=None, checkpoint=None,
                        bootstrap: str | None = None):
     """What of ``parsed`` could not be read, with its reason (E4 and E5)."""
