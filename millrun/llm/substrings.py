@@ -22,7 +22,8 @@ exactly one.
    its segments are cut into single windows and grouped by content as in 3.
 6. Covered stretches go back to their documents, one join on the document.
 
-A place is (doc_id, hash of the text, first word). Defined cases: null text
+A place is (doc_id, 64-bit hash of the text, first word); the hash is checked
+to tell the texts of one id apart. Defined cases: null text
 has no words; rows of one id and the same text are one document and get the
 same result; rows of one id and different texts are different documents,
 ordered by a hash; null ids come first; texts shorter than a window are kept
@@ -49,8 +50,8 @@ _NO_ID = -(1 << 63)
 _M = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD1342543DE82EF95)
 
-_SEGMENT_SQL = "key long, content long, doc long, tie int, at long"
-_SEGMENT = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("at", pa.int64())])
+_SEGMENT_SQL = "key long, content long, doc long, tie long, at long"
+_SEGMENT = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("at", pa.int64())])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -151,13 +152,13 @@ def _emit_segments(window: int):
             of = piece[start]
             docs, ties, firsts = (np.array([p[k] for p in pieces], np.int64) for k in range(3))
             at = (firsts[of] + start - begins[of]) << 16 | many << 8 | np.minimum(places, 255)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(docs[of]), pa.array(ties[of].astype(np.int32)), pa.array(at)], schema=_SEGMENT)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(docs[of]), pa.array(ties[of]), pa.array(at)], schema=_SEGMENT)
 
     return run
 
 
-_PART = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.int64()), ("words", pa.binary())])
-_PART_SQL = "kind int, key long, content long, doc long, tie int, start long, words binary"
+_PART = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
+_PART_SQL = "kind int, key long, content long, doc long, tie long, start long, words binary"
 
 
 def _emit_parts(window: int):
@@ -190,13 +191,42 @@ def _emit_parts(window: int):
     return run
 
 
-_COVER = pa.schema([("doc", pa.int64()), ("tie", pa.int32()), ("start", pa.int64()), ("many", pa.int64())])
-_COVER_SQL = "doc long, tie int, start long, many long"
+_COVER = pa.schema([("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("many", pa.int64())])
+_COVER_SQL = "doc long, tie long, start long, many long"
+
+
+def _stand_twice(words: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first window, windows) of the runs whose windows' hashes stand
+    more than once in the shard. Equal windows are all in one shard and have
+    equal hashes, so no other window can be repeated."""
+    flat = np.concatenate(words)
+    of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    begins = np.searchsorted(of, np.arange(len(words)))
+    n = max(len(flat) - window + 1, 0)
+    h = np.zeros(n, np.uint64)
+    for j in range(window):
+        h = h * _M + flat[j : j + n]
+    whole = np.flatnonzero(of[:n] == of[window - 1 : window - 1 + n])
+    h = _mixed(h)[whole]
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    at = whole[twice]
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(of[at]) != 0)))) if len(at) else np.empty(0, np.int64)
+    first = at[new]
+    return of[first], first - begins[of[first]], np.diff(np.append(new, len(at)))
 
 
 def repeated_windows(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, words: list[np.ndarray], window: int) -> pa.RecordBatch:
     """One shard: index its segments in document order and stream them through
-    the index; the windows whose words stand at an earlier place."""
+    the index; the windows whose words stand at an earlier place. Stretches
+    without a window that may stand twice are left out first."""
+    segment, skipped, many = _stand_twice(words, window)
+    if not len(segment):
+        return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in _COVER], schema=_COVER)
+    words = [words[s][a : a + m + window - 1] for s, a, m in zip(segment.tolist(), skipped.tolist(), many.tolist(), strict=True)]
+    doc, tie, start = doc[segment], tie[segment], start[segment] + skipped
     order = np.lexsort((start, tie, doc))
     lengths = np.array([len(words[i]) for i in order], np.int64)
     begins = np.cumsum(lengths + 1) - lengths - 1
@@ -226,7 +256,7 @@ def _search(window: int):
         size = 0
 
         def shard(rows: list[tuple]) -> pa.RecordBatch:
-            doc, tie, start = (np.array([r[k] for r in rows], t) for k, t in ((1, np.int64), (2, np.int32), (3, np.int64)))
+            doc, tie, start = (np.array([r[k] for r in rows], t) for k, t in ((1, np.int64), (2, np.int64), (3, np.int64)))
             return repeated_windows(doc, tie, start, [word_hashes(r[4]) for r in rows], window)
 
         for batch in batches:  # sorted by key; a shard takes whole keys
@@ -242,13 +272,26 @@ def _search(window: int):
     return run
 
 
-def _place_of(id_col: str, text_col: str, doc: str = "doc", tie: str = "tie") -> list[Column]:
-    return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias(doc), F.hash(text_of(text_col)).alias(tie)]
+def _place_of(id_col: str, text_col: str, seed: int = 1, doc: str = "doc", tie: str = "tie") -> list[Column]:
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias(doc), F.xxhash64(F.lit(seed), text_of(text_col)).alias(tie)]
+
+
+def tie_seed(docs: DataFrame, id_col: str, text_col: str) -> int:
+    """A seed whose 64-bit hash tells all texts of one id apart: it is checked
+    against a second hash, and the next seed taken if two different texts share it."""
+    seed = 1
+    while True:
+        places = docs.select(*_place_of(id_col, text_col, seed), F.xxhash64(F.lit(-seed), text_of(text_col)).alias("other"))
+        seen = places.groupBy("doc", "tie").agg(F.min("other").alias("a"), F.max("other").alias("b"))
+        if seen.where("a < b").isEmpty():
+            return seed
+        seed += 1
 
 
-def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, key_segments: int = KEY_SEGMENTS) -> DataFrame:
+def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, key_segments: int = KEY_SEGMENTS, seed: int | None = None) -> DataFrame:
     """(doc, tie, start, many): runs of ``many`` windows from word ``start`` on whose words also start earlier."""
-    texts = docs.select(*_place_of(id_col, text_col), text_of(text_col).alias("text"))
+    seed = tie_seed(docs, id_col, text_col) if seed is None else seed
+    texts = docs.select(*_place_of(id_col, text_col, seed), text_of(text_col).alias("text"))
     # made twice, once for each side of the join: cheaper than to write them
     segments = texts.mapInArrow(_emit_segments(window), _SEGMENT_SQL)
     places = segments.groupBy("key").agg(F.sum(F.col("at").bitwiseAND(F.lit(255))).alias("n"))
@@ -304,11 +347,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, the columns of ``carry``, n_words, n_removed, kept) of every document."""
     from pyspark.sql.types import LongType, StringType, StructType
 
-    found = covered(docs, id_col, text_col, window, key_segments)
+    seed = tie_seed(docs, id_col, text_col)
+    found = covered(docs, id_col, text_col, window, key_segments, seed)
     # written, so that the shuffles before are gone when the texts are shuffled
     runs = stored(found.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "many")).alias("__runs")), "runs")
     names = [id_col, *(c for c in carry if c != id_col)]
-    placed = docs.select(*names, *_place_of(id_col, text_col, "__doc", "__tie"), text_of(text_col).alias("__text"))
+    placed = docs.select(*names, *_place_of(id_col, text_col, seed, "__doc", "__tie"), text_of(text_col).alias("__text"))
     runs = runs.withColumnsRenamed({"doc": "__doc", "tie": "__tie"})
     joined = placed.join(runs, ["__doc", "__tie"], "left").select(*names, "__text", "__runs")
     out = StructType([joined.schema[n] for n in names]).add("n_words", LongType()).add("n_removed", LongType()).add("kept", StringType())

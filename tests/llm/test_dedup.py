@@ -205,3 +205,40 @@ def test_substring_dedup_across_chunks(spark, monkeypatch):
         windows = sum(int(r["at"] >> 8 & 255) for b in substrings._emit_segments(20)(iter(batches)) for r in b.to_pylist())
         assert windows == sum(max(0, w[1] - 19) for w in want)
     assert substrings.deduplicate(df.where("false")).count() == 0
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Two texts with one 32-bit hash stand under one id; only one of them is a copy."""
+    from pyspark.sql import functions as F
+
+    tail = " ".join(f"word{i}" for i in range(25))
+    texts = spark.range(300_000).select("id", F.concat(F.lit("start"), "id", F.lit(" " + tail.replace("word", "own")), F.lit(" end"), "id").alias("text"))
+    clash = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t")).where(F.size("t") > 1).first().t
+    x = clash[0]
+    by_hash = spark.createDataFrame([(x,), (clash[1],)], "text string").select(F.hash("text")).distinct().count()
+    assert by_hash == 1
+    rows = [(1, x), (5, x), (5, clash[1].replace("end", "other")), (5, clash[1])]
+    # a window of all 27 words: only the copy under id 5 is repeated
+    got = sorted((r.doc_id, r.kept == "", r.n_removed) for r in substrings.deduplicate(docs(spark, rows), window=27).collect())
+    assert got == [(1, False, 0), (5, False, 0), (5, False, 0), (5, True, 27)]
+
+
+def test_a_seed_that_confuses_texts_is_not_taken(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real = substrings._place_of
+    monkeypatch.setattr(substrings, "_place_of", lambda i, t, seed, *n: [real(i, t, seed, *n)[0], (real(i, t, seed, *n)[1] if seed > 2 else F.lit(7).cast("long")).alias(n[1] if n else "tie")])
+    assert substrings.tie_seed(docs(spark, [(1, "a"), (1, "b"), (2, "a")]), "doc_id", "text") == 3
+    assert substrings.tie_seed(docs(spark, [(1, "a"), (1, "a"), (2, "b")]), "doc_id", "text") == 1
+
+
+def test_only_windows_that_stand_twice_reach_the_index():
+    rnd = random.Random(4)
+    words = [np.array([rnd.randrange(6) for _ in range(rnd.randrange(3, 30))], np.uint64) for _ in range(40)]
+    got = {(s, a + i) for s, a, m in zip(*(x.tolist() for x in substrings._stand_twice(words, 3)), strict=True) for i in range(m)}
+    seen: dict = {}
+    for s, w in enumerate(words):
+        for i in range(len(w) - 2):
+            seen.setdefault(tuple(w[i : i + 3].tolist()), []).append((s, i))
+    assert got == {p for places in seen.values() if len(places) > 1 for p in places}
+    assert all(not len(x) for x in substrings._stand_twice([np.arange(2, dtype=np.uint64)], 3))
