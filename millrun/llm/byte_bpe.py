@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of, text_of
+from .common import emit, rows_of, text_of, uncollected
 from .tokens import SpacedEncoder, packed, words_le
 
 _NONE = 1 << 62
@@ -158,7 +158,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                     column.append(v)
             yield emit(_DIGEST, out)
 
-    return _input(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _input(docs, id_col, text_col).mapInArrow(uncollected(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -75,6 +76,20 @@ class Memo(dict):
         return value
 
 
+def uncollected(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` with the cyclic collector at rest: it would walk the memos over
+    and over, and encoding leaves it nothing to collect."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+
+    return wrapped
+
+
 def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     """The rows of a batch one by one (texts become Python objects one at a time)."""
     columns = [batch.column(batch.schema.get_field_index(n)) for n in names]

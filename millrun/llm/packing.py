@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of, stored, text_of
+from .common import emit, rows_of, stored, text_of, uncollected
 from .tokens import file_encoder, packed
 
 PER_PARTITION = 50_000
@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame
                     at, k = at + length, k + 1
             yield emit(_PIECES, out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, _PIECES_SQL)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(uncollected(run), _PIECES_SQL)
 
 
 def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

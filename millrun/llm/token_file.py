@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of, text_of
+from .common import emit, rows_of, text_of, uncollected
 from .tokens import file_encoder, packed, words_le
 
 SAMPLE_DOCS = 400
@@ -116,7 +116,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
         if ids:
             yield emit(_BLOCKS, [[x] for x in (part, block, ids[0], ids[-1], ids, counts, starts, offsets, digest, b"".join(frames))])
 
-    spread.select("doc_id", "text").mapInArrow(run, _BLOCKS_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
+    spread.select("doc_id", "text").mapInArrow(uncollected(run), _BLOCKS_SQL).write.option("compression", "none").parquet(f"{path}/blocks")
     totals = _blocks(spark, path).select("part", F.expr("aggregate(n_tokens, 0L, (a, x) -> a + x)").alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
     # one row a part, in the parts' order
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

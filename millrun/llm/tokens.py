@@ -52,7 +52,8 @@ class SpacedEncoder:
         import regex
 
         self.split, self.value, self.joined = regex.compile(pattern).findall, value, joined
-        self.pieces = Memo(lambda piece: value(encode_piece(piece)), 250_000)
+        self.encode = lambda piece: value(encode_piece(piece))
+        self.pieces = Memo(self.encode, 250_000)
         self.words = Memo(self._word, 250_000)
 
     def _pieces(self, text: str):
@@ -61,10 +62,10 @@ class SpacedEncoder:
     def _word(self, word: str):
         """What `` word`` gives. Fails where the cut before or after it is not safe."""
         if word.isalpha() and max(word) < _LATIN:
-            return self.pieces[" " + word]
+            return self.encode(" " + word)  # one piece, remembered as a word
         stem = word[:-1]
         if stem.isalpha() and word[-1] in ".,;:!?" and max(stem) < _LATIN:
-            return self.joined([self.pieces[" " + stem], self.pieces[word[-1]]])
+            return self.joined([self.words[stem], self.pieces[word[-1]]])
         if not word or word[0].isspace() or word[-1].isspace() or _ODD.search(word):
             raise _Unsafe
         return self._pieces(" " + word)
@@ -96,10 +97,10 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         if word.isascii():
             low = word.lower()
-            if low.isalpha():
-                return self.pieces[low]
+            if low.isalpha():  # one piece, remembered as a word
+                return self._piece(low) if low == word else self.words[low]
             if low[:-1].isalpha() and low[-1] in ".,;:!?":
-                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+                return self.words[low[:-1]] + self.pieces[low[-1]]
         return self._pieces(word)
 
     def _piece(self, piece: str) -> bytes:
@@ -126,9 +127,15 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 
 
+_SPACE = chr(_LETTERS[32])
+
+
 def visible(piece: str) -> str:
-    if piece.isalpha() and piece.isascii():
-        return piece
+    if piece.isascii():
+        if piece.isalpha():
+            return piece
+        if piece[1:].isalpha() and piece[0] == " ":
+            return _SPACE + piece[1:]
     return piece.encode().decode("latin-1").translate(_LETTERS)
 
 
