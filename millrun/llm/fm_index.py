@@ -55,8 +55,9 @@ class WaveletMatrix:
 class FmIndex:
     """Index of a text of symbols 1..; 0 separates its parts.
 
-    Suffixes are sorted by their first ``2**k >= 2 * depth`` symbols, which is
-    enough for patterns of up to ``depth`` + 1 symbols. Kept are the wavelet
+    Suffixes are sorted by their first ``depth`` + 1 symbols or more, which is
+    enough for patterns of up to so many: an interval's bounds depend on no
+    symbol beyond the pattern's length. Kept are the wavelet
     matrix of the BWT, the symbols' counts, and for each suffix-array interval
     that shares ``depth`` symbols its end and its first place in the text; the
     text and the suffix array are not needed any more.
@@ -65,22 +66,25 @@ class FmIndex:
     def __init__(self, text: np.ndarray, depth: int) -> None:
         n = len(text)
         self.depth = depth
-        rank, covered = text.astype(np.int64), 1
-        of_depth = None
-        while True:
-            if covered <= depth <= 2 * covered:  # the first ``depth`` symbols, from two overlapping halves
+        alphabet = int(text.max()) + 1
+        covered = max(1, min(62 // alphabet.bit_length(), depth))  # symbols that fit in one number
+        packed = np.zeros(n, np.int64)
+        for j in range(covered):
+            packed *= alphabet
+            packed[: n - j] += text[j:]
+        rank = np.unique(packed, return_inverse=True)[1].reshape(-1)
+        of_depth = rank if covered == depth else None
+        while covered <= depth:
+            if of_depth is None and depth <= 2 * covered:  # the first ``depth`` symbols, from two overlapping halves
                 of_depth = _pair(rank, depth - covered)
             rank = _pair(rank, covered)
             covered *= 2
-            if covered >= 2 * depth:
-                break
         order = np.argsort(rank, kind="stable")
         group = of_depth[order]
         first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         self.group = (np.cumsum(np.concatenate(([0], group[1:] != group[:-1])))).astype(np.int32)
         self.lo, self.hi = first, np.append(first[1:], n)
         self.first_place = np.minimum.reduceat(order, first)
-        alphabet = int(text.max()) + 1
         counts = np.bincount(text, minlength=alphabet)
         self.below = np.concatenate(([0], np.cumsum(counts)[:-1]))
         self.size = n
@@ -101,8 +105,7 @@ class FmIndex:
         for step in range(int(sizes[0]) if len(sizes) else 0):
             live = int(np.searchsorted(-sizes, -step, side="left"))  # those longer than step
             c = symbols[ends[:live] - 1 - step]
-            a = self.below[c] + self.bwt.rank(c, lo[:live])
-            b = self.below[c] + self.bwt.rank(c, hi[:live])
+            a, b = self._extended(c, lo[:live], hi[:live])
             lost = a >= b
             got[:live] += 1
             if lost.any():
@@ -122,9 +125,14 @@ class FmIndex:
         for step in range(int(lengths.max(initial=0))):
             live = np.flatnonzero((step < lengths) & (lo < hi))
             c = symbols[(begins + lengths - 1 - step)[live]]
-            lo[live], hi[live] = (self.below[c] + self.bwt.rank(c, x[live]) for x in (lo, hi))
+            lo[live], hi[live] = self._extended(c, lo[live], hi[live])
         return lo, hi
 
+    def _extended(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals of the patterns with symbol c before them."""
+        both = self.bwt.rank(np.concatenate((c, c)), np.concatenate((lo, hi)))
+        return self.below[c] + both[: len(c)], self.below[c] + both[len(c) :]
+
     def _longest(self, symbols: np.ndarray, begins: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Interval and length of the longest match from each place, of at most
         ``most`` symbols: halving, as every beginning of a match is one."""

@@ -96,8 +96,8 @@ def _windows(w: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, n
     return starts, least[starts], h
 
 
-def _segments(w: np.ndarray, doc: np.ndarray, window: int):
-    """(first word, windows, key, content hash, places of the key) of each segment."""
+def _segments(w: np.ndarray, doc: np.ndarray, window: int, contents: bool = True):
+    """(first word, windows, key, content hash, places of the key) of each segment; without the hash if it isn't wanted."""
     starts, keys, h = _windows(w, doc, window)
     if not len(starts):
         return None
@@ -107,9 +107,11 @@ def _segments(w: np.ndarray, doc: np.ndarray, window: int):
     first = np.flatnonzero(new | (since % RUN == 0))
     many = np.diff(np.append(first, len(starts)))
     start, key = starts[first], keys[first]
-    powers, inverse = _powers(int(_M), len(w) + 1), _powers(_inverse(int(_M)), len(w) + 1)
-    sums = np.concatenate(([0], np.cumsum(_mixed(w) * inverse[:-1], dtype=np.uint64))).astype(np.uint64)
-    content = _mixed((sums[start + many + window - 1] - sums[start]) * powers[start] + many.astype(np.uint64))
+    content = None
+    if contents:
+        powers, inverse = _powers(int(_M), len(w) + 1), _powers(_inverse(int(_M)), len(w) + 1)
+        sums = np.concatenate(([0], np.cumsum(_mixed(w) * inverse[:-1], dtype=np.uint64))).astype(np.uint64)
+        content = _mixed((sums[start + many + window - 1] - sums[start]) * powers[start] + many.astype(np.uint64))
     grams = many + window - min(GRAM, window)
     offsets = np.cumsum(grams) - grams
     inside = np.repeat(start - offsets, grams) + np.arange(int(grams.sum()))
@@ -157,6 +159,21 @@ def _emit_segments(window: int):
     return run
 
 
+_KEY = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+
+
+def _emit_keys(window: int):
+    """The key of each segment and how often it stands there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for w, piece, _ in _chunks(batches, window):
+            found = _segments(w, piece, window, contents=False)
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(found[2].view(np.int64)), pa.array(np.minimum(found[4], 255))], schema=_KEY)
+
+    return run
+
+
 _PART = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
 _PART_SQL = "kind int, key long, content long, doc long, tie long, start long, words binary"
 
@@ -167,22 +184,25 @@ def _emit_parts(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in _PART]
-            for doc, tie, text, wanted in rows_of(batch, "doc", "tie", "text", "wanted"):
+            column = batch.column(batch.schema.get_field_index("wanted"))
+            flat, ends = column.flatten(), (column.offsets.to_numpy() - column.offsets[0].as_py()).tolist()
+            starts, manys, keys, hots = (flat.field(c).to_numpy(zero_copy_only=False).tolist() for c in range(4))
+            for row, (doc, tie, text) in enumerate(rows_of(batch, "doc", "tie", "text")):
                 words = text.encode().split()
-                for part in wanted:
-                    start, many, key = part["start"], part["many"], part["key"]
+                for p in range(ends[row], ends[row + 1]):
+                    start, many, key = starts[p], manys[p], keys[p]
                     mine = words[start : start + many + window - 1]
-                    if not part["hot"]:
-                        row = [(0, key, 0, doc, tie, start, b" ".join(mine))]
+                    if not hots[p]:
+                        rows = [(0, key, 0, doc, tie, start, b" ".join(mine))]
                     else:
                         w = word_hashes(mine)
                         one, two = np.zeros(many, np.uint64), np.zeros(many, np.uint64)
                         for j in range(window):
                             one, two = one * _M + w[j : j + many], two * _ODD + _mixed(w[j : j + many])
-                        row = [(1, a, b, doc, tie, start + i, None) for i, (a, b) in enumerate(zip(_mixed(one).view(np.int64).tolist(), _mixed(two).view(np.int64).tolist(), strict=True))]
-                    for values in row:
-                        for column, v in zip(out, values, strict=True):
-                            column.append(v)
+                        rows = [(1, a, b, doc, tie, start + i, None) for i, (a, b) in enumerate(zip(_mixed(one).view(np.int64).tolist(), _mixed(two).view(np.int64).tolist(), strict=True))]
+                    for values in rows:
+                        for into, v in zip(out, values):
+                            into.append(v)
                 if len(out[0]) >= 4096:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PART, strict=True)], schema=_PART)
                     out = [[] for _ in _PART]
@@ -256,11 +276,13 @@ def _search(window: int):
         size = 0
 
         def shard(rows: list[tuple]) -> pa.RecordBatch:
-            doc, tie, start = (np.array([r[k] for r in rows], t) for k, t in ((1, np.int64), (2, np.int64), (3, np.int64)))
-            return repeated_windows(doc, tie, start, [word_hashes(r[4]) for r in rows], window)
+            doc, tie, start = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+            ends = np.cumsum([len(r[4]) for r in rows])[:-1]
+            return repeated_windows(doc, tie, start, np.split(word_hashes([w for r in rows for w in r[4]]), ends), window)
 
         for batch in batches:  # sorted by key; a shard takes whole keys
-            for key, doc, tie, start, words in rows_of(batch, "key", "doc", "tie", "start", "words"):
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("key", "doc", "tie", "start", "words")]
+            for key, doc, tie, start, words in zip(*columns, strict=True):
                 if size >= _CHUNK and key != held[-1][0]:
                     yield shard(held)
                     held, size = [], 0
@@ -292,9 +314,9 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     """(doc, tie, start, many): runs of ``many`` windows from word ``start`` on whose words also start earlier."""
     seed = tie_seed(docs, id_col, text_col) if seed is None else seed
     texts = docs.select(*_place_of(id_col, text_col, seed), text_of(text_col).alias("text"))
-    # made twice, once for each side of the join: cheaper than to write them
+    # their keys are made once more for the other side of the join: cheaper than to write them
     segments = texts.mapInArrow(_emit_segments(window), _SEGMENT_SQL)
-    places = segments.groupBy("key").agg(F.sum(F.col("at").bitwiseAND(F.lit(255))).alias("n"))
+    places = texts.mapInArrow(_emit_keys(window), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     # rows of one id and text stand twice: they are one document
     repeated = stored(segments.join(places.where("n > 1").select("key"), "key", "left_semi"), "repeated")
     place = F.struct("doc", "tie", "at")
