@@ -73,21 +73,26 @@ class SegmentTreeBpe:
                 r = rank_of(data[i : after[end]])
             tree[size + i] = _NONE if r is None else r << _SHIFT | i
             left = before[i]
-            changed = (gone, i)
             if left >= 0:
                 r = rank_of(data[left:end])
                 tree[size + left] = _NONE if r is None else r << _SHIFT | left
-                changed = (gone, i, left)
-            for k in changed:
-                k = size + k >> 1
-                while k:
-                    a, b = tree[2 * k], tree[2 * k + 1]
-                    if b < a:
-                        a = b
-                    if tree[k] == a:
-                        break
-                    tree[k] = a
-                    k >>= 1
+                low = size + left >> 1
+            else:
+                low = size + i >> 1
+            # up from the three leaves; paths that have met go on as one
+            middle, high = size + i >> 1, size + gone >> 1
+            while high:
+                x, y = tree[2 * high], tree[2 * high + 1]
+                tree[high] = x if x < y else y
+                if middle != high:
+                    x, y = tree[2 * middle], tree[2 * middle + 1]
+                    tree[middle] = x if x < y else y
+                if low != middle:
+                    x, y = tree[2 * low], tree[2 * low + 1]
+                    tree[low] = x if x < y else y
+                low >>= 1
+                middle >>= 1
+                high >>= 1
         out, i = [], 0
         while i < n:
             out.append(ranks[data[i : after[i]]])
