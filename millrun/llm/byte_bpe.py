@@ -50,11 +50,8 @@ class SegmentTreeBpe:
             return [ranks[data]] if n else []
         size = 1 << (n - 1).bit_length()
         rank_of = ranks.get
-        level = [_NONE] * size
-        for i in range(n - 1):
-            r = rank_of(data[i : i + 2])
-            if r is not None:
-                level[i] = r << _SHIFT | i
+        level = [_NONE if (r := rank_of(data[i : i + 2])) is None else r << _SHIFT | i for i in range(n - 1)]
+        level += [_NONE] * (size - n + 1)
         tree = level  # node k has the children 2k and 2k + 1, leaf i is node size + i
         while len(level) > 1:
             level = [a if a < b else b for a, b in zip(level[::2], level[1::2])]
