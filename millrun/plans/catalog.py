@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrun.functions.timefn import ts_text
-from millrun.operators import dims, inspect, parse, parts, routing, stats
+from millrun.operators import dims, inspect, parse, parts, rollup, routing, stats
 from millrun.plans import standins as si
 from millrun.plans.jobs import e1_equipment_logs
 from millrun.session import checkpoint_dir
@@ -303,11 +303,15 @@ def q_enrich_left(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------ E5 statistics
 
 
-def _normalised(spark: SparkSession, sf: str) -> DataFrame:
+def _size_feeds(spark: SparkSession, sf: str, of: Callable[..., DataFrame]) -> DataFrame:
     d = si.inspection_details(spark, sf)
     keep = [F.col("mid"), F.col("size_id"), F.col("isNew").alias("isnew"), F.col("ts")]
     member = {"detail": F.lit(True), "per_size": F.col("l_returnflag") == "R", "recheck": F.col("l_linenumber") > 1}
-    return stats.normalise_once(d, member, keep)
+    return of(d, member, keep)
+
+
+def _measured(spark: SparkSession, sf: str) -> DataFrame:
+    return _size_feeds(spark, sf, stats.measures_once)
 
 
 def _production_lookups(spark: SparkSession, sf: str):
@@ -319,22 +323,34 @@ def _production_lookups(spark: SparkSession, sf: str):
 
 def q_size_stats_window(spark: SparkSession, sf: str) -> DataFrame:
     return stats.size_stats_enriched(
-        _normalised(spark, sf), _production_lookups(spark, sf), "ts", "1 day"
+        _measured(spark, sf), _production_lookups(spark, sf), "ts", "1 day"
     )
 
 
 def q_size_stats_7d(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.size_stats_enriched(_normalised(spark, sf), _production_lookups(spark, sf), "ts", "7 days")
+    return stats.size_stats_enriched(_measured(spark, sf), _production_lookups(spark, sf), "ts", "7 days")
 
 
 def q_size_stats_coarse(spark: SparkSession, sf: str) -> DataFrame:
     return stats.size_stats_enriched(
-        _normalised(spark, sf), _production_lookups(spark, sf)[:1], "ts", "7 days", keys=["fid", "isnew"]
+        _measured(spark, sf), _production_lookups(spark, sf)[:1], "ts", "7 days", keys=["fid", "isnew"]
     )
 
 
 def q_metric_normalise(spark: SparkSession, sf: str) -> DataFrame:
-    return _normalised(spark, sf)
+    return _size_feeds(spark, sf, stats.normalise_once)
+
+
+def q_size_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as inspections: 10 s sums to hours, hours to days, each by
+    equipment, process, line, factory and in all. The user is production id
+    and size, so ids that a dim lacks are a level's NULL."""
+    e = read_table(spark, sf, "events", ["user_id", "ts", "event_type"])
+    e = e.select(F.col("user_id").alias("mid"), F.col("user_id").alias("size_id"), "ts", "event_type", F.when(F.col("event_type") != "error", "1").otherwise("0").alias("isPass"))
+    member = {"detail": F.lit(True), "per_size": F.col("event_type") == "error", "recheck": F.col("event_type") == "view"}
+    rows = stats.measures_once(e, member, ["mid", "size_id", "ts"])
+    hours, days = rollup.chained_sums(rows, _production_lookups(spark, sf), "ts", ("10 seconds", "1 hour", "1 day"))
+    return rollup.by_level(hours, "hour").unionByName(rollup.by_level(days, "day"))
 
 
 def q_tumbling_10s(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "q_size_stats_window": q_size_stats_window,
     "q_size_stats_7d": q_size_stats_7d,
     "q_size_stats_coarse": q_size_stats_coarse,
+    "q_size_rollup": q_size_rollup,
     "q_tumbling_10s": q_tumbling_10s,
     "q_metric_normalise": q_metric_normalise,
     "q_size_first": q_size_first,

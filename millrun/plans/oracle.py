@@ -199,6 +199,25 @@ FROM events""",
     "q_size_stats_window": _stats(_FEEDS, "1 DAY", ["fid", "lid", "mtype", "eid", "isnew"]),
     "q_size_stats_7d": _stats(_FEEDS, "7 DAY", ["fid", "lid", "mtype", "eid", "isnew"]),
     "q_size_stats_coarse": _stats(_FEEDS, "7 DAY", ["fid", "isnew"], part_dim=False),
+    "q_size_rollup": """
+WITH r AS (
+  SELECT e.ts, s.s_nationkey AS fid, p.p_brand AS lid, p.p_type AS mtype, s.s_suppkey AS eid, e.event_type
+  FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey LEFT JOIN part p ON e.user_id = p.p_partkey),
+w AS (
+  SELECT *, 'hour' AS period, date_trunc('hour', ts) AS wb, date_trunc('hour', ts) + INTERVAL 1 HOUR AS we FROM r
+  UNION ALL
+  SELECT *, 'day' AS period, date_trunc('day', ts) AS wb, date_trunc('day', ts) + INTERVAL 1 DAY AS we FROM r)
+SELECT period, strftime(wb, '%Y-%m-%d %H:%M:%S') AS wbt, strftime(we, '%Y-%m-%d %H:%M:%S') AS wet,
+       CASE GROUPING(fid, lid, mtype, eid) WHEN 0 THEN 'equipment' WHEN 1 THEN 'process' WHEN 3 THEN 'line'
+            WHEN 7 THEN 'factory' ELSE 'all' END AS level,
+       fid, lid, mtype, eid,
+       CAST(sum(CASE WHEN event_type <> 'error' THEN 0 ELSE 1 END) AS BIGINT) AS defect_sum,
+       CAST(count(*) AS BIGINT) AS check_sum,
+       CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS defect_type_count,
+       CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS double_sum,
+       CAST(0 AS BIGINT) AS double_fail_sum
+FROM w WHERE ts IS NOT NULL
+GROUP BY period, wb, we, ROLLUP (fid, lid, mtype, eid)""",
     "q_tumbling_10s": """
 SELECT strftime(wb, '%Y-%m-%d %H:%M:%S') AS wbt,
        strftime(wb + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS wet,

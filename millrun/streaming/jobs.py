@@ -12,14 +12,14 @@ written per batch id with overwrite, so a replayed batch replaces itself.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrun.functions.jsonfn import with_member
 from millrun.functions.timefn import date_text, epoch_ms_to_ts
-from millrun.operators import dims, inspect, parse, parts, routing, stats
+from millrun.operators import dims, inspect, parse, parts, rollup, routing, stats
 from millrun.plans.jobs import e2_apply_dims, e2_change_records
 from millrun.streaming import io
 from millrun.streaming.ordered import enrich_asof_stream
@@ -277,6 +277,23 @@ def e5_grain_stream(
     return sums.select(F.col("_w.start").alias("ts"), "mid", "isnew", *stats.MEASURES)
 
 
+def e5_rollup_stream(
+    detail: DataFrame,
+    per_size: DataFrame,
+    recheck: DataFrame,
+    production: DataFrame,
+    periods: Sequence[str] = ("10 seconds", "1 hour", "1 day"),
+    delay: str = "3 seconds",
+    per_feed: bool = False,
+) -> DataFrame:
+    """Window sums rolled up along ``periods`` in one stream: each period's
+    closed windows are the next one's rows; the last period leaves at every
+    level of the hierarchy, once its window is closed."""
+    feeds = _e5_feeds(detail, per_size, recheck, delay, per_feed)
+    lookup = [(production, "mid", "id", {"Fid": "fid", "lid": "lid", "mType": "mtype", "eId": "eid"})]
+    return rollup.by_level(rollup.chained_sums(feeds, lookup, "ts", periods, grain=("mid",))[-1], periods[-1])
+
+
 def start_e5_fresh_dims(
     grain: DataFrame,
     production_loader: Callable[[], DataFrame],
