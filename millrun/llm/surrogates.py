@@ -18,11 +18,17 @@ and attempt:
   "Mr Smith" get the same surname; first names differ among equal surnames, and
   are joined to double names where the list is too short for that.
 
-Collision checks: in each round the cores that two values share, or that some
-value of the corpus has itself, are drawn again (all but the least value's)
-with the next attempt, until none is left. So distinct values stay distinct,
-no surrogate is another's real value, and equal values (ignoring layout and
-case) get equal surrogates everywhere. The surrogates go back by value and
+Collision checks: in each round the cores that two values share (all but the
+least value's), or that some value of the corpus or one settled before has, are
+drawn again with the next attempt, until none is left. So distinct values stay
+distinct, no surrogate is another's real value, and equal values (ignoring
+layout and case) get equal surrogates everywhere.
+
+Numbers and addresses cannot grow. Where over 40 % (``CROWDED``) of a
+layout is in use, surrogates that are nobody's real value need not exist; all
+values of the layout then get a keyed permutation of it without fixed points.
+They stay distinct and nobody keeps their own, but one's surrogate may be
+another's real value (and of an address have numbers above 255). The surrogates go back by value and
 row; a value in a third of all documents is one row of the table of values.
 
 A short email or secret has few surrogates of its own length; from its eighth
@@ -104,7 +110,7 @@ _CANONICAL = rf"""CASE kind
   WHEN 'phone' THEN CASE WHEN length({_DIGITS}) > 10 AND {_DIGITS} LIKE '1%' THEN substr({_DIGITS}, 2) ELSE {_DIGITS} END
   WHEN 'card' THEN {_DIGITS}
   WHEN 'ssn' THEN {_DIGITS}
-  WHEN 'ip' THEN raw
+  WHEN 'ip' THEN regexp_replace(raw, '(^|[.])0+(?=[0-9])', '$1')
   WHEN 'secret' THEN {_VALUE}
   ELSE concat(script, '/', lower(regexp_extract(raw, '[^ ]+$', 0)))
 END"""
@@ -171,8 +177,7 @@ def _first() -> str:
 _NEW_DIGITS = f"array_join(transform(sequence(1, length(canonical)), i -> {_pick('0123456789', 'i')}), '')"
 _CARD = f"concat(substr(canonical, 1, 1), substr({_NEW_DIGITS}, 2))"
 _CARD_FIXED = f"transform(array(substr({_CARD}, 1, length(canonical) - 1)), t -> concat(t, cast((10 - {_luhn("concat(t, '0')")} % 10) % 10 AS string)))[0]"
-#: A number too short to stay distinct from all others of its type grows no
-#: longer: its attempts run on, and its layout stays.
+#: A number grows no longer: its attempts run on, and its layout stays.
 _CORE = f"""CASE kind
   WHEN 'email' THEN concat({_grown(ALPHABETS[1])}, {_shaped("regexp_extract(canonical, '^(.*)[.][^.]+$', 1)")}, regexp_extract(canonical, '[.][^.]+$', 0))
   WHEN 'phone' THEN {_NEW_DIGITS}
@@ -213,26 +218,75 @@ def _real(values: DataFrame) -> DataFrame:
     return values.select("kind", F.expr(f"CASE WHEN kind = 'person' THEN {bare} ELSE lower(canonical) END").alias("taken")).distinct()
 
 
-def resolve(values: DataFrame, key: str, rounds: int = 200) -> DataFrame:
-    """(kind, canonical, core) of the distinct ``values`` (kind, canonical), with distinct cores that are nobody's real value."""
+#: The values that share a number of surrogates which cannot grow, and that number.
+_LAYOUT = f"""CASE WHEN kind IN ('phone', 'ssn') THEN cast(length(canonical) AS string) WHEN kind = 'ip' THEN '4'
+  WHEN kind = 'card' THEN concat_ws('/', length(canonical), substr(canonical, 1, 1), {_luhn('canonical')} % 10 = 0) END"""
+_ROOM = "CASE kind WHEN 'ip' THEN pow(254, 4) WHEN 'card' THEN pow(10, length(canonical) - 2) ELSE pow(10, length(canonical)) END"
+#: A layout with more than this share of it in use is permuted.
+CROWDED = 0.4
+_PASSES = 8  # an even number, so that the halves end as long as they began
+
+
+def _permuted(digits: str, key: str) -> str:
+    """A keyed permutation of the digit strings of one length that leaves none as
+    it is: Feistel passes, the last digit moved on, the passes undone."""
+    mixed = f"cast(conv(substr(sha2(concat_ws('/', {_sql(key)}, 'permuted', kind, r, {{half}}), 256), 1, 15), 16, 10) AS bigint)"
+    number = "coalesce(try_cast({half} AS bigint), 0)"
+    modulus = "cast(rpad('1', length({half}) + 1, '0') AS bigint)"
+
+    def moved(half: str, by: str, sign: str) -> str:
+        return f"lpad(cast(pmod({number.format(half=half)} {sign} {mixed.format(half=by)}, {modulus.format(half=half)}) AS string), length({half}), '0')"
+
+    def passes(text: str, order: str, step: str) -> str:
+        start = f"transform(array({text}), t -> named_struct('a', substr(t, 1, length(t) div 2), 'b', substr(t, length(t) div 2 + 1)))[0]"
+        return f"aggregate({order}, {start}, (s, r) -> {step}, s -> concat(s.a, s.b))"
+
+    there = passes(digits, f"sequence(1, {_PASSES})", f"named_struct('a', s.b, 'b', {moved('s.a', 's.b', '+')})")
+    by = f"(1 + cast(conv(substr(sha2(concat_ws('/', {_sql(key)}, 'moved on', kind), 256), 1, 8), 16, 10) AS bigint) % 9)"
+    on = f"transform(array({there}), t -> concat(substr(t, 1, length(t) - 1), cast((cast(right(t, 1) AS int) + {by}) % 10 AS string)))[0]"
+    return passes(on, f"sequence({_PASSES}, 1, -1)", f"named_struct('a', {moved('s.b', 's.a', '-')}, 'b', s.a)")
+
+
+def _crowded_core(key: str) -> str:
+    """Distinct by construction: of a card the digits between the first and the
+    check digit are permuted, and the check digit stays as valid as it was."""
+    card = f"""transform(array(concat(substr(canonical, 1, 1), {_permuted("substr(canonical, 2, length(canonical) - 2)", key)})),
+      t -> concat(t, cast((20 - {_luhn("concat(t, '0')")} % 10 + {_luhn('canonical')} % 10) % 10 AS string)))[0]"""
+    padded = "array_join(transform(split(canonical, '[.]'), x -> lpad(x, 3, '0')), '')"
+    ip = f"transform(array({_permuted(padded, key)}), t -> array_join(transform(sequence(0, 3), i -> cast(cast(substr(t, 3 * i + 1, 3) AS int) AS string)), '.'))[0]"
+    return f"CASE kind WHEN 'card' THEN {card} WHEN 'ip' THEN {ip} ELSE {_permuted('canonical', key)} END"
+
+
+def resolve(values: DataFrame, key: str) -> DataFrame:
+    """(kind, canonical, core) of the distinct ``values`` (kind, canonical), with
+    distinct cores that, but for crowded layouts, are nobody's real value.
+
+    A round draws again only what still clashes. At least a fifth of a layout
+    that isn't crowded is free at any time, and the others grow, so the rounds end.
+    """
     real = stored(_real(values), "real")
-    now = stored(_drawn(values.withColumn("attempt", F.lit(0)), key), "cores-0")
-    for k in range(1, rounds + 1):
-        form = F.lower("core")
-        shared = now.groupBy("kind", form.alias("taken")).agg(F.min("canonical").alias("owner"), F.count("*").alias("n"))
-        known = shared.join(real.withColumn("real", F.lit(True)), ["kind", "taken"], "left")
-        # a clash with a real value moves all of them, one among surrogates all but the least
-        clash = known.where("n > 1 OR real").select("kind", "taken", F.when(F.col("real"), F.lit(None)).otherwise(F.col("owner")).alias("owner"))
-        again = now.withColumn("taken", form).join(clash.withColumn("hit", F.lit(True)), ["kind", "taken"], "left")
-        again = again.withColumn("move", F.coalesce(F.col("hit") & ~F.col("canonical").eqNullSafe(F.col("owner")), F.lit(False)))
-        moved = again.where("move")
-        if moved.isEmpty():
-            return now.select("kind", "canonical", "core")
-        if k == rounds:
-            raise ValueError(f"no distinct surrogates after {rounds} rounds: a type has nearly as many values as its layout allows")
-        drawn = _drawn(moved.select("kind", "canonical", (F.col("attempt") + 1).alias("attempt")), key)
-        now = stored(again.where("not move").select(*now.columns).unionByName(drawn.select(*now.columns)), f"cores-{k}")
-    return now.select("kind", "canonical", "core")
+    laid = values.withColumn("layout", F.expr(_LAYOUT))
+    used = laid.where("layout IS NOT NULL").groupBy("kind", "layout").agg(F.count("*").alias("n"), F.max(F.expr(_ROOM)).alias("room"))
+    # at most a row per kind, length, first digit and validity
+    crowded = stored(used.where(F.col("n") > CROWDED * F.col("room")).select("kind", "layout"), "crowded")
+    by_layout = laid.join(F.broadcast(crowded), ["kind", "layout"], "left_semi").select("kind", "canonical", F.expr(_crowded_core(key)).alias("core"))
+    settled = stored(by_layout, "cores")
+    rest = laid.join(F.broadcast(crowded), ["kind", "layout"], "left_anti").select("kind", "canonical", F.lit(0).alias("attempt"))
+    form = F.lower("core").alias("taken")
+    k = 0
+    while True:
+        moving = stored(_drawn(rest, key), f"drawn-{k}")
+        owners = moving.groupBy("kind", form).agg(F.min("canonical").alias("canonical"))
+        taken = real.unionByName(settled.select("kind", form))
+        good = owners.join(taken, ["kind", "taken"], "left_anti").select("kind", "canonical")
+        done = stored(moving.join(good, ["kind", "canonical"], "left_semi"), f"cores-{k}")
+        settled = settled.unionByName(done.select("kind", "canonical", "core"))
+        if k % 16 == 15:
+            settled = stored(settled, f"settled-{k}")
+        rest = moving.join(done, ["kind", "canonical"], "left_anti").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
+        if rest.isEmpty():
+            return settled
+        k += 1
 
 
 def pseudonymize(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:

@@ -13,7 +13,8 @@ A text's evidence is the sum of its entries' weights, also per word (so a
 long text needs more of it); a logistic curve turns both into a score.
 
 Lexicon, exceptions and curve are fitted on a bounded sample of the labelled
-rows (``SAMPLE`` of them, by hash) with crc32(doc_id) mod 5 other than 0. Near
+rows (``SAMPLE`` ids that have a document, and as many of their texts, by hash)
+with crc32(doc_id) mod 5 other than 0. Near
 copies in the sample, told by two min-hashes, count once, else the chance
 words of a text with many copies would look toxic. Labels, language, source
 and id are no inputs of a score.
@@ -84,6 +85,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of a bounded number of labelled rows that may be learned from, near copies once."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     usable = usable.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = usable.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # at most SAMPLE pairs of numbers
     schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("one", pa.int64()), ("two", pa.int64()), ("words", pa.list_(pa.string()))])
 
@@ -103,7 +105,10 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for least in ("one", "two"):
         kept = F.min(F.struct("doc_id", "toxic", "one", "two", "words")).alias("r")
         folded = folded.groupBy(least, "toxic").agg(kept).select("r.*")
-    return stored(folded.select("toxic", "words"), "labelled")
+    folded = stored(folded, "labelled")
+    # an id may have any number of texts: of the rows, too, SAMPLE at most; the keys alone are sorted
+    keys = folded.select("one", "toxic").orderBy(F.xxhash64("one"), "one", "toxic").limit(SAMPLE)
+    return stored(folded.join(F.broadcast(keys), ["one", "toxic"], "left_semi").select("toxic", "words"), "sample")
 
 
 def _counted(sample: DataFrame, features) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import sys
@@ -81,8 +82,70 @@ def test_collisions_are_drawn_again(spark):
     assert len(got) == 90 and len({(r.kind, r.core) for r in got}) == 90
     assert not {(r.kind, r.core) for r in got} & {(r.kind, r.canonical) for r in got}
     full = spark.createDataFrame([("phone", f"{i:01d}") for i in range(10)], "kind string, canonical string")
-    with pytest.raises(ValueError, match="as many values"):
-        surrogates.resolve(full, KEY, rounds=3)
+    got = surrogates.resolve(full, KEY).collect()
+    assert len({r.core for r in got}) == 10 and all(r.core != r.canonical for r in got)
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 1.0])
+def test_a_layout_in_use_does_not_stop_the_query(spark, share):
+    """Five-digit phone numbers, as many as `share` of all there are."""
+    n = int(100_000 * share)
+    df = spark.range(n, numPartitions=4).withColumn("text", F.format_string("call +%d %02d %02d", (F.col("id") / 10_000).cast("int") % 10, (F.col("id") % 100).cast("int"), (F.col("id") / 100).cast("int") % 100))
+    got = surrogates.pseudonymize(df, KEY).join(df.withColumnRenamed("text", "old"), "id").collect()
+    news, olds = {r.text for r in got}, {r.old for r in got}
+    assert len(got) == n == len(news) == len(olds) and all(r.text != r.old for r in got)
+    assert all(re.fullmatch(r"call \+\d \d\d \d\d", t) for t in news)
+    if share <= surrogates.CROWDED:
+        assert not news & olds  # nobody's real number while there is room
+
+
+def _feistel_free(values):
+    assert len({r.core for r in values}) == len(values) and all(r.core != r.canonical for r in values)
+
+
+def test_crowded_cards_and_addresses(spark, monkeypatch):
+    """With nothing let through as roomy, every number and address is permuted."""
+    monkeypatch.setattr(surrogates, "CROWDED", 0.0)
+    rnd = random.Random(8)
+    cards = {f"4{rnd.randrange(10 ** 12):012d}" for _ in range(400)} | {f"4{rnd.randrange(10 ** 15):015d}" for _ in range(400)}
+    ips = {".".join(str(rnd.randrange(256)) for _ in range(4)) for _ in range(400)} | {"0.0.0.0", "999.999.999.999"}
+    rows = [("card", c) for c in cards] + [("ip", i) for i in ips] + [("ssn", f"{i:09d}") for i in range(300)]
+    got = surrogates.resolve(spark.createDataFrame(rows, "kind string, canonical string"), KEY).collect()
+    assert len(got) == len(rows)
+    for kind in ("card", "ip", "ssn"):
+        _feistel_free([r for r in got if r.kind == kind])
+    for r in got:
+        if r.kind == "card":
+            assert len(r.core) == len(r.canonical) and r.core[0] == r.canonical[0] and _luhn(r.core) == _luhn(r.canonical)
+    other = {r.canonical: r.core for r in surrogates.resolve(spark.createDataFrame(rows, "kind string, canonical string"), "other").collect()}
+    assert sum(other[r.canonical] == r.core for r in got) < 10  # the permutation is the key's
+
+
+def test_rounds_against_plain_python(spark):
+    """Settled cores are kept, the least of several stays, real values are avoided."""
+    values = [("phone", f"{i:03d}") for i in range(0, 1000, 3)]
+    df = spark.createDataFrame(values, "kind string, canonical string")
+
+    def draw(pairs):
+        given = spark.createDataFrame([("phone", c, a) for c, a in pairs], "kind string, canonical string, attempt int")
+        return {r.canonical: r.core for r in surrogates._drawn(given, KEY).collect()}
+
+    real, settled, rest, attempt = {c for _, c in values}, {}, sorted(c for _, c in values), 0
+    while rest:
+        drawn, again, seen = draw([(c, attempt) for c in rest]), [], set(settled.values())
+        for c in rest:
+            if drawn[c] in real or drawn[c] in seen:
+                again.append(c)
+            else:
+                settled[c] = drawn[c]
+                seen.add(drawn[c])
+        rest, attempt = again, attempt + 1
+    assert {r.canonical: r.core for r in surrogates.resolve(df, KEY).collect()} == settled
+
+
+def test_addresses_with_leading_zeros_are_the_same_address(spark):
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(docs(spark, [(1, "at 10.1.2.3 now"), (2, "at 010.01.2.003 now")]), KEY).collect()}
+    assert got[1] == got[2] != "at 10.1.2.3 now"
 
 
 def test_clean_texts_and_columns_stay(spark):
@@ -169,6 +232,46 @@ def test_labels_of_held_out_rows_are_not_used(spark):
     assert one == two
 
 
+def test_sample_of_one_id_with_many_texts_is_bounded(spark, monkeypatch):
+    """Labels without a document take no place of the sample, and an id's texts are rows of it."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 20)
+    held = [d for d in range(2_000) if zlib.crc32(str(d).encode()) % 5]
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i)) * 2
+    rows = [(held[0], f"{name(i)} {name(i * 7)} {name(i * 3)}") for i in range(300)] + [(held[-1], "you utter clown now")]
+    labels = spark.createDataFrame([(d, int(d == held[-1])) for d in held], "doc_id long, toxic int")
+    sample = toxicity._sample(docs(spark, rows), labels).collect()
+    assert len(sample) == 20
+    few = toxicity._sample(docs(spark, [(d, f"{name(d)} {name(d * 7)}") for d in held[-20:]]), labels).collect()
+    assert len(few) == 20 and sum(r.toxic for r in few) == 1
+
+
+def test_score_against_plain_python(spark):
+    """Naive search for every entry and exception in the folded text instead of the automaton."""
+    rows, labels = _labelled(200)
+    df, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon, exceptions, beta = toxicity.train(df, lab)
+    assert lexicon
+
+    def plain(text):
+        words = [w for w in (toxicity.fold_word(w) for w in (text or "").split()) if w]
+        folded = f" {' '.join(words)} " if words else ""
+        places = lambda e: [i for i in range(len(folded)) if folded.startswith(e, i)]
+        excused = [(i, i + len(e) - 1) for e in exceptions for i in places(e)]
+        best = {}
+        for e, w in lexicon.items():
+            for i in places(e):
+                if i not in best or w > best[i][1]:
+                    best[i] = (e, w)
+        counted = [(e, w) for i, (e, w) in best.items() if not any(a <= i and i + len(e.rstrip()) <= b for a, b in excused)]
+        total = sum(w for _, w in counted)
+        x = (math.log1p(total), total / (len(words) + 20), math.log1p(len({e for e, _ in counted})))
+        return 1 / (1 + math.exp(-(beta[0] + sum(b * v for b, v in zip(beta[1:], x)))))
+
+    want = {d: plain(t) for d, t in [r[:2] for r in rows]}
+    got = {r.doc_id: r.score for r in toxicity.score(df, lab).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_toxicity_of_awkward_texts_and_without_labels(spark):
     rows = awkward()
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
