@@ -17,8 +17,12 @@ from millrun.session import checkpoint_dir
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-#: Texts may be long, so few of them travel to a Python worker at once; a submit that says otherwise holds.
-_BATCH, _BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+#: Texts may be long, so few rows and few bytes travel to a Python worker at
+#: once: (setting, Spark's default, ours). A submit that says otherwise holds.
+_BATCHES = [
+    ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+    ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,8 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def _small_batches(spark: SparkSession) -> None:
-    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
-        spark.conf.set(_BATCH, BATCH_ROWS)
+    for setting, default, ours in _BATCHES:
+        if spark.conf.get(setting, default) == default:
+            spark.conf.set(setting, ours)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
