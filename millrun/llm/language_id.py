@@ -14,10 +14,16 @@ uniform distribution over n-gram cells). Evidence for a row:
 
 The distributions behind host, domain, suffix and declaration are sums of the
 text posteriors of all rows by grouped aggregation: partial sums, so a host
-with a third of all rows is one row after the map side. Every language that at
-least ``LEAST_ROWS`` rows of the whole table declare (texts with letters) is a
-class, however rare. Its text model is counts of trigram cells over its own
-sample by hash: all of its distinct rows, or about ``SAMPLE`` where it has more.
+with a third of all rows is one row a task after the map side. A posterior is
+one array, whatever the number of classes.
+
+A class is a primary language subtag (two or three letters; what follows ``-``
+or ``_`` is region or script, so ``en-US`` is ``en``) that at least
+``LEAST_ROWS`` rows of the whole table declare (texts with letters), however
+rare. Other strings are declarations like any, but no classes. A class's text
+model is counts of trigram cells over its own sample by hash: all of its
+distinct rows, or about ``SAMPLE`` where it has more. The model has at most
+``MODEL`` numbers: ``CELLS`` cells a class, halved while classes are too many.
 
 Rejected is a row whose class is ``und`` or whose posterior is below
 ``ACCEPT``. Defined cases: a text without letters (null or empty as well) is
@@ -34,13 +40,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from .common import emit, rows_of, stored, text_of
 
 SAMPLE = 3_000  # distinct rows a language
 LEAST_ROWS = 5  # of a language in the whole table, to be a class
 CELLS = 1 << 15
+MODEL = 1 << 24  # cells x classes at most
+SUMS = 1 << 21  # numbers that a task holds of its partial sums
 TEMPER = 40
 STRENGTH = 5.0
 ACCEPT = 0.5
@@ -48,6 +56,8 @@ UND = "und"
 
 #: What makes a cell: an ASCII letter or any other character.
 _LETTER = r"[A-Za-z]|[^\x00-\x7F]"
+#: The primary subtag of a well-formed language tag.
+_SUBTAG = r"^\s*([a-z]{2,3})(?:[-_].*)?\s*$"
 #: ASCII that is no letter becomes blank.
 _LETTERS_ONLY = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -59,106 +69,173 @@ def cells(text: str) -> np.ndarray:
     return (code[data[1:-1] != 32] * np.uint32(2654435761)) >> np.uint32(32 - 15)
 
 
+def _halvings(classes: int) -> int:
+    """How often the cells are halved for a model of so many classes."""
+    times = 0
+    while (CELLS >> times) * classes > MODEL and CELLS >> times > 1:
+        times += 1
+    return times
+
+
+def log_likelihood(found: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """The mean log probability of the cells under each class, a bounded slice at a time."""
+    at = found >> np.uint32((CELLS // len(logs)).bit_length() - 1)
+    step = max(1, (1 << 18) // logs.shape[1])
+    return sum(logs[at[i : i + step]].sum(axis=0) for i in range(0, len(at), step)) / len(at)
+
+
 def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """The classes, and log probabilities (CELLS x classes), ``und`` last."""
-    known = rows.select(F.lower(lang_col).alias("lang"), text_of(text_col).alias("text"), F.xxhash64(id_col, text_of(text_col)).alias("row"))
-    known = known.where(F.col("lang").isNotNull() & (F.col("lang") != UND) & F.col("text").rlike(_LETTER))
+    """The classes, and log probabilities (cells x classes), ``und`` last."""
+    known = rows.select(F.regexp_extract(F.lower(lang_col), _SUBTAG, 1).alias("lang"), text_of(text_col).alias("text"), F.xxhash64(id_col, text_of(text_col)).alias("row"))
+    known = known.where((F.col("lang") != "") & (F.col("lang") != UND) & F.col("text").rlike(_LETTER))
     # rows tell the classes; distinct rows (within a few per cent) the share of the hashes that a class samples
     classes = known.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("row").alias("distinct")).where(F.col("rows") >= LEAST_ROWS)
     shares = classes.select("lang", F.least(F.lit(1.0), 1.2 * SAMPLE / F.col("distinct")).alias("share"))
     at = F.pmod(F.xxhash64("row"), F.lit(1 << 30)) / (1 << 30)
+    # a row a class: 26^2 + 26^3 at most
     sample = known.join(F.broadcast(shares), "lang").where(at < F.col("share")).dropDuplicates(["lang", "row"])
+    sample = stored(sample.select("lang", "text"), "language-sample")
+    langs = sorted(r.lang for r in sample.select("lang").distinct().collect())
+    halvings = _halvings(len(langs) + 1)
+    width = CELLS >> halvings
     schema = pa.schema([("lang", pa.string()), ("cell", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in batches:  # sums of a batch: what is held does not grow with the classes
+            seen: dict[str, list[np.ndarray]] = {}
             for lang, text in rows_of(batch, "lang", "text"):
-                seen[lang] = seen.get(lang, 0) + np.bincount(cells(text), minlength=CELLS)
-        for lang, counts in seen.items():
-            at = np.flatnonzero(counts)
-            yield emit(schema, [[lang] * len(at), at.tolist(), counts[at].tolist()])
-
-    counted = sample.select("lang", "text").mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()  # at most CELLS rows a language
-    lang, cell, n = (found.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "cell", "n"))
-    langs = sorted(set(lang))
-    counts = np.full((CELLS, len(langs)), 0.01)
-    for k, name in enumerate(langs):
-        own = lang == name
-        counts[cell[own], k] += n[own]
+                seen.setdefault(lang, []).append(cells(text) >> np.uint32(halvings))
+            for lang, found in seen.items():
+                at, counts = np.unique(np.concatenate(found), return_counts=True)
+                yield emit(schema, [[lang] * len(at), at.tolist(), counts.tolist()])
+
+    counted = sample.mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    counts = np.full((width, len(langs)), 0.01)
+    place = {lang: k for k, lang in enumerate(langs)}
+    for batch in counted.toArrow().to_batches():  # at most MODEL rows
+        lang = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
+        counts[batch.column(1).to_numpy(), lang] += batch.column(2).to_numpy()
     logs = np.log(counts / counts.sum(axis=0)) if langs else counts
-    return [*langs, UND], np.column_stack([logs, np.full(CELLS, -np.log(CELLS))])
+    return [*langs, UND], np.column_stack([logs, np.full(width, -np.log(width))])
 
 
-def _scored(rows: DataFrame, model: tuple[list[str], np.ndarray], carry: list[str]) -> DataFrame:
-    """The carried columns, host, declared, n (trigrams) and the text's posterior q0, q1, ... over the classes."""
-    classes, logs = model
-    count = len(classes)
-    out = StructType([rows.schema[c] for c in carry]).add("__host", "string").add("__declared", "string").add("__n", "long")
-    for k in range(count):
-        out = out.add(f"__q{k}", DoubleType())
+def _posterior(text: str, logs: np.ndarray) -> tuple[int, np.ndarray]:
+    """The text's trigrams and its posterior over the classes; all alike without any."""
+    found, count = cells(text), logs.shape[1]
+    if not len(found):
+        return 0, np.full(count, 1.0 / count)
+    z = log_likelihood(found, logs) * min(len(found), TEMPER)
+    z = np.exp(z - z.max())
+    return len(found), z / z.sum()
+
+
+def _scored(given: DataFrame, logs: np.ndarray, carry: list[str]) -> DataFrame:
+    """The carried columns, host, declared, n (trigrams) and q, the text's posterior over the classes."""
+    out = StructType([given.schema[c] for c in carry]).add("__host", "string").add("__declared", "string").add("__n", "long").add("__q", ArrayType(DoubleType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # few rows at a time where the classes are many
+            step = max(1, (1 << 18) // logs.shape[1])
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                found = [_posterior(text, logs) for (text,) in rows_of(part, "__text")]
+                kept = [f.name for f in part.schema if f.name != "__text"]
+                q = pa.ListArray.from_arrays(np.arange(0, (len(found) + 1) * logs.shape[1], logs.shape[1], dtype=np.int32), np.concatenate([q for _, q in found]))
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array([n for n, _ in found], pa.int64()), q], names=[*kept, "__n", "__q"])
+
+    return given.select(*carry, "__host", "__declared", "__text").mapInArrow(run, out)
+
+
+_PAIR = pa.schema([("__host", pa.string()), ("__declared", pa.string()), ("s", pa.list_(pa.float64()))])
+
+
+def _summed(given: DataFrame, logs: np.ndarray) -> DataFrame:
+    """(host, declared, s): a task's sums of the posteriors of texts with
+    letters, and last their number. What a task holds is bounded."""
+    most = max(1, SUMS // (logs.shape[1] + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.string()), pa.array(list(held.values()), pa.list_(pa.float64()))], schema=_PAIR)
+
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            q = np.full((batch.num_rows, count), 1.0 / count)
-            for i, (text,) in enumerate(rows_of(batch, "__text")):
-                found = cells(text)
-                n[i] = len(found)
-                if n[i]:
-                    z = logs[found].mean(axis=0) * min(n[i], TEMPER)
-                    z = np.exp(z - z.max())
-                    q[i] = z / z.sum()
-            kept = [f for f in batch.schema if f.name != "__text"]
-            columns = [batch.column(f.name) for f in kept] + [pa.array(n)] + [pa.array(q[:, k]) for k in range(count)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + ["__n"] + [f"__q{k}" for k in range(count)])
+            for host, declared, text in rows_of(batch, "__host", "__declared", "__text"):
+                n, q = _posterior(text, logs)
+                if n:
+                    q = np.append(q, 1.0)
+                    held[host, declared] = held[host, declared] + q if (host, declared) in held else q
+                    if len(held) >= most:
+                        yield out()
+                        held = {}
+        if held:
+            yield out()
 
-    return rows.select(*carry, "__host", "__declared", "__text").mapInArrow(run, out)
+    return given.select("__host", "__declared", "__text").mapInArrow(run, "__host string, __declared string, s array<double>")
 
 
-def _sums(df: DataFrame, key: str, prefix: str, count: int, source: str = "__q", n: Column | None = None) -> DataFrame:
-    return df.groupBy(key).agg(*[F.sum(f"{source}{k}").alias(f"{prefix}{k}") for k in range(count)], F.sum(n if n is not None else F.lit(1)).alias(f"{prefix}n"))
+def _added(df: DataFrame, keys: list[str], name: str, source: str = "s") -> DataFrame:
+    """The arrays ``source`` added up by ``keys``: each element is a partial aggregate."""
+    element = df.select(*keys, F.posexplode(source).alias("k", "x")).groupBy(*keys, "k").agg(F.sum("x").alias("x"))
+    whole = element.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias(name))  # an element a class
+    return whole.withColumn(name, F.transform(name, lambda e: e["x"]))
 
 
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text: Column, host: Column, declared: Column, carry: list[str], names: tuple[str, str, str] = ("language", "posterior", "accepted")) -> DataFrame:
     """The carried columns of every row with its language, posterior and whether it is accepted, under ``names``."""
-    classes = model[0]
+    classes, logs = model
     count = len(classes)
     given = rows.withColumns({"__text": F.coalesce(text.cast("string"), F.lit("")), "__host": F.lower(host.cast("string")), "__declared": F.lower(declared.cast("string"))})
-    scored = _scored(given, model, carry)
-    texts = _scored(given, model, []).where("__n > 0")  # a text without letters tells nothing of its host
+    scored = _scored(given, logs, carry)  # a text without letters tells nothing of its host
 
     # one row a (host, declaration); all four distributions come from it
-    pairs = stored(texts.groupBy("__host", "__declared").agg(*[F.sum(f"__q{k}").alias(f"__q{k}") for k in range(count)], F.count("*").alias("__n")), "evidence")
-    total = pairs.agg(*[F.sum(f"__q{k}").alias(f"t{k}") for k in range(count)], F.sum("__n").alias("tn")).first()
-    hosts = _sums(pairs.where("__host is not null"), "__host", "h", count, n=F.col("__n"))
+    pairs = stored(_added(_summed(given, logs), ["__host", "__declared"], "s"), "evidence")
+    total = [0.0] * (count + 1)
+    for r in pairs.select(F.posexplode("s").alias("k", "x")).groupBy("k").agg(F.sum("x").alias("x")).collect():  # a row a class
+        total[r.k] = r.x
+    hosts = _added(pairs.where("__host is not null"), ["__host"], "__h")
     hosts = hosts.withColumns({"__domain": F.regexp_extract("__host", r"([^.]+\.)?[^.]+$", 0), "__suffix": F.regexp_extract("__host", r"[^.]+$", 0)})
-    domains, suffixes = (_sums(hosts, key, prefix, count, source="h", n=F.col("hn")) for key, prefix in (("__domain", "d"), ("__suffix", "s")))
-    hosts = stored(hosts.join(domains, "__domain").join(suffixes, "__suffix").drop("__domain", "__suffix"), "hosts")
-    said = stored(_sums(pairs.where("__declared is not null"), "__declared", "e", count, n=F.col("__n")), "declared")
+    hosts = stored(hosts, "hosts")
+    domains, suffixes = (_added(hosts, [key], name, "__h") for key, name in (("__domain", "__d"), ("__suffix", "__s")))
+    hosts = stored(hosts.join(domains, "__domain").join(suffixes, "__suffix").drop("__domain", "__suffix"), "priors")
+    said = stored(_added(pairs.where("__declared is not null"), ["__declared"], "__e"), "declared")
     kinds = max(1, said.count())
 
     joined = scored.join(hosts, "__host", "left").join(said, "__declared", "left")
     real = F.col("__n") > 0
-
-    def level(prefix: str, k: int, parent: Column) -> Column:
-        own = F.when(real, F.col(f"__q{k}")).otherwise(0.0)
-        rest = F.greatest(F.col(f"{prefix}{k}") - own, F.lit(0.0))
-        many = F.col(f"{prefix}n") - real.cast("int")
-        return F.when(F.col(f"{prefix}n").isNull(), parent).otherwise((rest + STRENGTH * parent) / (many + STRENGTH))
-
-    def weight(k: int) -> Column:
-        own = F.when(real, F.col(f"__q{k}")).otherwise(0.0)
-        others = F.greatest(F.lit(float(total[f"t{k}"] or 0.0)) - own, F.lit(0.0))
-        everything = (others + 1) / (F.lit(int(total["tn"] or 0)) - real.cast("int") + count)
-        prior = level("h", k, level("d", k, level("s", k, everything)))
-        saying = (F.greatest(F.col(f"e{k}") - own, F.lit(0.0)) + STRENGTH / kinds) / (others + STRENGTH)
-        return F.col(f"__q{k}") * prior * F.when(F.col("en").isNull(), 1.0).otherwise(saying)
-
-    weighed = joined.withColumns({f"__w{k}": weight(k) for k in range(count)})
-    best = F.greatest(*[F.struct(F.col(f"__w{k}").alias("w"), F.lit(c).alias("c")) for k, c in enumerate(classes)]) if count > 1 else F.struct(F.col("__w0").alias("w"), F.lit(UND).alias("c"))
-    whole = sum((F.col(f"__w{k}") for k in range(1, count)), F.col("__w0"))
+    every = F.sequence(F.lit(0), F.lit(count - 1))
+    totals = F.split(F.lit(",".join(map(repr, total))), ",").cast("array<double>")
+
+    def own(k: Column) -> Column:
+        return F.when(real, F.get("__q", k)).otherwise(0.0)
+
+    def level(name: str, parent: Column) -> Column:
+        """An array over the classes, as its parent."""
+        rest = F.transform(every, lambda k: F.greatest(F.get(name, k) - own(k), F.lit(0.0)))
+        many = F.get(name, F.lit(count)) - real.cast("int")
+        return F.when(F.col(name).isNull(), parent).otherwise(F.zip_with(rest, parent, lambda r, p: (r + STRENGTH * p) / (many + STRENGTH)))
+
+    def others(k: Column) -> Column:
+        return F.greatest(F.get(totals, k) - own(k), F.lit(0.0))
+
+    def everywhere(k: Column) -> Column:
+        return (others(k) + 1) / (F.lit(total[count]) - real.cast("int") + count)
+
+    def saying(k: Column) -> Column:
+        told = (F.greatest(F.get("__e", k) - own(k), F.lit(0.0)) + STRENGTH / kinds) / (others(k) + STRENGTH)
+        return F.when(F.col("__e").isNull(), 1.0).otherwise(told)
+
+    # each step of the hierarchy is an array of its own, from the root down
+    prior = joined.withColumn("__p", F.transform(every, everywhere))
+    for name in ("__s", "__d", "__h"):
+        prior = prior.withColumn("__p", level(name, F.col("__p")))
+    said_so = F.transform(every, lambda k: F.get("__q", k) * saying(k))
+    weighed = prior.withColumn("__w", F.zip_with(said_so, F.col("__p"), lambda told, p: told * p))
+    names_of = F.split(F.lit(",".join(classes)), ",")
+    best = F.array_max(F.transform("__w", lambda w, k: F.struct(w.alias("w"), F.get(names_of, k).alias("c"))))
+    whole = F.aggregate("__w", F.lit(0.0), lambda a, w: a + w)
     named = weighed.withColumns({"__best": best, "__whole": whole})
     language = F.when(real, F.col("__best.c")).otherwise(UND)
     posterior = F.when(real, F.round(F.try_divide(F.col("__best.w"), F.col("__whole")), 6)).otherwise(1.0)

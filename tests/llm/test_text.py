@@ -424,3 +424,27 @@ def test_a_secret_that_is_its_label_and_short_names(spark):
     assert a == b != "Петров" and a.endswith("ов") and first != "Антон"
     news = {got[i] for i in range(100, 125)}
     assert len(news) == 25 and all(t.endswith(f" {last}") for t in news) and f"Mr {john} {last}" not in news
+
+
+def test_thousands_of_declared_strings_and_many_languages(spark, monkeypatch):
+    """Strings that are no tags are no classes, tags differ by their primary
+    subtag only, and the model keeps its bound however many languages there are."""
+    rnd = random.Random(5)
+    rows = _texts(400)
+    rows = [(i, text, lang if i % 2 else f"{lang.upper()}-XX", source, 0) for i, text, lang, source, _ in rows]
+    rows += [(10_000 + i, "der die das", f"no tag {i % 5000}", f"src{i % 7}", 0) for i in range(25_000)]
+    df = docs(spark, rows).repartition(8)
+    model = language_id.train(df)
+    assert model[0] == [*sorted(WORDS), "und"]
+    got = language_id.identify(df, model, F.col("text"), F.col("source"), F.col("lang"), ["doc_id"])
+    assert got.where("doc_id < 10000").count() == 400 and got.where("doc_id >= 10000 and language = 'de'").count() == 25_000
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    tags = ["q" + a + b for a in letters for b in letters[:8]]
+    many = [(i, " ".join(f"{tag}{rnd.choice('xyz')}" for _ in range(12)), tag, None, 0) for i, tag in enumerate(t for t in tags for _ in range(6))]
+    monkeypatch.setattr(language_id, "MODEL", 1 << 18)
+    df = docs(spark, many).repartition(4)
+    classes, logs = language_id.train(df)
+    assert classes == [*tags, "und"] and logs.size <= 1 << 18 and len(logs) == 1 << 10
+    found = {r.doc_id: r.language for r in language_id.of_documents(df, ["doc_id"]).collect()}
+    assert sum(found[r[0]] == r[2] for r in many) > 0.9 * len(many)
