@@ -23,6 +23,8 @@ from millrun.plans.jobs import e1_equipment_logs
 from millrun.session import checkpoint_dir
 from millrun.sources.tables import read_table, stream_table
 from millrun.streaming.ordered import enrich_asof_stream
+from millrun.streaming.stateful import unique_part_stream
+from millrun.streaming.state_reader import keyed_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +66,19 @@ def q_unique_part(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(F.col("seq").alias("event_id"), "part_id", "mdate")
 
 
+def q_unique_part_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The state that the unique-part stream keeps per part, read from its
+    checkpoint once the stream has run over all events."""
+    e = stream_table(spark, sf, "events")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("mday")
+    logs = e.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("part_id"), day)
+    out = unique_part_stream(logs, "part_id", "mday", "seq", cleanup=False)
+    root = f"{checkpoint_dir(spark)}/part-state-{uuid.uuid4().hex}"
+    run = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state")
+    run.trigger(availableNow=True).start().awaitTermination()
+    return keyed_state(spark, f"{root}/state").select("part_id", "last_day")
+
+
 def q_unique_part_first(spark: SparkSession, sf: str) -> DataFrame:
     out = parts.unique_part_per_day(_manufacture_logs(spark, sf), "part_id", "mdate", "seq", mode="distinct")
     return out.select(F.col("seq").alias("event_id"), "part_id", "mdate")
@@ -393,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "q_fact_topics": q_fact_topics,
     "q_unique_part": q_unique_part,
     "q_unique_part_first": q_unique_part_first,
+    "q_unique_part_state": q_unique_part_state,
     "q_daily_parts": q_daily_parts,
     "q_interval_join_5s": q_interval_join_5s,
     "q_interval_join_1h": q_interval_join_1h,

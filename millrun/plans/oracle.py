@@ -174,6 +174,8 @@ WHERE rn > 1""",
     "q_unique_part": _MLOG + """,
 l AS (SELECT *, lag(mdate) OVER (PARTITION BY part_id ORDER BY event_id) AS prev FROM m)
 SELECT event_id, part_id, mdate FROM l WHERE prev IS NULL OR prev <> mdate""",
+    "q_unique_part_state": _MLOG + """
+SELECT part_id, strftime(arg_max(mdate, event_id), '%Y-%m-%d') AS last_day FROM m GROUP BY part_id""",
     "q_unique_part_first": _MLOG + """,
 r AS (SELECT *, row_number() OVER (PARTITION BY part_id, mdate ORDER BY event_id) AS rn FROM m)
 SELECT event_id, part_id, mdate FROM r WHERE rn = 1""",
