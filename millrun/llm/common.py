@@ -74,11 +74,14 @@ class Memo(dict):
             value = self.make(key)
             if len(key) > self.longest:
                 return value
+        self.remember(key, value)
+        return value
+
+    def remember(self, key, value) -> None:
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def uncollected(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import emit, rows_of, stored, text_of, uncollected
+from .common import emit, stored, text_of, uncollected
 from .tokens import file_encoder, packed
 
 PER_PARTITION = 50_000
@@ -46,8 +46,10 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame
         encode, end = file_encoder(tokenizer), packed([end_id])
         for batch in batches:
             out: list[list] = [[] for _ in _PIECES]
-            for doc, text in rows_of(batch, "doc_id", "text"):
-                data = encode(text) + end
+            doc_ids, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            ids, ends = encode.batch(texts)
+            for doc, a, b in zip(doc_ids.to_pylist(), ends.tolist(), ends[1:].tolist()):
+                data = ids[a:b].tobytes() + end
                 n = len(data) // 4
                 first = n - (n - 1) // size * size  # of a longer one, the rest goes first
                 at, k = 0, 0

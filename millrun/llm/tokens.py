@@ -11,11 +11,15 @@ from __future__ import annotations
 import functools
 import json
 import re
+import string
 import sys
 from array import array
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import Memo
 
@@ -27,10 +31,8 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 
 #: Letters below are letters to every library; such a word is one piece.
 _LATIN = "\u0250"
-
-
-class _Unsafe(Exception):
-    """A text that can't be cut at each of its spaces."""
+#: A run of these is one piece (an apostrophe may open one with the letters after it).
+_MARKS = "".join(c for c in string.punctuation if c != "'")
 
 
 def packed(ids: list[int]) -> bytes:
@@ -40,47 +42,178 @@ def packed(ids: list[int]) -> bytes:
     return a.tobytes()
 
 
+_COUNT_BITS = 31
+_COUNT = (1 << _COUNT_BITS) - 1
+
+
 class SpacedEncoder:
     """Ids of a text whose pattern lets a piece take the one space before it.
 
     A single space between two non-space characters always opens a piece, so
     the text is cut there. A text with other white space next to a space is
-    split by the pattern as a whole.
+    split by the pattern as a whole. ``encode_pieces`` encodes many pieces at
+    once: their ids one after another, and the start and count of each.
+
+    The ids of words met before lie in one array (``flat``), ``at`` has a word's
+    place there: its start, and in the low bits its count. Of ``LIMIT`` words
+    and more, those not asked for lately are forgotten.
     """
 
-    def __init__(self, encode_piece: Callable[[str], list[int]], pattern: str = BYTE_PATTERN, value=packed, joined=b"".join) -> None:
+    LIMIT, LONGEST = 250_000, 48
+
+    def __init__(self, encode_piece: Callable[[str], list[int]], pattern: str = BYTE_PATTERN, encode_pieces: Callable[[list[str]], tuple] | None = None) -> None:
         import regex
 
-        self.split, self.value, self.joined = regex.compile(pattern).findall, value, joined
-        self.encode = lambda piece: value(encode_piece(piece))
-        self.pieces = Memo(self.encode, 250_000)
-        self.words = Memo(self._word, 250_000)
+        self.split, self.encode_pieces = regex.compile(pattern).findall, encode_pieces or one_by_one(encode_piece)
+        self.pieces = Memo(lambda piece: packed(encode_piece(piece)), self.LIMIT, self.LONGEST)
+        self.at: dict[str, int] = {}
+        self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        self.old, self.old_flat = self.at, self.flat
 
-    def _pieces(self, text: str):
-        return self.joined([self.pieces[p] for p in self.split(text)])
-
-    def _word(self, word: str):
-        """What `` word`` gives. Fails where the cut before or after it is not safe."""
-        if word.isalpha() and max(word) < _LATIN:
-            return self.encode(" " + word)  # one piece, remembered as a word
-        stem = word[:-1]
-        if stem.isalpha() and word[-1] in ".,;:!?" and max(stem) < _LATIN:
-            return self.joined([self.words[stem], self.pieces[word[-1]]])
-        if not word or word[0].isspace() or word[-1].isspace() or _ODD.search(word):
-            raise _Unsafe
-        return self._pieces(" " + word)
-
-    def __call__(self, text: str):
-        first, _, rest = text.partition(" ")
-        if not rest or not first or first[-1].isspace() or _ODD.search(first):
-            return self._pieces(text)
-        words = self.words
-        try:
-            parts = [words[w] for w in rest.split(" ")]
-        except _Unsafe:
-            return self._pieces(text)
-        parts.insert(0, self._pieces(first))
-        return self.joined(parts)
+    def __call__(self, text: str) -> bytes:
+        return self.batch(pa.array([text], pa.string()))[0].tobytes()
+
+    def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts of a column one after another, and where each text's begin and end.
+        Each different word is looked up once."""
+        if len(self.at) >= self.LIMIT or self.used >= 32 * self.LIMIT:
+            self.old, self.old_flat = self.at, self.flat
+            self.at, self.flat, self.used = {}, np.empty(1 << 16, "<u4"), 0
+        cut = pc.split_pattern(column.cast(pa.string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        of, ends = coded.indices.to_numpy(), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        later = np.ones(len(of), bool)  # a text's first word has no space before it
+        later[ends[:-1]] = False
+        asked = np.zeros(len(different), bool)
+        asked[of[later]] = True
+        firsts = [different[k] for k in of[ends[:-1]].tolist()]
+        self._learn_pieces([w for w in firsts if w.isalpha()])
+        place = np.full(len(different), -1)
+        place[asked] = self._places([w for w, yes in zip(different, asked.tolist()) if yes])
+        bad = np.concatenate(([0], np.cumsum((place[of] < 0) & later)))
+        plain = (bad[ends[1:]] > bad[ends[:-1]]).tolist()
+        place = place[of]
+        alone, at = [], self.used  # what follows the words' ids
+        for row, (first, a, b) in enumerate(zip(firsts, ends.tolist(), ends[1:].tolist())):
+            if plain[row] or b - a == 1 or not first or first[-1].isspace() or _ODD.search(first):
+                ids = self._whole(column[row].as_py())
+                place[a + 1 : b] = 0
+            else:
+                ids = self._whole(first)
+            alone.append(ids)
+            place[a] = at << _COUNT_BITS | len(ids) // 4
+            at += len(ids) // 4
+        flat = np.concatenate((self.flat[: self.used], np.frombuffer(b"".join(alone), "<u4")))
+        ids, upto = _gathered(flat, place)
+        return ids, np.concatenate(([0], upto))[ends]
+
+    def _whole(self, text: str) -> bytes:
+        pieces = self.split(text)
+        if len(pieces) > 1:
+            self._learn_pieces(pieces)
+        return b"".join([self.pieces[p] for p in pieces])
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        new = [p for p in dict.fromkeys(pieces) if len(p) <= self.LONGEST and p not in self.pieces and p not in self.pieces.old]
+        if len(new) > 1:
+            flat, starts, counts = self.encode_pieces(new)
+            data = flat.astype("<u4").tobytes()
+            for piece, a, n in zip(new, starts.tolist(), counts.tolist(), strict=True):
+                self.pieces.remember(piece, data[4 * a : 4 * (a + n)])
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The place of what each `` word`` gives, -1 where a cut before or after it is not safe."""
+        place = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(place < 0).tolist()
+        if new:
+            self._learn([words[k] for k in new])
+            place[new] = [self.extra.pop(words[k], -1) if (p := self.at.get(words[k])) is None else p for k in new]
+        return place
+
+    def _learn(self, words: list[str]) -> None:
+        self.extra: dict[str, int] = {}  # long words: not remembered
+        before = np.fromiter(map(self.old.get, words, repeat(-1)), np.int64, len(words))
+        known = np.flatnonzero(before >= 0)
+        ids, upto = _gathered(self.old_flat, before[known])
+        counts = before[known] & _COUNT
+        self._append([words[k] for k in known.tolist()], ids, upto - counts, counts)
+        letters: dict[str, None] = {}  # words of one piece
+        others: list[tuple[str, str, list[str]]] = []  # a word, its letters, the pieces after them
+        bare: list[str] = []
+        for k in np.flatnonzero(before < 0).tolist():
+            word = words[k]
+            if word.isalpha() and max(word) < _LATIN:
+                letters[word] = None
+                continue
+            line, _, rest = word.partition("\n")  # the end of a line opens a piece
+            stem = line.rstrip(_MARKS)
+            if not (stem.isalpha() and max(stem) < _LATIN):
+                stem, rest, tail = "", "", word
+            else:
+                tail = word[len(stem) :]
+                if word[-1].isspace() or (rest and rest[0].isspace()) or _ODD.search(rest):
+                    continue
+                if stem not in self.at:
+                    letters[stem] = None
+            if not stem and (not word or word[0].isspace() or word[-1].isspace() or _ODD.search(word)):
+                continue
+            if stem and len(line) == len(word):
+                pieces = [tail]  # a run of marks
+            else:
+                pieces = self.split(tail if stem else " " + word)
+                bare += pieces
+            others.append((word, stem, pieces))
+        ones = [w for w in letters if w not in self.at]
+        if ones:
+            self._append(ones, *self.encode_pieces([" " + w for w in ones]))
+        if others:
+            self._learn_pieces(bare)
+            values = []
+            for word, stem, pieces in others:
+                data = b"".join([self.pieces[p] for p in pieces])
+                if stem:
+                    at = self.at.get(stem, -1)
+                    at = self.extra[stem] if at < 0 else at
+                    start = at >> _COUNT_BITS
+                    data = self.flat[start : start + (at & _COUNT)].tobytes() + data
+                values.append(data)
+            counts = np.fromiter(map(len, values), np.int64, len(values)) // 4
+            self._append([o[0] for o in others], np.frombuffer(b"".join(values), "<u4"), np.cumsum(counts) - counts, counts)
+
+    def _append(self, words: list[str], flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
+        need = self.used + len(flat)
+        if need > len(self.flat):
+            self.flat = np.concatenate((self.flat[: self.used], np.empty(need, "<u4")))
+        self.flat[self.used : need] = flat
+        places = ((starts + self.used) << _COUNT_BITS | counts).tolist()
+        self.used = need
+        self.at.update(zip(words, places, strict=True))
+        if max(map(len, words), default=0) > self.LONGEST:
+            for word in words:
+                if len(word) > self.LONGEST:
+                    self.extra[word] = self.at.pop(word)
+
+
+def _gathered(flat: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids at each place one after another, and where those of each end."""
+    counts = place & _COUNT
+    upto = np.cumsum(counts)
+    total = int(upto[-1]) if len(upto) else 0
+    return flat[np.repeat((place >> _COUNT_BITS) - (upto - counts), counts) + np.arange(total)], upto
+
+
+def one_by_one(encode_piece: Callable[[str], list[int]]) -> Callable[[list[str]], tuple]:
+    def encode_pieces(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids: list[int] = []
+        ends = []
+        for piece in pieces:
+            ids += encode_piece(piece)
+            ends.append(len(ids))
+        starts = np.array([0, *ends[:-1]], np.int64)
+        return np.array(ids, "<u4"), starts, np.array(ends, np.int64) - starts
+
+    return encode_pieces
 
 
 class WordEncoder:
@@ -115,6 +248,10 @@ class WordEncoder:
         words = self.words
         return b"".join([words[w] for w in text.split()])
 
+    def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self(text) for text in column.to_pylist()]
+        return np.frombuffer(b"".join(parts), "<u4"), np.cumsum([0, *map(len, parts)]) // 4
+
 
 def _byte_letters() -> dict[int, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary:

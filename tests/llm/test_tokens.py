@@ -204,3 +204,30 @@ def test_rounds_are_as_wide_as_the_open_pieces_need(spark, libraries, monkeypatc
     used = _valid(rows, got, libraries[BYTE], 64, 0)
     assert len(widths) > 1 and all(n <= pools * 50 for n, pools in widths), widths
     assert used <= len(packing.best_fit_decreasing(np.array([r.length for r in got]), 64)[2]) * 1.03
+
+
+def _batched(encoder, texts, rows=50):
+    import pyarrow as pa
+
+    out = []
+    for at in range(0, len(texts), rows):
+        ids, ends = encoder.batch(pa.array(texts[at : at + rows], pa.string()))
+        out += [ids[a:b].tolist() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+    return out
+
+
+def test_columns_of_texts_equal_the_libraries(libraries):
+    texts = _random_texts(1_500)
+    texts += [t.replace(" ", " word.\nNext ") for t in texts[::3]] + ["is.&&& un%%% it's.\n's a!\n", "x" * 60 + ". " + "x" * 60 + " y " + "x" * 60, " ", "", "a  b"]
+    for encoder, want in ((byte_bpe._encoder(RANKS)[1], libraries["tiktoken"]), (tokens.file_encoder(BYTE), libraries[BYTE])):
+        for limit in (encoder.LIMIT, 40):  # with the small one, words are forgotten and met again
+            encoder.LIMIT = limit
+            assert _batched(encoder, texts) == [want(t) for t in texts]
+        del encoder.LIMIT
+
+
+def test_each_word_of_a_column_is_encoded_once():
+    asked = []
+    encoder = tokens.SpacedEncoder(lambda piece: asked.append(piece) or [len(piece)])
+    _batched(encoder, ["the cat sat, the cat", "a cat sat"] * 20)
+    assert sorted(asked) == [" cat", " sat", " the", ",", "a", "the"]
