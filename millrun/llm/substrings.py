@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,7 +229,7 @@ def _stand_twice(words: list[np.ndarray], window: int) -> tuple[np.ndarray, np.n
         h = h * _M + flat[j : j + n]
     whole = np.flatnonzero(of[:n] == of[window - 1 : window - 1 + n])
     h = _mixed(h)[whole]
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     same = h[order][1:] == h[order][:-1]
     twice = np.zeros(len(h), bool)
     twice[order[1:][same]] = twice[order[:-1][same]] = True
@@ -276,24 +277,30 @@ def _search(window: int):
         size = 0
 
         def shard(rows: list[tuple]) -> pa.RecordBatch:
-            doc, tie, start = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-            ends = np.cumsum([len(r[4]) for r in rows])[:-1]
-            return repeated_windows(doc, tie, start, np.split(word_hashes([w for r in rows for w in r[4]]), ends), window)
+            doc, tie, start, many = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3, 5))
+            words, ends = _numbered([r[4] for r in rows]), np.cumsum(many).tolist()
+            return repeated_windows(doc, tie, start, [words[a:b] for a, b in zip([0, *ends], ends)], window)
 
         for batch in batches:  # sorted by key; a shard takes whole keys
-            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("key", "doc", "tie", "start", "words")]
+            columns = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).tolist() for c in ("key", "doc", "tie", "start", "words")]
             for key, doc, tie, start, words in zip(*columns, strict=True):
                 if size >= _CHUNK and key != held[-1][0]:
                     yield shard(held)
                     held, size = [], 0
-                held.append((key, doc, tie, start, words.split()))
-                size += len(held[-1][4])
+                held.append((key, doc, tie, start, words, words.count(b" ") + 1))
+                size += held[-1][5]
         if held:
             yield shard(held)
 
     return run
 
 
+def _numbered(segments: list[bytes]) -> np.ndarray:
+    """The words of all segments, equal numbers for equal words."""
+    joined = pa.array([b" ".join(segments)], pa.large_binary())
+    return pc.split_pattern(joined, " ").flatten().dictionary_encode().indices.to_numpy().astype(np.uint64)
+
+
 def _place_of(id_col: str, text_col: str, seed: int = 1, doc: str = "doc", tie: str = "tie") -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias(doc), F.xxhash64(F.lit(seed), text_of(text_col)).alias(tie)]
 

@@ -242,3 +242,12 @@ def test_only_windows_that_stand_twice_reach_the_index():
             seen.setdefault(tuple(w[i : i + 3].tolist()), []).append((s, i))
     assert got == {p for places in seen.values() if len(places) > 1 for p in places}
     assert all(not len(x) for x in substrings._stand_twice([np.arange(2, dtype=np.uint64)], 3))
+
+
+def test_words_of_a_shard_are_numbered_without_hashes():
+    """Equal words have equal numbers, different words different ones, whatever their hashes."""
+    segments = ["the cat sat".encode(), "é the".encode(), b"cat", "sat \x00 the cat 漢".encode()]
+    words = [w for s in segments for w in s.split(b" ")]
+    got = substrings._numbered(segments).tolist()
+    assert len(got) == len(words) and dict(zip(words, got)) == {w: n for w, n in zip(words, got)}
+    assert [[a == b for b in got] for a in got] == [[a == b for b in words] for a in words]
