@@ -231,3 +231,11 @@ def test_each_word_of_a_column_is_encoded_once():
     encoder = tokens.SpacedEncoder(lambda piece: asked.append(piece) or [len(piece)])
     _batched(encoder, ["the cat sat, the cat", "a cat sat"] * 20)
     assert sorted(asked) == [" cat", " sat", " the", ",", "a", "the"]
+
+
+def test_many_trees_at_once_equal_the_library(libraries):
+    bpe, rnd = byte_bpe.SegmentTreeBpe(RANKS), random.Random(5)
+    sizes = (1, 2, 3, 4, 5, 8, 9, 15, 16, 17, 32, 33, 63, 64, 65, 200)
+    pieces = ["".join(rnd.choice("abtheinsér") for _ in range(rnd.choice(sizes))) for _ in range(6_000)]
+    flat, starts, counts = bpe.encode_pieces(pieces)
+    assert [flat[a : a + n].tolist() for a, n in zip(starts.tolist(), counts.tolist())] == [libraries["tiktoken"](p) for p in pieces]
