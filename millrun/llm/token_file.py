@@ -101,8 +101,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
         frames: list = []
         offsets = [0]
         for batch in batches:
-            for doc, text in rows_of(batch, "doc_id", "text"):
-                data = encode(text) + end
+            docs, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "text"))
+            flat, upto = encode.batch(texts)
+            for doc, a, b in zip(docs.to_pylist(), upto.tolist(), upto[1:].tolist()):
+                data = flat[a:b].tobytes() + end
                 frame = compress(data)
                 ids.append(doc)
                 counts.append(len(data) // 4)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 import string
 import sys
@@ -216,41 +217,140 @@ def one_by_one(encode_piece: Callable[[str], list[int]]) -> Callable[[list[str]]
     return encode_pieces
 
 
+class Remembered:
+    """Ids of strings met before, one string's after another's in one array (``flat``).
+
+    ``at`` has a string's place there: its start, and in the low bits its count.
+    ``learn`` gives the ids and counts of many new ones at once. Of ``LIMIT``
+    strings and more, those not asked for lately are forgotten.
+    """
+
+    LIMIT, LONGEST = 250_000, 48
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.learn = learn
+        self.at: dict[str, int] = {}
+        self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        self.old, self.old_flat = self.at, self.flat
+
+    def places(self, keys: list[str]) -> np.ndarray:
+        """The places in ``flat`` of different strings, good until the next call."""
+        if len(self.at) >= self.LIMIT or self.used >= 32 * self.LIMIT:
+            self.old, self.old_flat = self.at, self.flat
+            self.at, self.flat, self.used = {}, np.empty(1 << 16, "<u4"), 0
+        place = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            before = np.fromiter(map(self.old.get, [keys[k] for k in new.tolist()], repeat(-1)), np.int64, len(new))
+            known, before = new[before >= 0], before[before >= 0]
+            place[known] = self._append([keys[k] for k in known.tolist()], _gathered(self.old_flat, before)[0], before & _COUNT)
+            new = new[place[new] < 0]
+        if len(new):
+            asked = [keys[k] for k in new.tolist()]
+            place[new] = self._append(asked, *self.learn(asked))
+        return place
+
+    def _append(self, keys: list[str], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        need = self.used + len(ids)
+        if need > len(self.flat):
+            self.flat = np.concatenate((self.flat[: self.used], np.empty(need, "<u4")))
+        self.flat[self.used : need] = ids
+        places = (np.cumsum(counts) - counts + self.used) << _COUNT_BITS | counts
+        self.used = need
+        self.at.update(zip(keys, places.tolist(), strict=True))
+        if max(map(len, keys), default=0) > self.LONGEST:
+            for key in keys:
+                if len(key) > self.LONGEST:
+                    del self.at[key]
+        return places
+
+
 class WordEncoder:
-    """Ids of a text whose tokenizer drops white space: cut at every white space."""
+    """Ids of a text whose tokenizer drops white space: cut at every white space.
+
+    The words of a column are cut in Arrow and each different one is looked up
+    once; new pieces of all of them are encoded together.
+    """
 
     def __init__(self, tokenizer, pattern: str) -> None:
         import regex
 
-        self.split = regex.compile(pattern).findall
-        self.normalize, self.tokenize = tokenizer.normalizer.normalize_str, tokenizer.model.tokenize
-        self.pieces = Memo(self._piece, 250_000)
-        self.words = Memo(self._word, 250_000)
+        self.split, self.normalize = regex.compile(pattern).findall, tokenizer.normalizer.normalize_str
+        self.pieces = Remembered(library_pieces(tokenizer))
+        self.words = Remembered(self._joined)
 
-    def _word(self, word: str) -> bytes:
-        if word.isascii():
+    def _cut(self, word: str) -> list[str]:
+        if word.isascii() or max(word) < _LATIN:  # in normal form
             low = word.lower()
-            if low.isalpha():  # one piece, remembered as a word
-                return self._piece(low) if low == word else self.words[low]
-            if low[:-1].isalpha() and low[-1] in ".,;:!?":
-                return self.words[low[:-1]] + self.pieces[low[-1]]
-        return self._pieces(word)
-
-    def _piece(self, piece: str) -> bytes:
-        return packed([t.id for t in self.tokenize(visible(piece))])
-
-    def _pieces(self, text: str) -> bytes:
-        return b"".join([self.pieces[p] for p in self.split(self.normalize(text))])
+            if low.isalpha():
+                return [low]
+            stem = low.rstrip(_MARKS)
+            if stem.isalpha():
+                return [stem, low[len(stem) :]]
+        return self.split(self.normalize(word))
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has."""
+        cuts = list(map(self._cut, texts))
+        numbers: dict[str, int] = {}
+        of = np.array([numbers.setdefault(p, len(numbers)) for pieces in cuts for p in pieces], np.int64)
+        place = self.pieces.places(list(numbers))[of]
+        ids, upto = _gathered(self.pieces.flat, place)
+        ends = np.cumsum([0, *map(len, cuts)])
+        return ids, np.diff(np.concatenate(([0], upto))[ends])
 
     def __call__(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return self._pieces(text)
-        words = self.words
-        return b"".join([words[w] for w in text.split()])
+        return self.batch(pa.array([text], pa.string()))[0].tobytes()
 
     def batch(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self(text) for text in column.to_pylist()]
-        return np.frombuffer(b"".join(parts), "<u4"), np.cumsum([0, *map(len, parts)]) // 4
+        """The ids of all texts of a column one after another, and where each text's begin and end."""
+        column = column.cast(pa.string())
+        odd = pc.match_substring_regex(column, pattern=_ODD.pattern)
+        cut = pc.utf8_split_whitespace(pc.if_else(odd, "", column))
+        coded = cut.flatten().dictionary_encode()
+        place = self.words.places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        ids, upto = _gathered(self.words.flat, place)
+        ends = np.concatenate(([0], upto))[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if not len(whole):
+            return ids, ends
+        others, counts = self._joined([column[k].as_py() for k in whole.tolist()])
+        ids = np.insert(ids, np.repeat(ends[whole], counts), others)
+        more = np.zeros(len(ends), np.int64)
+        more[whole + 1] = counts
+        return ids, ends + np.cumsum(more)
+
+
+def library_pieces(tokenizer) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Ids of many pieces at once, by the library's merges, and how many each has.
+
+    Where a word's last token is marked by a suffix, the pieces go through the
+    library as one text, and the marks say where each one ends.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model = tokenizer.model
+
+    def alone(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, _, counts = one_by_one(lambda piece: [t.id for t in model.tokenize(visible(piece))])(pieces)
+        return flat, counts
+
+    suffix = getattr(model, "end_of_word_suffix", None)
+    if not suffix:
+        return alone
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    plain = Tokenizer(model)  # no special tokens
+    plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+    vocab = plain.get_vocab(with_added_tokens=False)
+    last = np.zeros(max(vocab.values()) + 1, bool)
+    last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+
+    def together(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(plain.encode_batch_fast([" ".join(map(visible, pieces))], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(last[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(pieces) else alone(pieces)
+
+    return together
 
 
 def _byte_letters() -> dict[int, int]:

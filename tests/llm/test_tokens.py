@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import sys
+import unicodedata
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -239,3 +241,32 @@ def test_many_trees_at_once_equal_the_library(libraries):
     pieces = ["".join(rnd.choice("abtheinsér") for _ in range(rnd.choice(sizes))) for _ in range(6_000)]
     flat, starts, counts = bpe.encode_pieces(pieces)
     assert [flat[a : a + n].tolist() for a, n in zip(starts.tolist(), counts.tolist())] == [libraries["tiktoken"](p) for p in pieces]
+
+
+def test_words_of_a_column_are_looked_up_once_and_equal_the_library(libraries):
+    rnd = random.Random(6)
+    texts = _random_texts(1_500) + ["x" * 60 + ". " + "É" * 60 + " y " + "x" * 60, "", " ", "a  b", "it's. (is) ªº'' İI ẞß K\u030c J\u030c <|endoftext|>", "\x1c", "fo\x85o \ufeffbar"]
+    texts += [chr(c) + "A " + chr(c) + "a. a" + chr(c) for c in range(1, 0x3100) if unicodedata.category(chr(c)) != "Cn"]
+    rnd.shuffle(texts)
+    want = [libraries[WORD](t) for t in texts]
+    encoder = tokens.WordEncoder(Tokenizer.from_file(WORD), _word_pattern())
+    for limit in (250_000, 40):  # with the small one, words are forgotten and met again
+        encoder.words.LIMIT = encoder.pieces.LIMIT = limit
+        for rows in (1, 50):
+            assert _batched(encoder, texts[:: 1 if rows > 1 else 20], rows) == want[:: 1 if rows > 1 else 20]
+    assert max(map(len, encoder.words.at)) <= encoder.words.LONGEST
+
+
+def _word_pattern():
+    with open(WORD, encoding="utf-8") as f:
+        return json.load(f)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+
+
+def test_a_word_file_asks_for_each_word_and_piece_of_a_column_once():
+    encoder = tokens.WordEncoder(Tokenizer.from_file(WORD), _word_pattern())
+    words, pieces = [], []
+    for remembered, asked in ((encoder.words, words), (encoder.pieces, pieces)):
+        remembered.learn = lambda keys, learn=remembered.learn, asked=asked: asked.append(sorted(keys)) or learn(keys)
+    _batched(encoder, ["The cat sat, the cat.", "a  cat\nsat"] * 20)
+    assert words == [["The", "a", "cat", "cat.", "sat", "sat,", "the"]]
+    assert pieces == [[",", ".", "a", "cat", "sat", "the"]]
